@@ -29,11 +29,13 @@ def generate_table(
     schema: str,
     out: str = "out",
     batch_size: int = 64,
+    on_error: str = "null",
 ) -> DataFrame:
     """All columns of `df` plus the struct `out` with the model's answer.
 
     `make_model` runs once per task, so a model is loaded once per partition. A row the model fails on,
-    or answers with None, gets a NULL struct and the others go on. `schema` is a DDL string and may nest
+    or answers with None, gets a NULL struct and the others go on (`on_error="raise"` stops the job instead).
+    `schema` is a DDL string and may nest
     arrays and structs.
     """
     answer_type = T.StructType.fromDDL(schema)
@@ -49,7 +51,8 @@ def generate_table(
             if len(answers) == len(records):
                 return answers
         except Exception:
-            pass
+            if on_error == "raise":
+                raise
         if len(records) == 1:
             return [None]
         return [ask(model, [r])[0] for r in records]

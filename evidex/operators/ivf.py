@@ -85,18 +85,16 @@ def assign_cells(df: DataFrame, centers: np.ndarray, vector: str = "vector") ->
     return df.mapInArrow(assign, f"{columns}, cell int")
 
 
-def write_cells(df: DataFrame, path: str, cell: str = "cell", rows_per_file: int = 1_000_000) -> None:
+def write_cells(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Store the base by cell, so that a search only opens the folders of the probed cells.
 
-    Rows of one cell are spread over several tasks by a hash, so a large cell is no single task.
+    A cell is written by as many tasks as it fills files; a large cell is no single task and a small one no
+    heap of tiny files.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.withColumn("_part", F.pmod(F.hash(*[c for c in df.columns if c != cell][:1]), F.lit(parts)))
-    (
-        spread.repartition(parts, cell, "_part").drop("_part")
-        .write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).partitionBy(cell).parquet(path)
-    )
+    key = next(c for c in df.columns if c != "cell")
+    files = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("bigint").alias("_files"))
+    spread = df.join(F.broadcast(files), "cell").withColumn("_file", F.pmod(F.xxhash64(key), F.col("_files")))
+    spread.repartition("cell", "_file").drop("_files", "_file").write.partitionBy("cell").parquet(path)
 
 
 def ivf_topk(
