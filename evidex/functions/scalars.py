@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (defaults the results depend on).
@@ -117,3 +117,13 @@ def null_if_empty(items: Column) -> Column:
 def whole_minutes_between(earlier: Column | str, later: Column | str) -> Column:
     """Completed minutes from `earlier` to `later`; 60 min 59 s counts as 60."""
     return F.timestamp_diff("MINUTE", as_column(earlier), as_column(later))
+
+
+def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add expensive columns so that later filters use their values.
+
+    A filter on a plain projected column is pushed below the projection, which evaluates the expression again
+    for every mention; a one-element `inline` keeps the filter above it.
+    """
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidex.functions.scalars import as_column, first_match, stable_id
+from evidex.functions.scalars import as_column, compute_once, first_match, stable_id
 
 # Fixed values (chunk ids are the hash of the source and one of these endings).
 PDF_SUFFIX = "#pdf"
@@ -46,7 +46,9 @@ def extract_chunks(
     for instance); objects without text give no chunk.
     """
     df = extractor(objects) if extractor else objects
-    body = as_column(text)
+    if isinstance(text, Column):
+        df, text = compute_once(df, _text=text), "_text"
+    body = F.col(text)
     df = df.select(
         F.sha2(F.concat(F.col(source_uri), F.lit(suffix)), 256).alias("chunk_id"),
         F.col(source_uri).alias("source_uri"),

@@ -11,6 +11,7 @@ from evidex.functions.scalars import (
     ISO_DATE_PATTERN,
     NUMBER_PATTERN,
     as_column,
+    compute_once,
     first_match,
     safe_date,
     stable_id,
@@ -93,7 +94,7 @@ def extract_facts(
         todo = todo.orderBy("chunk_id").limit(max_rows)
     if model is None:
         model = rule_facts("text")
-    made = todo.withColumn("out", model) if isinstance(model, Column) else model(todo)
+    made = compute_once(todo, out=model) if isinstance(model, Column) else model(todo)
     return made.select(
         "fact_id",
         F.col("out.entity").alias("subject"),

@@ -114,7 +114,7 @@ def ivf_topk(
     `base` carries a `cell` column from `assign_cells` or `write_cells`.
     """
     probes = nearest_cells(queries, centers, nprobe, query_id, query_vector).withColumnRenamed(query_id, "query_id")
-    return search(base, queries, k, item_id, query_id, vector, query_vector, probes=probes, **limits)
+    return search(base, queries, k, item_id, query_id, vector, query_vector, probes=probes, **limits)[0]
 
 
 def recall_against(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -36,12 +36,19 @@ def kpi_daily_counts(df: DataFrame, ts: str, kpi_id: Column | str, as_of: Column
 
 
 def kpi_from_facts(facts: DataFrame, as_of: Column | date, kpi_id: Column | str = "demo_kpi") -> DataFrame:
-    """Sum of the facts' numbers per date; a fact without a date counts for `as_of`."""
+    """Sum of the facts' numbers per date; a fact without a date counts for `as_of`.
+
+    Numbers are added as decimals, so a re-run gives the same value whatever the order of the rows; only
+    numbers beyond that range are added as doubles.
+    """
     kpi = F.lit(kpi_id) if isinstance(kpi_id, str) else kpi_id
     last = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    exact = F.col("object_number").try_cast("decimal(28,10)")
+    exact_sum = F.coalesce(F.sum(exact).cast("double"), F.lit(0.0))
+    other_sum = F.coalesce(F.sum(F.when(exact.isNull(), F.col("object_number"))), F.lit(0.0))
     return (
         facts.groupBy(kpi.alias("kpi_id"), F.coalesce("object_date", last).alias("ts"))
-        .agg(F.sum(F.coalesce("object_number", F.lit(0.0))).alias("value"))
+        .agg((exact_sum + other_sum).alias("value"))
         .withColumn("tags", F.array().cast("array<string>"))
     )
 

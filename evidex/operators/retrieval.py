@@ -7,19 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from evidex.functions.scalars import predicate
 from evidex.operators.groups import topk_per_group
-from evidex.operators.vectors import BROADCAST_QUERIES, SEARCH_K, vector_topk
+from evidex.operators.vectors import SEARCH_K, search
 
 # Fixed values (defaults the results depend on).
 CONTEXT_K = 12
 HOLDOUT_SIZE = 200
 
 
-def has_few_rows(df: DataFrame, limit: int) -> bool:
-    """Whether a table has at most `limit` rows; reads no more than limit + 1 of them."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def retrieval_metrics(preds: DataFrame, truth: DataFrame, k: int = SEARCH_K, few_queries: bool = False) -> DataFrame:
     """(query_id, k, recall_k, precision_k, mrr), one row per query that has a truth.
 
@@ -91,10 +87,11 @@ def retrieve_context(
     """(query_id, source_uri, text, distance, rank) of the k nearest chunks of every question.
 
     questions: (query_id, vector); embeddings: (chunk_id, vector); chunks: (chunk_id, source_uri, text).
+    `constraints` filter the k hits by query_id, item_id, distance or rank.
     """
-    hits = vector_topk(embeddings, questions, k, constraints, item_id="chunk_id", **limits)
-    hits = hits.withColumnRenamed("item_id", "chunk_id")
-    if has_few_rows(questions, limits.get("max_broadcast", BROADCAST_QUERIES)):
+    hits, few = search(embeddings, questions, k, "chunk_id", "query_id", "vector", "vector", **limits)
+    hits = hits.filter(predicate(constraints)).withColumnRenamed("item_id", "chunk_id")
+    if few:
         # At most k hits for each of a checked number of questions.
         hits = F.broadcast(hits)
     return chunks.select("chunk_id", "source_uri", "text").join(hits, "chunk_id").select(
@@ -119,16 +116,30 @@ def context_with_fallback(
     )
     order = [F.col("rank"), F.col("source_uri")]
     first = topk_per_group(primary.select("query_id", "source_uri", "text", "rank"), ["query_id"], order, k, "slot")
-    first = first.select("query_id", "source_uri", "text", F.col("slot").alias("rank"), F.lit(True).alias("is_primary"))
-    held = first.groupBy("query_id").agg(F.count(F.lit(1)).cast("int").alias("held"))
-    free = (
-        questions.select("query_id")
-        .join(held, "query_id", "left")
-        .select("query_id", F.coalesce("held", F.lit(0)).alias("held"))
-        .filter(F.col("held") < k)
-        .select("query_id", "held", F.explode(F.sequence(F.lit(1), F.lit(k) - F.col("held"))).alias("place"))
+    held = first.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("slot", "source_uri", "text"))).alias("held"))
+    rows = questions.select("query_id").join(held, "query_id", "left")
+    n = F.when(F.col("held").isNull(), 0).otherwise(F.size("held"))
+    own = F.transform(
+        F.coalesce("held", F.array().cast("array<struct<slot: int, source_uri: string, text: string>>")),
+        lambda c: F.struct(c["slot"].alias("rank"), F.lit(0).alias("place"), c["source_uri"].alias("own_uri"), c["text"].alias("own_text")),
     )
-    backup = free.join(F.broadcast(recent), "place").select(
-        "query_id", "source_uri", "text", (F.col("held") + F.col("place")).alias("rank"), F.lit(False).alias("is_primary")
+    free = F.transform(
+        F.when(n < k, F.sequence(F.lit(1), F.lit(k) - n)).otherwise(F.array().cast("array<int>")),
+        lambda p: F.struct(
+            (n + p).alias("rank"), p.alias("place"),
+            F.lit(None).cast("string").alias("own_uri"), F.lit(None).cast("string").alias("own_text"),
+        ),
+    )
+    slots = rows.select("query_id", F.inline(F.concat(own, free)))
+    is_primary = F.col("place") == 0
+    return (
+        slots.join(F.broadcast(recent), "place", "left")
+        .filter(is_primary | F.col("text").isNotNull())
+        .select(
+            "query_id",
+            F.when(is_primary, F.col("own_uri")).otherwise(F.col("source_uri")).alias("source_uri"),
+            F.when(is_primary, F.col("own_text")).otherwise(F.col("text")).alias("text"),
+            "rank",
+            is_primary.alias("is_primary"),
+        )
     )
-    return first.unionByName(backup)

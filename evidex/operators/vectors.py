@@ -12,6 +12,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,8 +244,9 @@ def search(
     max_broadcast: int = BROADCAST_QUERIES,
     block_base_rows: int = BLOCK_BASE_ROWS,
     block_query_rows: int = BLOCK_QUERY_ROWS,
-) -> DataFrame:
-    """(query_id, item_id, distance, rank) of the k nearest base rows per query.
+) -> tuple[DataFrame, bool]:
+    """(query_id, item_id, distance, rank) of the k nearest base rows per query, and whether the number of
+    queries was found to be at most `max_broadcast` (the hits are then at most k times as many).
 
     With `probes` (query_id, cell) a query only meets base rows of its cells, and `base` has a `cell` column.
     """
@@ -262,7 +265,7 @@ def search(
         pairs = bounded_rows(probes.select("query_id", "cell"), max_broadcast * 1024)
         held = held if pairs is not None else None
     if held is not None and held.num_rows == 0:
-        return slim.sparkSession.createDataFrame([], f"{ddl}, rank int")
+        return slim.sparkSession.createDataFrame([], f"{ddl}, rank int"), True
 
     if held is not None:
         if pairs is not None:
@@ -275,9 +278,8 @@ def search(
         found = _meet_in_blocks(
             slim, wanted, probes is not None, k, ddl, arrow, block_base_rows, block_query_rows
         )
-    return topk_per_group(
-        found, ["query_id"], [F.col("distance"), F.col("item_id")], k, salt_by=F.col("item_id")
-    )
+    best = topk_per_group(found, ["query_id"], [F.col("distance"), F.col("item_id")], k, salt_by=F.col("item_id"))
+    return best, held is not None
 
 
 def vector_topk(
@@ -297,26 +299,22 @@ def vector_topk(
     Constraints may name query_id, item_id, distance, rank or any other column of the base table.
     """
     base, constraints = base.filter(predicate(prefilter)), list(constraints)
-    hits = search(base, queries, k, item_id, query_id, vector, query_vector, **limits)
+    hits, few = search(base, queries, k, item_id, query_id, vector, query_vector, **limits)
     if not constraints:
         return hits
     own = {"query_id", "item_id", "distance", "rank"}
     extra = sorted({f for f, _, _ in constraints} - own - {"TRUE"})
     if extra:
         side = base.select(F.col(item_id).alias("item_id"), *extra)
-        hits = hits.join(side, "item_id")
+        hits = side.join(F.broadcast(hits) if few else hits, "item_id")
     return hits.filter(predicate(constraints)).select("query_id", "item_id", "distance", "rank")
 
 
 def mean_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector) with the mean vector of each key; sums are combined before the shuffle."""
-    per_place = (
-        df.select(key, F.posexplode(vector).alias("place", "x"))
-        .groupBy(key, "place")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("place", "x")))
-    return per_place.groupBy(key).agg(F.transform(ordered, lambda p: p["x"]).alias("vector"))
+    """(key, vector) with the mean vector of each key, from one partial sum per key and task."""
+    mean = Summarizer.mean(array_to_vector(F.col(vector).cast("array<double>")))
+    usable = drop_empty_vectors(df.select(key, vector), vector)
+    return usable.groupBy(key).agg(mean.alias("mean")).select(key, vector_to_array("mean").alias("vector"))
 
 
 __all__ = [

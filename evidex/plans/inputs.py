@@ -98,7 +98,7 @@ ORDER_TOTAL = f"totalling ({NUMBER_PATTERN})"
 
 def order_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as one sentence of text."""
-    orders = read(spark, sf_dir, "orders")
+    orders = fill_cores(read(spark, sf_dir, "orders"), "o_orderkey")
     text = F.concat(
         F.lit("Customer "), F.col("o_custkey").cast("string"),
         F.lit(" placed order "), F.col("o_orderkey").cast("string"),

@@ -20,7 +20,7 @@ from evidex.operators.generate import generate_table
 from evidex.operators.sampling import cap_per_key, hash_sample, sample_position
 from evidex.operators.vectors import drop_empty_vectors, vector_topk
 from evidex.plans import inputs as I
-from evidex.session import fill_cores, shared_folder
+from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import writes as S
 from evidex.sources.objects import list_objects, object_catalog
 from evidex.streaming.daily import daily_counts, insert_stream, read_files_as_stream, run_available
@@ -98,19 +98,17 @@ def retrieval_metrics_mean(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_metrics(R.retrieval_metrics_mean(_label_metrics(spark, sf)))
 
 
-def _holdout(spark: SparkSession, sf: str) -> DataFrame:
-    return R.make_holdout(I.document_chunks(spark, sf), I.document_embeddings(spark, sf))
-
-
 def holdout(spark: SparkSession, sf: str) -> DataFrame:
-    return _holdout(spark, sf).select(
+    queries = R.make_holdout(I.document_chunks(spark, sf), I.document_embeddings(spark, sf))
+    return queries.select(
         "query_id", "item_id", F.length("query_text").alias("query_chars"), F.size("vector").alias("vector_dim")
     )
 
 
 def retrieval_metrics_holdout(spark: SparkSession, sf: str) -> DataFrame:
-    queries = _holdout(spark, sf)
-    preds = vector_topk(I.document_embeddings(spark, sf), queries, item_id="chunk_id")
+    embeddings = stored(I.document_embeddings(spark, sf), "text-emb")
+    queries = R.make_holdout(I.document_chunks(spark, sf), embeddings)
+    preds = vector_topk(embeddings, queries, item_id="chunk_id")
     return _rounded_metrics(R.retrieval_metrics(preds, queries, few_queries=True))
 
 

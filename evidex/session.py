@@ -54,3 +54,10 @@ def fill_cores(df: DataFrame, *keys: str) -> DataFrame:
     if int(str(estimate)) >= cores * split:
         return df
     return df.repartition(cores, *keys)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back, so that it is computed once."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
