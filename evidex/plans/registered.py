@@ -20,6 +20,7 @@ from evidex.operators.generate import generate_table
 from evidex.operators.sampling import cap_per_key, hash_sample, sample_position
 from evidex.operators.vectors import drop_empty_vectors, vector_topk
 from evidex.plans import inputs as I
+from evidex.plans.evidence import Settings, refresh
 from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import writes as S
 from evidex.sources.objects import list_objects, object_catalog
@@ -515,6 +516,26 @@ def stream_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_chunks(tables.read("text_chunks"))
 
 
+# The whole refresh
+
+
+def stored_run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Row counts of all stored tables after one refresh over documents, pages, conversations and orders."""
+    tables = S.TableFolder(spark, shared_folder(spark, "evidence"))
+    orders = I.read(spark, sf, "orders")
+    today = I.last_day(orders, "o_orderdate")
+    refresh(
+        tables,
+        [I.document_chunks(spark, sf), I.page_chunks(spark, sf), I.conversation_chunks(spark, sf)],
+        I.questions(spark, sf),
+        [kpi.kpi_daily_counts(orders, "o_orderdate", "orders", today)],
+        today,
+        I.page_captions(spark, sf),
+        Settings(brand_words=("the", "der", "la")),
+    )
+    return tables.counts()
+
+
 QUERIES = {
     "vector_topk": vector_topk_query,
     "vector_topk_constrained": vector_topk_constrained,
@@ -578,4 +599,5 @@ QUERIES = {
     "forecast_preview": forecast_preview,
     "stream_daily_counts": stream_daily_counts,
     "stream_chunks": stream_chunks,
+    "stored_run_counts": stored_run_counts,
 }
