@@ -20,6 +20,9 @@ HIDDEN_HTML = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 ANY_TAG = r"(?s)<[^>]*>"
 TITLE = r"(?is)<title>(.*?)</title>"
 
+# Limit of a broadcast of pending keys.
+MAX_PENDING_KEYS = 200_000
+
 
 def html_text(html: Column | str) -> Column:
     """Visible text of a page: scripts, styles, comments and tags go, runs of blanks become one."""
@@ -39,18 +42,23 @@ def extract_chunks(
     text: Column | str = "text",
     lang: Column | str | None = None,
     extractor: Callable[[DataFrame], DataFrame] | None = None,
+    done: DataFrame | None = None,
 ) -> DataFrame:
     """(chunk_id, source_uri, text, lang, span) with the whole text of an object as one chunk.
 
     `extractor` turns the object table into one with a text column first (a model run by `generate_table`,
-    for instance); objects without text give no chunk.
+    for instance); objects without text give no chunk. Objects whose chunk is in `done` are left out before
+    their text is extracted.
     """
-    df = extractor(objects) if extractor else objects
+    df = objects.withColumn("chunk_id", F.sha2(F.concat(F.col(source_uri), F.lit(suffix)), 256))
+    if done is not None:
+        df = pending(df, done, "chunk_id")
+    df = extractor(df) if extractor else df
     if isinstance(text, Column):
         df, text = compute_once(df, _text=text), "_text"
     body = F.col(text)
     df = df.select(
-        F.sha2(F.concat(F.col(source_uri), F.lit(suffix)), 256).alias("chunk_id"),
+        "chunk_id",
         F.col(source_uri).alias("source_uri"),
         body.alias("text"),
         (as_column(lang) if lang is not None else F.lit(None)).cast("string").alias("lang"),
@@ -69,9 +77,21 @@ def chunks_from_captions(image_desc: DataFrame) -> DataFrame:
     return extract_chunks(image_desc, CAPTION_SUFFIX, "source_uri", "caption")
 
 
-def pending(source: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
-    """Rows of `source` whose key is not in `done`."""
-    return source.join(done.select(*keys), list(keys), "left_anti")
+def pending(source: DataFrame, done: DataFrame, *keys: str, max_broadcast: int = MAX_PENDING_KEYS) -> DataFrame:
+    """Rows of `source` whose key is not in `done`.
+
+    Only the keys are compared first. If few are pending, which is the normal case of a re-run, they are
+    broadcast and the wide rows stay in place; else the rows are anti-joined.
+    """
+    if done.isEmpty():
+        return source
+    ids = list(keys)
+    known = done.select(*ids)
+    if set(source.columns) != set(ids):
+        todo = source.select(*ids).join(known, ids, "left_anti")
+        if todo.limit(max_broadcast + 1).count() <= max_broadcast:
+            return source.join(F.broadcast(todo), ids, "left_semi")
+    return source.join(known, ids, "left_anti")
 
 
 def prompt_log(

@@ -11,11 +11,9 @@ from evidex.operators.vectors import NEIGHBOR_K, SEARCH_K, vector_topk
 EDGE_KEYS = ["left_id", "right_id", "left_type", "right_type"]
 
 
-def precompute_neighbors(
-    base: DataFrame, hot_queries: DataFrame, k: int = NEIGHBOR_K, neighbor_type: str = "text", **columns
-) -> DataFrame:
-    """(query_id, neighbor_id, neighbor_type, similarity) of all hot queries in one search."""
-    return vector_topk(base, hot_queries, k, **columns).select(
+def neighbors_of(hits: DataFrame, k: int = NEIGHBOR_K, neighbor_type: str = "text") -> DataFrame:
+    """(query_id, neighbor_id, neighbor_type, similarity) from search hits of at least k per query."""
+    return hits.filter(F.col("rank") <= k).select(
         F.col("query_id").cast("string").alias("query_id"),
         F.col("item_id").cast("string").alias("neighbor_id"),
         F.lit(neighbor_type).alias("neighbor_type"),
@@ -23,10 +21,14 @@ def precompute_neighbors(
     )
 
 
-def semantic_edges(base: DataFrame, hot_queries: DataFrame, k: int = SEARCH_K, **columns) -> DataFrame:
+def precompute_neighbors(base: DataFrame, hot_queries: DataFrame, k: int = NEIGHBOR_K, **columns) -> DataFrame:
+    """Neighbours of all hot queries in one search."""
+    return neighbors_of(vector_topk(base, hot_queries, k, **columns), k)
+
+
+def edges_of(hits: DataFrame, k: int = SEARCH_K) -> DataFrame:
     """Edges query → neighbour, keyed by both ends and their types; write them with `upsert`."""
-    near = precompute_neighbors(base, hot_queries, k, **columns)
-    return near.select(
+    edges = neighbors_of(hits, k).select(
         F.col("query_id").alias("left_id"),
         F.col("neighbor_id").alias("right_id"),
         F.lit("text").alias("left_type"),
@@ -34,7 +36,14 @@ def semantic_edges(base: DataFrame, hot_queries: DataFrame, k: int = SEARCH_K, *
         "similarity",
         F.lit(True).alias("constraints_ok"),
         F.lit(None).cast("string").alias("constraint_notes"),
-    ).withColumn("edge_id", stable_id("left_id", F.lit("|"), "right_id", F.lit("|"), "left_type", F.lit("|"), "right_type"))
+    )
+    bar = F.lit("|")
+    return edges.withColumn("edge_id", stable_id("left_id", bar, "right_id", bar, "left_type", bar, "right_type"))
+
+
+def semantic_edges(base: DataFrame, hot_queries: DataFrame, k: int = SEARCH_K, **columns) -> DataFrame:
+    """Edges of all hot queries in one search."""
+    return edges_of(vector_topk(base, hot_queries, k, **columns), k)
 
 
 def hybrid_top(edges: DataFrame, n: int = 100, weights=HYBRID_WEIGHTS, digits: int = 9) -> DataFrame:

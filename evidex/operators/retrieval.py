@@ -44,6 +44,22 @@ def retrieval_metrics(preds: DataFrame, truth: DataFrame, k: int = SEARCH_K, few
     )
 
 
+def retrieval_eval(
+    base: DataFrame,
+    queries: DataFrame,
+    truth: DataFrame,
+    k: int = SEARCH_K,
+    item_id: str = "item_id",
+    query_id: str = "query_id",
+    vector: str = "vector",
+    query_vector: str = "vector",
+    **limits: int,
+) -> DataFrame:
+    """Search all queries at once and measure the hits against the truth."""
+    hits, few = search(base, queries, k, item_id, query_id, vector, query_vector, **limits)
+    return retrieval_metrics(hits, truth, k, few)
+
+
 def retrieval_metrics_mean(metrics: DataFrame) -> DataFrame:
     """Mean recall, precision and reciprocal rank per k."""
     return metrics.groupBy("k").agg(*[F.avg(c).alias(c) for c in ("recall_k", "precision_k", "mrr")])

@@ -24,17 +24,18 @@ def checks_due(
     id_col: str,
     done: DataFrame | None = None,
     sample_frac: float | None = None,
-    cap: int = MAX_CHECKS_PER_ITEM,
+    cap: int | None = MAX_CHECKS_PER_ITEM,
     tiebreak: Sequence[str] = (),
     seed: int = SEED,
 ) -> DataFrame:
     """Rows still to be checked, with `item_id` and `rule_id`: sampled by id, capped per id, not in `done`.
 
     The cap trims a repeated id inside each map task before the one shuffle; the anti join then finds its
-    rows already placed by item_id.
+    rows already placed by item_id. `cap=None` saves that shuffle for a table with unique ids.
     """
-    rows = hash_sample(df, id_col, sample_frac, seed).withColumn("item_id", F.col(id_col).cast("string"))
-    due = cap_per_key(rows, "item_id", cap, tiebreak, seed, "_rank").drop("_rank")
+    due = hash_sample(df, id_col, sample_frac, seed).withColumn("item_id", F.col(id_col).cast("string"))
+    if cap is not None:
+        due = cap_per_key(due, "item_id", cap, tiebreak, seed, "_rank").drop("_rank")
     if done is not None:
         checked = done.filter(F.col("rule_id") == rule_id).select("item_id")
         due = due.join(checked, "item_id", "left_anti")

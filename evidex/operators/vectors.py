@@ -61,8 +61,11 @@ class TopK:
         self.best: list[tuple[np.ndarray, np.ndarray]] = [None] * len(queries)
         self.limit = np.full(len(queries), np.inf)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray, which: np.ndarray | None = None) -> None:
-        """Score rows against all queries, or against the query numbers in `which`."""
+    def add(self, ids: pa.Array, vectors: np.ndarray, which: np.ndarray | None = None) -> None:
+        """Score rows against all queries, or against the query numbers in `which`.
+
+        Only the ids of rows that may still enter a query's k best are turned into Python values.
+        """
         which = np.arange(len(self.queries)) if which is None else which
         if len(ids) == 0 or which.size == 0:
             return
@@ -70,14 +73,20 @@ class TopK:
         for start in range(0, len(ids), step):
             part = vectors[start : start + step]
             distance = np.round(1.0 - part @ self.queries[which].T, DISTANCE_DIGITS)
-            row, col = np.nonzero(distance <= self.limit[which][None, :])
+            limit = self.limit[which]
+            if len(part) > self.k and np.isinf(limit).any():
+                limit = np.minimum(limit, np.partition(distance, self.k - 1, axis=0)[self.k - 1])
+            row, col = np.nonzero(distance <= limit[None, :])
             if row.size == 0:
                 continue
             order = np.argsort(col, kind="stable")
             row, col = row[order], col[order]
+            needed, at = np.unique(row, return_inverse=True)
+            names = np.empty(needed.size, dtype=object)
+            names[:] = ids.take(pa.array(start + needed)).to_pylist()
             cuts = np.flatnonzero(np.diff(col)) + 1
-            for rows, cols in zip(np.split(row, cuts), np.split(col, cuts)):
-                self._merge(which[cols[0]], distance[rows, cols[0]], ids[start + rows])
+            for rows, cols, name in zip(np.split(row, cuts), np.split(col, cuts), np.split(at, cuts)):
+                self._merge(which[cols[0]], distance[rows, cols[0]], names[name])
 
     def _merge(self, query: int, distance: np.ndarray, ids: np.ndarray) -> None:
         held = self.best[query]
@@ -126,13 +135,13 @@ def bounded_rows(df: DataFrame, limit: int) -> pa.Table | None:
     return table if table.num_rows <= limit else None
 
 
-def _list_column(table: pa.Table, name: str) -> pa.Array:
+def _one_array(table: pa.Table, name: str) -> pa.Array:
     column = table[name].combine_chunks()
     return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
 
 
 def _scan_with_broadcast(base: DataFrame, held: pa.Table, probes: pa.Table | None, k: int, ddl: str, arrow: pa.Schema):
-    rows, matrix = _unit_rows(_list_column(held, "vector"))
+    rows, matrix = _unit_rows(_one_array(held, "vector"))
     query_ids = np.asarray(held["query_id"].to_pylist(), dtype=object)[rows]
     by_cell = None
     if probes is not None:
@@ -151,15 +160,15 @@ def _scan_with_broadcast(base: DataFrame, held: pa.Table, probes: pa.Table | Non
             rows, vectors = _unit_rows(batch.column("vector"))
             if rows.size == 0:
                 continue
-            ids = np.asarray(batch.column("item_id").take(pa.array(rows)).to_pylist(), dtype=object)
+            ids = batch.column("item_id").take(pa.array(rows))
             if cells is None:
                 top.add(ids, vectors)
                 continue
             cell = np.asarray(batch.column("cell").take(pa.array(rows)))
             for c in np.unique(cell):
                 if int(c) in cells:
-                    inside = cell == c
-                    top.add(ids[inside], vectors[inside], cells[int(c)])
+                    inside = np.flatnonzero(cell == c)
+                    top.add(ids.take(pa.array(inside)), vectors[inside], cells[int(c)])
         out = top.result(ids_of_queries, arrow)
         if out is not None:
             yield out
@@ -218,13 +227,13 @@ def _meet_in_blocks(
     def meet(base_block: pa.Table, query_block: pa.Table) -> pa.Table:
         if base_block.num_rows == 0 or query_block.num_rows == 0:
             return arrow.empty_table()
-        rows, matrix = _unit_rows(_list_column(query_block, "vector"))
+        rows, matrix = _unit_rows(_one_array(query_block, "vector"))
         query_ids = np.asarray(query_block["query_id"].to_pylist(), dtype=object)[rows]
-        items, vectors = _unit_rows(_list_column(base_block, "vector"))
+        items, vectors = _unit_rows(_one_array(base_block, "vector"))
         if rows.size == 0 or items.size == 0:
             return arrow.empty_table()
         top = TopK(matrix, k)
-        top.add(np.asarray(base_block["item_id"].to_pylist(), dtype=object)[items], vectors)
+        top.add(_one_array(base_block, "item_id").take(pa.array(items)), vectors)
         out = top.result(query_ids, arrow)
         return arrow.empty_table() if out is None else pa.Table.from_batches([out])
 

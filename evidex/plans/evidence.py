@@ -19,6 +19,7 @@ from evidex.operators.chunks import chunks_from_captions, prompt_log
 from evidex.operators.embed import HASHED_MODEL, IMAGE_DIM, TEXT_DIM, embed_missing, hashed_embedding
 from evidex.operators.facts import extract_facts
 from evidex.operators.vectors import vector_topk
+from evidex.session import stored
 from evidex.sources.writes import CACHE_TTL_MIN, TableFolder
 
 COLOR_WORDS = (
@@ -102,7 +103,9 @@ def refresh_holdout(t: TableFolder, s: Settings) -> None:
 def refresh_validators(t: TableFolder, s: Settings) -> None:
     done = t.read("metrics_validators")
     images, facts = t.read("image_desc"), t.read("facts_generic")
-    sampled = {"done": done, "sample_frac": s.sample_frac, "seed": s.seed}
+    # Both tables have unique ids, so that there is nothing to cap.
+    every = {"done": done, "seed": s.seed, "cap": None}
+    sampled = {**every, "sample_frac": s.sample_frac}
     number = V.first_number("object_value")
     for rule, key, text, rows in (
         ("rule_color_match", "image_id", "caption", images),
@@ -113,25 +116,22 @@ def refresh_validators(t: TableFolder, s: Settings) -> None:
     for results in (
         V.run_bool_validator(images, "rule_color_match", "image_id", V.mentions_any("caption", s.color_words), **sampled),
         V.run_tolerance_validator(facts, "rule_total", "fact_id", number, "object_number", **sampled),
-        V.brand_model_match(images, s.brand_words, done=done, seed=s.seed),
-        V.table_vs_text_total(facts, done=done, seed=s.seed),
+        V.brand_model_match(images, s.brand_words, **every),
+        V.table_vs_text_total(facts, **every),
     ):
         t.insert("metrics_validators", results)
 
 
 def refresh_neighbors(t: TableFolder, s: Settings) -> None:
+    """Neighbours, edges and retrieval quality of the hot queries, from one search over the base."""
     for name in ("edges_semantic", "precomputed_neighbors"):
         t.purge(name, s.ttl_min)
-    base, hot = t.read("text_emb"), t.read("hot_queries")
-    columns = {"item_id": "chunk_id", "query_vector": "embedding"}
-    t.upsert("precomputed_neighbors", N.precompute_neighbors(base, hot, s.neighbor_k, **columns))
-    t.upsert("edges_semantic", N.semantic_edges(base, hot, s.search_k, **columns))
-
-
-def refresh_retrieval_metrics(t: TableFolder, s: Settings) -> None:
-    hot = t.read("hot_queries")
-    preds = vector_topk(t.read("text_emb"), hot, s.search_k, item_id="chunk_id", query_vector="embedding")
-    t.upsert("metrics_retrieval", R.retrieval_metrics(preds, t.read("retrieval_gt"), s.search_k))
+    k = max(s.neighbor_k, s.search_k)
+    found = vector_topk(t.read("text_emb"), t.read("hot_queries"), k, item_id="chunk_id", query_vector="embedding")
+    hits = stored(found, "hits")
+    t.upsert("precomputed_neighbors", N.neighbors_of(hits, s.neighbor_k))
+    t.upsert("edges_semantic", N.edges_of(hits, s.search_k))
+    t.upsert("metrics_retrieval", R.retrieval_metrics(hits, t.read("retrieval_gt"), s.search_k))
 
 
 def context_for(t: TableFolder, s: Settings, questions: DataFrame, constraints=()) -> DataFrame:
@@ -180,6 +180,5 @@ def refresh(
     refresh_holdout(t, s)
     refresh_validators(t, s)
     refresh_neighbors(t, s)
-    refresh_retrieval_metrics(t, s)
     refresh_answers(t, s, questions)
     refresh_kpis(t, s, daily, as_of)

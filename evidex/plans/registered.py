@@ -83,8 +83,8 @@ def hybrid_preview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _label_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    preds = vector_topk(I.read(spark, sf, "embeddings"), I.label_queries(spark, sf), **EMBEDDINGS)
-    return R.retrieval_metrics(preds, I.label_truth(spark, sf))
+    base = I.read(spark, sf, "embeddings")
+    return R.retrieval_eval(base, I.label_queries(spark, sf), I.label_truth(spark, sf), **EMBEDDINGS)
 
 
 def _rounded_metrics(df: DataFrame) -> DataFrame:
@@ -109,8 +109,7 @@ def holdout(spark: SparkSession, sf: str) -> DataFrame:
 def retrieval_metrics_holdout(spark: SparkSession, sf: str) -> DataFrame:
     embeddings = stored(I.document_embeddings(spark, sf), "text-emb")
     queries = R.make_holdout(I.document_chunks(spark, sf), embeddings)
-    preds = vector_topk(embeddings, queries, item_id="chunk_id")
-    return _rounded_metrics(R.retrieval_metrics(preds, queries, few_queries=True))
+    return _rounded_metrics(R.retrieval_eval(embeddings, queries, queries, item_id="chunk_id"))
 
 
 def _context(spark: SparkSession, sf: str, constraints=()) -> DataFrame:

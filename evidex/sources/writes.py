@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidex.functions.scalars import whole_minutes_between
+from evidex.operators.chunks import pending
 from evidex.operators.groups import topk_per_group
 from evidex.sources.tables import REWRITTEN, TABLES
 
@@ -19,13 +20,13 @@ CACHE_TTL_MIN = 60
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; among several the choice depends only on their contents."""
     rest = [c for c in df.columns if c not in keys]
-    order = [F.xxhash64(*rest), *[F.to_json(F.struct(*rest))]] if rest else [F.lit(1)]
+    order = [F.xxhash64(*rest)] if rest else [F.lit(1)]
     return topk_per_group(df, list(keys), order, 1, "_n").drop("_n")
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows, one per key, whose key the target does not have. A second run yields nothing."""
-    return one_per_key(source, keys).join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+    return one_per_key(pending(source, target, *keys), keys).select(*source.columns)
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
