@@ -234,6 +234,45 @@ decisions as (select *, case when row_count < 1 then 'SKIP' when last_row_count
                              when growth_pct > 15 then 'REBUILD' else 'KEEP' end as decision from growth)
 """
 
+RUN_COUNTS = rf"""{DOC_CHUNKS}, {PAGE_CHUNKS}, {CAPTIONS},
+turns as (select 'conv://' || conv_id || '/' || turn as source_uri, text from conversations),
+all_chunks as (
+    select chunk_id, text from doc_chunks union all select chunk_id, text from page_chunks
+    union all select sha256(source_uri || '#img'), text from turns where length(text) > 0
+    union all select sha256(source_uri || '#cap'), caption from captions where length(caption) > 0),
+chunks as (select distinct on (chunk_id) chunk_id, text from all_chunks),
+with_tokens as (select chunk_id from chunks where regexp_matches(text, '[\p{{L}}\p{{N}}]')),
+found as (select chunk_id, nullif(regexp_extract(text, '\p{{Lu}}[\p{{L}}\p{{N}}]*'), '') as entity,
+                 nullif(regexp_extract(text, '{NUMBER}'), '') as value, {DAY} as day from chunks),
+facts as (select sha256(chunk_id || '#fact') as fact_id, try_cast(day as date) as object_date from found
+          where entity is not null and (value is not null or day is not null)),
+sampled_images as (select image_id from captions where {sample_position("image_id")} < 0.25),
+sampled_facts as (select fact_id from facts where {sample_position("fact_id")} < 0.25),
+daily as (select o_orderdate::date as ts from orders
+          where o_orderdate::date >= (select max(o_orderdate)::date - 180 from orders) group by all),
+fact_days as (select distinct coalesce(object_date, (select max(o_orderdate)::date from orders)) as ts from facts),
+series as (select 'orders' as kpi_id, ts from daily union all select 'demo_kpi', ts from fact_days),
+fits as (select kpi_id, count(*) as n from series group by kpi_id union all
+         select s.kpi_id, count(*) from series s join (select kpi_id, ts as split_ts from series
+             qualify row_number() over (partition by kpi_id order by ts desc) <= {BACKTEST_SPLITS}) p
+             on s.kpi_id = p.kpi_id and s.ts <= p.split_ts group by s.kpi_id, split_ts),
+sizes as (select (select count(*) from chunks) as chunks, (select count(*) from with_tokens) as vectors,
+                 (select least(200, count(*)) from chunks) as hot, (select count(*) from facts) as facts,
+                 (select count(*) from captions) as images, (select count(*) from sampled_images) as s_images,
+                 (select count(*) from sampled_facts) as s_facts, (select count(*) from benchmark) as questions)
+"""
+RUN_TABLES = {
+    "objects_images": "0", "objects_pdfs": "0", "objects_screens": "0", "text_chunks": "chunks", "image_desc": "images",
+    "text_emb": "vectors",
+    "image_emb": r"(select count(*) from captions where regexp_matches(caption, '[\p{L}\p{N}]'))",
+    "facts_generic": "facts", "edges_semantic": "hot * 40", "answers": "questions",
+    "kpi_series": "(select count(*) from series)",
+    "kpi_forecast": f"(select count(*) * {HORIZON_DAYS} from fits where n >= 3)",
+    "metrics_validators": "s_images + s_facts + images + facts", "metrics_retrieval": "hot",
+    "prompt_log": "chunks + s_images + s_facts + questions", "metrics_index_state": "2", "hot_queries": "hot",
+    "precomputed_neighbors": "hot * 64", "retrieval_gt": "hot",
+}
+
 HIT_COLUMNS = "query_id, item_id, distance, rank::int as rank"
 FACT_COLUMNS = "fact_id, subject, predicate, object_value, object_number, object_date, source_uri, offset_end, confidence"
 CONVERSATION_CHUNKS = f"""
@@ -367,4 +406,7 @@ ORACLES: dict[str, str] = {
     "stream_daily_counts": """select event_type as kpi_id, ts::date as ts, count(*)::double as value from events
         where ts::date + interval 1 day <= (select max(ts) - interval 1 hour from events) group by all""",
     "stream_chunks": CONVERSATION_CHUNKS,
+    "stored_run_counts": f"with {RUN_COUNTS} " + " union all ".join(
+        f"select '{table}' as table_name, ({n})::bigint as n from sizes" for table, n in RUN_TABLES.items()
+    ),
 }

@@ -8,7 +8,7 @@ from evidex.plans.oracles import ORACLES
 from evidex.plans.registered import QUERIES
 
 # Checked in their own way elsewhere in the tests.
-ROWS_ONLY = {"ivf_topk", "ivf_recall", "list_objects", "stored_run_counts"}
+ROWS_ONLY = {"ivf_topk", "ivf_recall", "list_objects"}
 
 
 @pytest.fixture(scope="module")
