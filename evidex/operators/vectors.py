@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from evidex.functions.scalars import predicate
 from evidex.operators.groups import topk_per_group
+from evidex.session import estimated_splits
 
 # Fixed values (defaults the results depend on).
 SEARCH_K = 40
@@ -31,6 +32,7 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 BLOCK_BASE_ROWS = 16_384
 BLOCK_QUERY_ROWS = 1_024
 SCORES_PER_STEP = 4_000_000
+CANDIDATES_PER_TASK = 100_000
 
 
 def drop_empty_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
@@ -287,7 +289,9 @@ def search(
         found = _meet_in_blocks(
             slim, wanted, probes is not None, k, ddl, arrow, block_base_rows, block_query_rows
         )
-    best = topk_per_group(found, ["query_id"], [F.col("distance"), F.col("item_id")], k, salt_by=F.col("item_id"))
+    # Every task adds k candidates per query; beyond a few they are first cut down in parallel.
+    salt = F.col("item_id") if k * estimated_splits(slim) > CANDIDATES_PER_TASK else None
+    best = topk_per_group(found, ["query_id"], [F.col("distance"), F.col("item_id")], k, salt_by=salt)
     return best, held is not None
 
 

@@ -41,19 +41,21 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def estimated_splits(df: DataFrame) -> float:
+    """Full input splits of a plan by its own size estimate; nothing is run."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return int(str(size)) / split
+
+
 def fill_cores(df: DataFrame, *keys: str) -> DataFrame:
     """Spread an input that is too small to give every core a split.
 
-    The decision uses the plan's size estimate. An input with at least one full split per core keeps
-    the scan's own partitioning, so large tables are never shuffled for this.
+    An input with at least one full split per core keeps the scan's own partitioning, so large tables are
+    never shuffled for this.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    if int(str(estimate)) >= cores * split:
-        return df
-    return df.repartition(cores, *keys)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if estimated_splits(df) >= cores else df.repartition(cores, *keys)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
