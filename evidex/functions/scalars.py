@@ -114,11 +114,6 @@ def null_if_empty(items: Column) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
-def whole_minutes_between(earlier: Column | str, later: Column | str) -> Column:
-    """Completed minutes from `earlier` to `later`; 60 min 59 s counts as 60."""
-    return F.timestamp_diff("MINUTE", as_column(earlier), as_column(later))
-
-
 def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Add expensive columns so that later filters use their values.
 

@@ -94,13 +94,18 @@ def pending(source: DataFrame, done: DataFrame, *keys: str, max_broadcast: int =
     return source.join(known, ids, "left_anti")
 
 
+def call_id(prompt_id: str, version: Column, key: str) -> Column:
+    """Id of one model call: the same prompt, version and row always give the same id."""
+    return stable_id(F.lit(prompt_id), F.lit("|"), version, F.lit("|"), F.col(key))
+
+
 def prompt_log(
     work: DataFrame, prompt_id: str, prompt_version: Column | str, model_id: str, input_text: Column | str, key: str
 ) -> DataFrame:
     """One log row per model call, taken from the same pending rows that are sent to the model."""
     version = F.lit(prompt_version) if isinstance(prompt_version, str) else prompt_version
     return work.select(
-        stable_id(F.lit(prompt_id), F.lit("|"), version, F.lit("|"), F.col(key)).alias("call_id"),
+        call_id(prompt_id, version, key).alias("call_id"),
         F.lit(prompt_id).alias("prompt_id"),
         version.alias("prompt_version"),
         F.lit(model_id).alias("model_id"),

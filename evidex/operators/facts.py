@@ -29,36 +29,43 @@ ENTITY_PATTERN = r"\p{Lu}[\p{L}\p{N}]*"
 
 
 def rule_facts(
-    text: Column | str = "text",
+    text: str = "text",
     entity: str = ENTITY_PATTERN,
     number: str = NUMBER_PATTERN,
     date: str = ISO_DATE_PATTERN,
     entity_group: int = 0,
     number_group: int = 0,
-) -> Column:
+) -> Callable[[DataFrame], DataFrame]:
     """Built-in model: the first entity, number and date of the whole text, found by patterns.
 
-    Confidence is 0.5 for an entity, plus 0.3 for a number and 0.2 for a date.
+    Confidence is 0.5 for an entity, plus 0.3 for a number and 0.2 for a date. Each pattern is matched once per row.
     """
-    body = as_column(text)
-    subject = first_match(body, entity, entity_group)
-    value = first_match(body, number, number_group)
-    day = first_match(body, date)
-    # Exact fifths keep the sum independent of the order of addition.
-    tenths = (
-        F.when(subject.isNotNull(), 5).otherwise(0)
-        + F.when(value.isNotNull(), 3).otherwise(0)
-        + F.when(day.isNotNull(), 2).otherwise(0)
-    )
-    return F.struct(
-        subject.alias("entity"),
-        F.when(value.isNotNull(), "has_value").when(day.isNotNull(), "has_date").otherwise("mentioned").alias("predicate"),
-        F.coalesce(value, day).alias("value_text"),
-        value.try_cast("double").alias("value_number"),
-        day.alias("value_date"),
-        (tenths / F.lit(10.0)).alias("confidence"),
-        F.lit(None).cast("string").alias("source_span"),
-    )
+
+    def model(df: DataFrame) -> DataFrame:
+        found = compute_once(
+            df,
+            _entity=first_match(text, entity, entity_group),
+            _value=first_match(text, number, number_group),
+            _day=first_match(text, date),
+        )
+        has_value, has_day = F.col("_value").isNotNull(), F.col("_day").isNotNull()
+        tenths = (
+            F.when(F.col("_entity").isNotNull(), 5).otherwise(0)
+            + F.when(has_value, 3).otherwise(0)
+            + F.when(has_day, 2).otherwise(0)
+        )
+        out = F.struct(
+            F.col("_entity").alias("entity"),
+            F.when(has_value, "has_value").when(has_day, "has_date").otherwise("mentioned").alias("predicate"),
+            F.coalesce("_value", "_day").alias("value_text"),
+            F.col("_value").try_cast("double").alias("value_number"),
+            F.col("_day").alias("value_date"),
+            (tenths / F.lit(10.0)).alias("confidence"),
+            F.lit(None).cast("string").alias("source_span"),
+        )
+        return found.withColumn("out", out)
+
+    return model
 
 
 def model_input(text: Column | str, chars: int = MODEL_INPUT_CHARS) -> Column:
@@ -93,7 +100,7 @@ def extract_facts(
     if max_rows:
         todo = todo.orderBy("chunk_id").limit(max_rows)
     if model is None:
-        model = rule_facts("text")
+        model = rule_facts()
     made = compute_once(todo, out=model) if isinstance(model, Column) else model(todo)
     return made.select(
         "fact_id",

@@ -113,10 +113,13 @@ def validator_coverage(results: DataFrame) -> DataFrame:
 
 
 def rule_outcomes(results: DataFrame) -> DataFrame:
-    """(name, result, note) per rule: passed only if every known result passed; all unknown stays NULL."""
-    return results.groupBy(F.col("rule_id").alias("name")).agg(
-        F.bool_and("result_bool").alias("result"), F.min("note").alias("note")
-    )
+    """(name, result, note) per rule: passed only if every known result passed; all unknown stays NULL.
+
+    Rows are first reduced per rule and note, with a hash aggregate; a smallest string over all rows would make
+    Spark sort them.
+    """
+    per_note = results.groupBy(F.col("rule_id").alias("name"), "note").agg(F.bool_and("result_bool").alias("result"))
+    return per_note.groupBy("name").agg(F.bool_and("result").alias("result"), F.min("note").alias("note"))
 
 
 def validator_rollup(results: DataFrame) -> DataFrame:

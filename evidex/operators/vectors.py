@@ -33,6 +33,7 @@ BLOCK_BASE_ROWS = 16_384
 BLOCK_QUERY_ROWS = 1_024
 SCORES_PER_STEP = 4_000_000
 CANDIDATES_PER_TASK = 100_000
+CANDIDATES = 1_000_000_000
 
 
 def drop_empty_vectors(df: DataFrame, vector: str = "vector") -> DataFrame:
@@ -142,6 +143,15 @@ def _one_array(table: pa.Table, name: str) -> pa.Array:
     return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
 
 
+def _fewer_tasks(base: DataFrame, candidates: int) -> DataFrame:
+    """Let one task read several splits when each task would hand on many candidates.
+
+    Merging partitions needs no shuffle; the cores stay busy with at least four tasks each.
+    """
+    tasks = max(4 * base.sparkSession.sparkContext.defaultParallelism, CANDIDATES // candidates)
+    return base.coalesce(tasks) if estimated_splits(base) > tasks else base
+
+
 def _scan_with_broadcast(base: DataFrame, held: pa.Table, probes: pa.Table | None, k: int, ddl: str, arrow: pa.Schema):
     rows, matrix = _unit_rows(_one_array(held, "vector"))
     query_ids = np.asarray(held["query_id"].to_pylist(), dtype=object)[rows]
@@ -282,7 +292,7 @@ def search(
         if pairs is not None:
             probed = sorted(set(pairs["cell"].to_pylist()))
             slim = slim.filter(F.col("cell").isin(probed))
-        found = _scan_with_broadcast(slim, held, pairs, k, ddl, arrow)
+        found = _scan_with_broadcast(_fewer_tasks(slim, held.num_rows * k), held, pairs, k, ddl, arrow)
     else:
         if probes is not None:
             wanted = wanted.join(probes.select("query_id", F.col("cell").cast("int")), "query_id")

@@ -15,7 +15,7 @@ from evidex.operators import ivf, kpi
 from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
-from evidex.operators.chunks import chunks_from_captions, prompt_log
+from evidex.operators.chunks import call_id, chunks_from_captions, pending, prompt_log
 from evidex.operators.embed import HASHED_MODEL, IMAGE_DIM, TEXT_DIM, embed_missing, hashed_embedding
 from evidex.operators.facts import extract_facts
 from evidex.operators.vectors import vector_topk
@@ -82,11 +82,14 @@ def refresh_index_state(t: TableFolder) -> None:
 
 
 def refresh_facts(t: TableFolder, s: Settings) -> None:
-    chunks, done = t.read("text_chunks"), t.read("facts_generic")
-    log = prompt_log(chunks, "facts_v1", "facts_v1", "facts", "text", "chunk_id")
-    facts = extract_facts(chunks, s.fact_model, done, max_rows=s.max_fact_rows)
-    t.insert("facts_generic", facts)
-    t.insert("prompt_log", log)
+    """Ask for facts of the chunks that no logged call covers, also not one without a usable fact."""
+    version = F.lit("facts_v1")
+    chunks = t.read("text_chunks").withColumn("call_id", call_id("facts_v1", version, "chunk_id"))
+    todo = pending(chunks, t.read("prompt_log"), "call_id")
+    if s.max_fact_rows:
+        todo = todo.orderBy("chunk_id").limit(s.max_fact_rows)
+    t.insert("facts_generic", extract_facts(todo, s.fact_model))
+    t.insert("prompt_log", prompt_log(todo, "facts_v1", version, "facts", "text", "chunk_id"))
 
 
 def refresh_holdout(t: TableFolder, s: Settings) -> None:

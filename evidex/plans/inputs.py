@@ -111,7 +111,7 @@ def order_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = rule_facts("text", entity=ORDER_ENTITY, number=ORDER_TOTAL, number_group=1)
+    model = rule_facts(entity=ORDER_ENTITY, number=ORDER_TOTAL, number_group=1)
     return extract_facts(order_chunks(spark, sf_dir), model)
 
 

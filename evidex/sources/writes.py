@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidex.functions.scalars import whole_minutes_between
 from evidex.operators.chunks import pending
 from evidex.operators.groups import topk_per_group
 from evidex.sources.tables import REWRITTEN, TABLES
@@ -51,9 +50,13 @@ def upsert(
 
 
 def purge_expired(df: DataFrame, ts_col: str, now: Column, ttl_min: int = CACHE_TTL_MIN) -> DataFrame:
-    """Rows not older than `ttl_min` completed minutes at `now`; rows without a time stay."""
-    age = whole_minutes_between(F.col(ts_col).cast("timestamp"), now.cast("timestamp"))
-    return df.filter(F.col(ts_col).isNull() | (age <= ttl_min))
+    """Rows not older than `ttl_min` completed minutes at `now`; rows without a time stay.
+
+    60 min 59 s are 60 completed minutes, so a row goes when it is a whole minute more than `ttl_min` old. The
+    border is compared with the plain column and can be checked against the files' statistics.
+    """
+    border = now.cast(df.schema[ts_col].dataType) - F.make_dt_interval(mins=F.lit(ttl_min + 1))
+    return df.filter(F.col(ts_col).isNull() | (F.col(ts_col) > border))
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

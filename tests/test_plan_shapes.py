@@ -1,9 +1,18 @@
 """No registered query plans a cross join or a nested loop, and none reads columns it does not need."""
 
+import re
+from datetime import date, datetime
+
 import pytest
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
+from evidex.operators.chunks import pending
+from evidex.operators.facts import extract_facts
+from evidex.operators.kpi import kpi_daily_counts
+from evidex.plans.inputs import document_chunks, read
 from evidex.plans.registered import QUERIES
+from evidex.sources.writes import purge_expired
 
 RUNS_JOBS = {"stored_run_counts", "stream_daily_counts", "stream_chunks"}
 
@@ -21,3 +30,40 @@ def test_scans_are_narrow(spark):
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan
     plan = QUERIES["vector_topk"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "label" not in plan.split("ReadSchema")[1]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_time_filters_reach_the_files(spark):
+    orders = read(spark, SF_DIR, "orders")
+    counts = kpi_daily_counts(orders, "o_orderdate", "orders", date(2001, 8, 1))
+    assert "GreaterThanOrEqual(o_orderdate,2001-02-02T00:00)" in plan_of(counts)
+    events = read(spark, SF_DIR, "events")
+    now = F.lit(datetime(2024, 1, 20, 12))
+    assert "GreaterThan(ts,2024-01-20T10:59)" in plan_of(purge_expired(events, "ts", now))
+
+
+def test_each_pattern_is_matched_once_per_row(spark):
+    """The filters on facts stand above the generator that keeps the matches."""
+    plan = plan_of(extract_facts(document_chunks(spark, SF_DIR)))
+    assert plan.count("regexp_extract(") == 3
+    assert plan.index("Filter") < plan.index("Generate") < plan.index("regexp_extract(")
+
+
+def test_rule_outcomes_do_not_sort_all_rows(spark):
+    plan = plan_of(QUERIES["validator_rollup"](spark, SF_DIR))
+    assert re.search(r"HashAggregate\(keys=\[rule_id#\d+, note#\d+\], functions=\[partial_", plan)
+    # The only sorted aggregate is over rows already reduced to one per rule and note.
+    assert "HashAggregate(keys=" in plan[plan.rindex("SortAggregate"):]
+
+
+def test_wide_rows_stay_when_few_keys_are_pending(spark):
+    docs = read(spark, SF_DIR, "documents")
+    todo = pending(docs, docs.filter("doc_id > 3").select("doc_id"), "doc_id")
+    assert todo.count() == 4
+    plan = plan_of(todo)
+    assert "LeftSemi" in plan and "LeftAnti" in plan
+    wide = pending(docs, docs.filter("doc_id > 3").select("doc_id"), "doc_id", max_broadcast=2)
+    assert sorted(r.doc_id for r in wide.collect()) == [0, 1, 2, 3] and "LeftSemi" not in plan_of(wide)
