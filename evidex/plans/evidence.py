@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidex.functions.scalars import SEED
+from evidex.functions.scalars import SEED, first_number
 from evidex.operators import answers as A
 from evidex.operators import ivf, kpi
 from evidex.operators import neighbors as N
@@ -20,7 +21,7 @@ from evidex.operators.embed import HASHED_MODEL, IMAGE_DIM, TEXT_DIM, embed_miss
 from evidex.operators.facts import extract_facts
 from evidex.operators.vectors import vector_topk
 from evidex.session import stored
-from evidex.sources.writes import CACHE_TTL_MIN, TableFolder
+from evidex.sources.writes import CACHE_TTL_MIN, TableFolder, table_counts
 
 COLOR_WORDS = (
     "red", "orange", "yellow", "green", "blue", "purple", "pink", "brown", "black", "white", "grey",
@@ -55,11 +56,11 @@ class Settings:
 
 
 def refresh_chunks(t: TableFolder, chunks: Sequence[DataFrame], image_desc: DataFrame | None) -> None:
+    found = list(chunks)
     if image_desc is not None:
         t.insert("image_desc", image_desc)
-        t.insert("text_chunks", chunks_from_captions(t.read("image_desc")))
-    for df in chunks:
-        t.insert("text_chunks", df)
+        found.append(chunks_from_captions(t.read("image_desc")))
+    t.insert("text_chunks", reduce(DataFrame.unionByName, found))
 
 
 def refresh_embeddings(t: TableFolder, s: Settings) -> None:
@@ -74,10 +75,8 @@ def refresh_embeddings(t: TableFolder, s: Settings) -> None:
 def refresh_index_state(t: TableFolder) -> None:
     """Record which embedding tables are due for new cells; the caller trains them with `ivf.train_cells`."""
     names = {"text_emb_idx": "text_emb", "image_emb_idx": "image_emb"}
-    counts = None
-    for index_name, table in names.items():
-        one = t.read(table).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(index_name).alias("index_name"), "row_count")
-        counts = one if counts is None else counts.unionAll(one)
+    counts = table_counts({index_name: t.read(table) for index_name, table in names.items()})
+    counts = counts.select(F.col("table_name").alias("index_name"), F.col("n").alias("row_count"))
     t.upsert("metrics_index_state", ivf.index_state(ivf.index_decision(counts, t.read("metrics_index_state"))))
 
 
@@ -109,20 +108,22 @@ def refresh_validators(t: TableFolder, s: Settings) -> None:
     # Both tables have unique ids, so that there is nothing to cap.
     every = {"done": done, "seed": s.seed, "cap": None}
     sampled = {**every, "sample_frac": s.sample_frac}
-    number = V.first_number("object_value")
-    for rule, key, text, rows in (
-        ("rule_color_match", "image_id", "caption", images),
-        ("rule_total", "fact_id", "object_value", facts),
-    ):
-        due = V.checks_due(rows, rule, key, **sampled)
-        t.insert("prompt_log", prompt_log(due, f"validator_v1:{rule}", "validator_v1", "validator", F.coalesce(text, F.lit("")), "item_id"))
-    for results in (
+    asked = [
+        (V.checks_due(images, "rule_color_match", "image_id", **sampled), "color", "caption"),
+        (V.checks_due(facts, "rule_total", "fact_id", **sampled), "total", "object_value"),
+    ]
+    logs = [
+        prompt_log(due, f"validator_v1:{name}", "validator_v1", "validator", F.coalesce(text, F.lit("")), "item_id")
+        for due, name, text in asked
+    ]
+    results = [
         V.run_bool_validator(images, "rule_color_match", "image_id", V.mentions_any("caption", s.color_words), **sampled),
-        V.run_tolerance_validator(facts, "rule_total", "fact_id", number, "object_number", **sampled),
+        V.run_tolerance_validator(facts, "rule_total", "fact_id", first_number("object_value"), "object_number", **sampled),
         V.brand_model_match(images, s.brand_words, **every),
         V.table_vs_text_total(facts, **every),
-    ):
-        t.insert("metrics_validators", results)
+    ]
+    t.insert("prompt_log", reduce(DataFrame.unionByName, logs))
+    t.insert("metrics_validators", reduce(DataFrame.unionByName, results))
 
 
 def refresh_neighbors(t: TableFolder, s: Settings) -> None:
@@ -157,12 +158,12 @@ def refresh_answers(t: TableFolder, s: Settings, questions: DataFrame) -> None:
 
 def refresh_kpis(t: TableFolder, s: Settings, daily: Sequence[DataFrame], as_of: Column | date) -> None:
     """Series from facts and from daily counts, then forecasts and backtests of all KPIs."""
-    t.upsert("kpi_series", kpi.kpi_from_facts(t.read("facts_generic"), as_of))
-    for series in daily:
-        t.upsert("kpi_series", series)
+    found = [kpi.kpi_from_facts(t.read("facts_generic"), as_of), *daily]
+    t.upsert("kpi_series", reduce(DataFrame.unionByName, found))
     series = t.read("kpi_series")
-    t.upsert("kpi_forecast", kpi.forecast(series, s.horizon))
-    t.upsert("kpi_forecast", kpi.forecast_backtest(series, horizon=s.horizon))
+    production = kpi.forecast(series, s.horizon)
+    backtests = kpi.forecast_backtest(series, horizon=s.horizon).select(production.columns)
+    t.upsert("kpi_forecast", production.unionByName(backtests))
 
 
 def refresh(

@@ -24,7 +24,7 @@ from evidex.plans.evidence import Settings, refresh
 from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import writes as S
 from evidex.sources.objects import list_objects, object_catalog
-from evidex.streaming.daily import daily_counts, insert_stream, read_files_as_stream, run_available
+from evidex.streaming.daily import daily_counts, insert_stream, read_files_as_stream, run_available, state_session
 
 EMBEDDINGS = {"item_id": "vec_id", "vector": "embedding"}
 BRAND_WORDS = ("widget", "bolt")
@@ -497,7 +497,7 @@ def forecast_preview(spark: SparkSession, sf: str) -> DataFrame:
 def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     I.use_utc(spark)
     out = shared_folder(spark, "daily-counts")
-    events = read_files_as_stream(spark, sf, "events.parquet")
+    events = read_files_as_stream(state_session(spark), sf, "events.parquet")
     run_available(daily_counts(events, "ts", "event_type", "event_id"), f"{out}/data", f"{out}/state")
     return spark.read.schema("kpi_id string, ts date, value double").parquet(f"{out}/data")
 

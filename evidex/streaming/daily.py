@@ -34,6 +34,17 @@ def daily_counts(events: DataFrame, ts: str, kpi_id: str, event_key: str, late:
     )
 
 
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session whose stateful streams keep one state partition per core.
+
+    The number is fixed for the life of a checkpoint, so it is chosen by the cluster and not by the default.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    return session
+
+
 def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
     """Process what is there and stop; a restart with the same checkpoint goes on after it."""
     query = (

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidex.sources import writes as S
-from evidex.sources.objects import object_catalog, register_uris
+from evidex.operators.chunks import PDF_SUFFIX, extract_chunks
+from evidex.sources.objects import list_objects, object_catalog, register_uris
 from evidex.sources.tables import REWRITTEN, TABLES
 
 
@@ -103,3 +104,20 @@ def test_append_only_tables_refuse_updates(spark, tmp_path):
 def test_counts_cover_every_table(spark, tmp_path):
     rows = {r.table_name: r.n for r in S.TableFolder(spark, str(tmp_path)).counts().collect()}
     assert set(rows) == set(TABLES) and set(rows.values()) == {0} and REWRITTEN < set(TABLES)
+
+
+def test_files_become_chunks_and_only_new_ones_are_opened(spark, tmp_path):
+    for name, text in (("a.txt", "Üben"), ("sub/b.txt", "two"), ("c.bin", "other"), ("empty.txt", "")):
+        path = tmp_path / "files" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf-8")
+    listing = list_objects(spark, str(tmp_path / "files"), "*.txt")
+    assert "content" not in listing.columns and listing.count() == 3
+    assert "content" not in listing._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+
+    files = list_objects(spark, str(tmp_path / "files"), "*.txt", with_content=True)
+    read = lambda df: df.withColumn("text", F.decode("content", "UTF-8"))
+    chunks = extract_chunks(files, PDF_SUFFIX, extractor=read)
+    assert sorted(r.text for r in chunks.collect()) == ["two", "Üben"]
+    done = chunks.filter("text = 'two'").select("chunk_id")
+    assert [r.text for r in extract_chunks(files, PDF_SUFFIX, extractor=read, done=done).collect()] == ["Üben"]
