@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 
 def list_objects(spark: SparkSession, prefix: str, pattern: str = "*", with_content: bool = False) -> DataFrame:
-    """Files below a prefix. Without content only the listing is read, not the files."""
+    """Files below a prefix. Without content only the listing is read, not the files.
+
+    Spark's file sources leave out files of zero length, which could give no chunk anyway.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
