@@ -385,7 +385,7 @@ ORACLES: dict[str, str] = {
         where o_orderdate::date >= (select max(o_orderdate)::date - 180 from orders) group by all""",
     "kpi_from_facts": f"""with {ALL_FACTS} select 'demo_kpi' as kpi_id,
         coalesce(object_date, (select max(o_orderdate)::date from orders)) as ts,
-        round(coalesce(sum(object_number::varchar::decimal(28,10))::double, 0.0), 2) as value from facts group by all""",
+        coalesce(sum(object_number::varchar::decimal(28,10))::varchar::double, 0.0) as value from facts group by all""",
     "forecast": f"with {FORECAST} select run_id, kpi_id, ts, {FORECAST_COLUMNS}, backtest from forecasts",
     "forecast_backtest": f"""with {SERIES},
         splits as (select kpi_id, ts as split_ts from series
