@@ -11,6 +11,7 @@ from evidex.functions.scalars import (
     SNIPPET_CHARS,
     ab_variant,
     clamp01,
+    compute_once,
     keep_allowed,
     null_if_empty,
     snippet,
@@ -42,43 +43,42 @@ def answer_inputs(
     gathered = best.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("contexts"))
     rows = questions.select("query_id", "query").join(gathered, "query_id", "left")
     uris = F.array_sort(F.array_distinct(F.transform("contexts", lambda c: c["source_uri"])))
-    return rows.withColumns(
-        {
-            "context_text": F.array_join(F.transform("contexts", lambda c: c["snippet"]), CONTEXT_SEPARATOR),
-            "allowed_uris": null_if_empty(uris),
-        }
-    ).withColumn(
-        "allowed_sources", F.concat(F.lit("Allowed sources: "), F.array_join("allowed_uris", ", "))
-    )
+    return compute_once(
+        rows,
+        context_text=F.array_join(F.transform("contexts", lambda c: c["snippet"]), CONTEXT_SEPARATOR),
+        allowed_uris=null_if_empty(uris),
+    ).withColumn("allowed_sources", F.concat(F.lit("Allowed sources: "), F.array_join("allowed_uris", ", ")))
 
 
-def extractive_answer() -> Column:
+def extractive_answer(inputs: DataFrame) -> DataFrame:
     """Built-in model: quote the snippet that shares most words with the question, cite all that share as many.
 
     Confidence is the share of the question's words found in the quoted snippet.
     """
-    words = F.array_distinct(tokens("query"))
+    df = compute_once(inputs, _words=F.array_distinct(tokens("query")))
     scored = F.array_sort(
         F.transform(
             "contexts",
             lambda c: F.struct(
-                (-F.size(F.array_intersect(words, tokens(c["snippet"])))).alias("missing_rank"),
+                (-F.size(F.array_intersect(F.col("_words"), tokens(c["snippet"])))).alias("missing_rank"),
                 c["rank"].alias("rank"),
                 c["source_uri"].alias("source_uri"),
                 c["snippet"].alias("snippet"),
             ),
         )
     )
-    best = F.try_element_at(scored, F.lit(1))
-    cited = F.filter(scored, lambda s: (s["missing_rank"] == best["missing_rank"]) & (s["missing_rank"] < 0))
-    found = best["missing_rank"] < 0
-    return F.struct(
-        F.when(found, best["snippet"]).alias("summary"),
+    df = compute_once(df, _scored=scored)
+    best = F.try_element_at("_scored", F.lit(1))
+    shared = best["missing_rank"]
+    cited = F.filter("_scored", lambda s: (s["missing_rank"] == shared) & (s["missing_rank"] < 0))
+    share = F.try_divide((-shared).cast("double"), F.size("_words").cast("double"))
+    out = F.struct(
+        F.when(shared < 0, best["snippet"]).alias("summary"),
         F.transform(cited, lambda s: s["source_uri"]).alias("citations"),
-        F.when(found, F.try_divide((-best["missing_rank"]).cast("double"), F.size(words).cast("double")))
-        .when(F.col("contexts").isNotNull(), F.lit(0.0)).alias("confidence"),
+        F.when(shared < 0, share).when(F.col("contexts").isNotNull(), F.lit(0.0)).alias("confidence"),
         F.lit(None).cast(NO_VALIDATORS).alias("validators"),
     )
+    return df.withColumn("out", out)
 
 
 def synthesize_answers(
@@ -101,7 +101,7 @@ def synthesize_answers(
         inputs = inputs.withColumn("rules", rollup.select("validators").scalar())
         inputs = inputs.withColumn("validators_summary", F.to_json("rules"))
     if model is None:
-        model = extractive_answer()
+        model = extractive_answer
     made = inputs.withColumn("out", model) if isinstance(model, Column) else model(inputs)
     allowed = F.coalesce("allowed_uris", F.array().cast("array<string>"))
     return made.select(
