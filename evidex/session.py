@@ -32,12 +32,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint directory.
 
-    Only a session without that setting (a local test) falls back to a temporary folder.
+    Without that setting only a session on one machine has a folder that all tasks share; a cluster must name one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="evidex-")
-        spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
