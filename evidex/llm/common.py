@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +48,7 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str, limit: int) -> I
         if batch.num_rows == 0:
             continue
         sizes = batch.column(batch.schema.get_field_index(text))
-        lengths = pa.compute.binary_length(sizes).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(sizes).fill_null(0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + n > limit:
@@ -108,3 +111,42 @@ def arrow_schema(**types: pa.DataType) -> pa.Schema:
 
 
 RowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+class WordHashes:
+    """64-bit hashes of words; known words are kept until the store is full."""
+
+    def __init__(self, limit: int = 400_000):
+        self.limit = limit
+        self.known: dict[bytes, int] = {}
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all words of the texts one after another, and the number of words of each text."""
+        split = [t.split() for t in texts]
+        flat = [w for ws in split for w in ws]
+        new = set(flat) - self.known.keys()
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
+            new = set(flat)
+        for w in new:
+            self.known[w] = xxhash.xxh3_64_intdigest(w)
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        return np.fromiter(map(self.known.__getitem__, flat), np.uint64, len(flat)), counts
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers that spreads their bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def sequence_hashes(words: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every run of `length` consecutive words; runs are not kept inside texts."""
+    n = words.size - length + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out = np.full(n, length, np.uint64)
+    for k in range(length):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
+    return out

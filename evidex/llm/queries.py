@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidex.llm import bpe, mixing, quality, tokenfile, topk, urlfilter, warc
+from evidex.llm import bpe, minhash, mixing, quality, tokenfile, topk, urlfilter, warc
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -23,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents, by four-word shingles."""
+    return minhash.link(table(spark, sf_dir, "documents"), words=4)
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, read back from the archives."""
     records, _, _ = warc.archive(table(spark, sf_dir, "pages"))
@@ -72,5 +77,5 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix)
+    f.__name__: f for f in (op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix)
 }
