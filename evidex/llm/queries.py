@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidex.llm import bpe, minhash, mixing, quality, tokenfile, topk, urlfilter, warc
+from evidex.llm import bpe, minhash, mixing, quality, substrings, tokenfile, topk, urlfilter, warc
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,6 +76,12 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 35 words that occur anywhere else."""
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix)
+    f.__name__: f for f in (op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix, op9_substrings)
 }
