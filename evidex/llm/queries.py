@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidex.llm import bpe, minhash, mixing, quality, substrings, tokenfile, topk, urlfilter, warc
+from evidex.llm import bpe, minhash, mixing, quality, substrings, tokenfile, topk, toxicity, urlfilter, warc
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -82,6 +82,12 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, learnt from the labels that are not held out."""
+    scored = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix, op9_substrings)
+    f.__name__: f for f in (op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix, op9_substrings, op10_toxicity)
 }
