@@ -36,7 +36,7 @@ ALWAYS = -1
 _COUNTS = arrow_schema(level=pa.int32(), slot=pa.int32(), n=pa.int64())
 _PARTS = arrow_schema(block=pa.string(), group=pa.int32(), n=pa.int32(), data=pa.binary())
 _PARTS_DDL = "block string, group int, n int, data binary"
-_OUT = arrow_schema(doc_id=pa.int64(), n_words=pa.int64(), n_removed=pa.int64(), text=pa.string())
+_OUT = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("text", pa.string())]
 
 
 def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -149,6 +149,10 @@ def _unpack_paths(data: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 * n), count=n).astype(bool)
 
 
+def _texts(parts: list[pa.RecordBatch]) -> list[bytes]:
+    return [t or b"" for rows in parts for t in rows.column(1).cast(pa.binary()).to_pylist()]
+
+
 def _send_windows(folder: str, table: np.ndarray, window: int, block_bytes: int):
     """Each block's distinct windows by group; its texts go to a file."""
 
@@ -156,8 +160,7 @@ def _send_windows(folder: str, table: np.ndarray, window: int, block_bytes: int)
         from pyspark import TaskContext
 
         hashes = WordHashes()
-        names: list[int | None] = []
-        texts: list[bytes] = []
+        parts: list[pa.RecordBatch] = []
         part, seq, held = TaskContext.get().partitionId(), 0, 0
 
         def close() -> Iterator[tuple]:
@@ -165,13 +168,14 @@ def _send_windows(folder: str, table: np.ndarray, window: int, block_bytes: int)
             # A task that is run again, for lost shuffle files too, makes the same blocks under the same names.
             block = f"{part:06d}-{seq:06d}.txt"
             seq += 1
-            rows = pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.large_binary())], names=["doc_id", "text"])
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema) as out:
-                out.write_batch(rows)
+            with pa.ipc.new_stream(sink, parts[0].schema) as out:
+                for rows in parts:
+                    out.write_batch(rows)
             file = CommittedFile(folder, block)
             file.write(zstandard.ZstdCompressor(level=3).compress(sink.getvalue()))
             file.commit()
+            texts = _texts(parts)
             _, _, group, path, number = _windows(texts, hashes, table, window)
             often = np.bincount(number, minlength=group.size) > 1
             cuts = np.flatnonzero(np.diff(group)) + 1
@@ -182,13 +186,12 @@ def _send_windows(folder: str, table: np.ndarray, window: int, block_bytes: int)
                     yield block, int(g[0]), g.size, _pack_paths(p, o)
 
         for batch in small_batches(batches, "text", BATCH_BYTES):
-            names += batch.column(0).to_pylist()
-            texts += [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            parts.append(batch)
             held += batch.column(1).nbytes
             if held >= block_bytes:
                 yield from as_batches(close(), _PARTS, 20)
-                names, texts, held = [], [], 0
-        if names:
+                parts, held = [], 0
+        if parts:
             yield from as_batches(close(), _PARTS, 20)
 
     return run
@@ -230,54 +233,58 @@ def _find_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from as_batches(rows(), _PARTS, 200)
 
 
-def _cut_texts(folder: str, table: np.ndarray, window: int):
+def _cut_texts(folder: str, table: np.ndarray, window: int, schema: pa.Schema):
     """Texts of a block without the words under repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = file_system(folder)
         hashes = WordHashes()
 
-        def rows() -> Iterator[tuple]:
-            for block, answers in _runs(batches, "block"):
-                bits = [np.unpackbits(np.frombuffer(r["data"], np.uint8), count=r["n"]) for r in answers if r["group"] != ALWAYS]
-                with fs.open_input_stream(f"{base}/{block}", compression=None) as stream:
-                    data = zstandard.ZstdDecompressor().decompress(stream.read())
-                docs = pa.ipc.open_stream(data).read_all()
-                texts = docs.column("text").to_pylist()
-                counts, starts, group, _, number = _windows(texts, hashes, table, window)
-                deep = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
-                if deep.size != group.size:
-                    raise ValueError(f"answers for {deep.size} of {group.size} windows")
-                hit = starts[deep[number]] if starts.size else starts
-                edges = np.zeros(int(counts.sum()) + 1, np.int64)
-                np.add.at(edges, hit, 1)
-                np.add.at(edges, hit + window, -1)
-                gone = np.cumsum(edges)[:-1] > 0
-                at = 0
-                for name, text, n in zip(docs.column("doc_id").to_pylist(), texts, counts.tolist()):
+        for block, answers in _runs(batches, "block"):
+            bits = [np.unpackbits(np.frombuffer(r["data"], np.uint8), count=r["n"]) for r in answers if r["group"] != ALWAYS]
+            with fs.open_input_stream(f"{base}/{block}", compression=None) as stream:
+                data = zstandard.ZstdDecompressor().decompress(stream.read())
+            parts = list(pa.ipc.open_stream(data))
+            texts = _texts(parts)
+            counts, starts, group, _, number = _windows(texts, hashes, table, window)
+            deep = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
+            if deep.size != group.size:
+                raise ValueError(f"answers for {deep.size} of {group.size} windows")
+            hit = starts[deep[number]] if starts.size else starts
+            edges = np.zeros(int(counts.sum()) + 1, np.int64)
+            np.add.at(edges, hit, 1)
+            np.add.at(edges, hit + window, -1)
+            gone = np.cumsum(edges)[:-1] > 0
+            at = doc = 0
+            for rows in parts:
+                kept, removed = [], []
+                for text, n in zip(texts[doc : doc + rows.num_rows], counts[doc : doc + rows.num_rows].tolist()):
                     own, at = gone[at : at + n], at + n
                     words = text.split()
                     if own.any():
                         words = [words[i] for i in np.flatnonzero(~own)]
-                    yield name, n, n - len(words), b" ".join(words)
-
-        yield from as_batches(rows(), _OUT, 300)
+                    kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                    removed.append(n - len(words))
+                columns = [rows.column(0), pa.array(counts[doc : doc + rows.num_rows]), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
+                doc += rows.num_rows
+                yield pa.RecordBatch.from_arrays([*columns, *rows.columns[2:]], schema=schema)
 
     return run
 
 
 def remove_repeats(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, group_windows: int = GROUP_WINDOWS, block_bytes: int = BLOCK_BYTES
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, keep: tuple[str, ...] = (), group_windows: int = GROUP_WINDOWS, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Remove each word under a window of `window` words whose sequence also starts elsewhere, in any text.
 
-    Returns doc_id, n_words, n_removed, text (the kept words joined by one space). Windows are judged on the input: no
+    Returns doc_id, n_words, n_removed, text (the kept words joined by one space) and the string columns `keep`. Windows are judged on the input: no
     occurrence stays. A null or empty text, or one shorter than the window, loses nothing. Rows count by themselves, so
     repeated rows remove each other whatever their ids, null included. An empty table gives no rows. Other columns are
     ignored. `docs` must read the same rows again when a task is repeated, as stored tables do. Windows are told apart by 64-bit hashes inside groups that split by other hashes of their first words.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    kept = [F.col(c).cast("string").alias(f"keep{i}") for i, c in enumerate(keep)]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *kept)
     counted = rows.select("text").mapInArrow(_count_prefixes(window), "level int, slot int, n long")
     # At most len(PREFIXES) * SLOTS rows come back.
     counts = [tuple(r) for r in counted.groupBy("level", "slot").agg(F.sum("n").alias("n")).collect()]
@@ -289,4 +296,7 @@ def remove_repeats(
     found = sent.repartition("group").sortWithinPartitions("group").mapInArrow(_find_nodes, _PARTS_DDL)
     found = stored_table(found, "nodes")
     back = found.repartition("block").sortWithinPartitions("block", "group")
-    return back.mapInArrow(_cut_texts(folder, table, window), "doc_id long, n_words long, n_removed long, text string")
+    fields = [f"keep{i}" for i in range(len(keep))]
+    schema = pa.schema([*_OUT, *[(f, pa.string()) for f in fields]])
+    ddl = ", ".join(["doc_id long, n_words long, n_removed long, text string", *[f"{f} string" for f in fields]])
+    return back.mapInArrow(_cut_texts(folder, table, window, schema), ddl).withColumnsRenamed(dict(zip(fields, keep)))
