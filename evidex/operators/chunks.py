@@ -20,9 +20,6 @@ HIDDEN_HTML = r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 ANY_TAG = r"(?s)<[^>]*>"
 TITLE = r"(?is)<title>(.*?)</title>"
 
-# Limit of a broadcast of pending keys.
-MAX_PENDING_KEYS = 200_000
-
 
 def html_text(html: Column | str) -> Column:
     """Visible text of a page: scripts, styles, comments and tags go, runs of blanks become one."""
@@ -77,21 +74,12 @@ def chunks_from_captions(image_desc: DataFrame) -> DataFrame:
     return extract_chunks(image_desc, CAPTION_SUFFIX, "source_uri", "caption")
 
 
-def pending(source: DataFrame, done: DataFrame, *keys: str, max_broadcast: int = MAX_PENDING_KEYS) -> DataFrame:
-    """Rows of `source` whose key is not in `done`.
+def pending(source: DataFrame, done: DataFrame, *keys: str) -> DataFrame:
+    """Rows of `source` whose key is not in `done`; a key with a NULL is never done.
 
-    Only the keys are compared first. If few are pending, which is the normal case of a re-run, they are
-    broadcast and the wide rows stay in place; else the rows are anti-joined.
+    One anti join, so the source is evaluated once. Spark broadcasts the known keys or shuffles both sides by their size.
     """
-    if done.isEmpty():
-        return source
-    ids = list(keys)
-    known = done.select(*ids)
-    if set(source.columns) != set(ids):
-        todo = source.select(*ids).join(known, ids, "left_anti")
-        if todo.limit(max_broadcast + 1).count() <= max_broadcast:
-            return source.join(F.broadcast(todo), ids, "left_semi")
-    return source.join(known, ids, "left_anti")
+    return source.join(done.select(*keys), list(keys), "left_anti")
 
 
 def call_id(prompt_id: str, version: Column, key: str) -> Column:

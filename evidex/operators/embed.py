@@ -58,15 +58,9 @@ def embed_missing(
     dim: int = TEXT_DIM,
     model_id: str = HASHED_MODEL,
     embedder: Callable[[DataFrame, str, str, int], DataFrame] = hashed_embedding,
-    max_rows: int | None = None,
 ) -> DataFrame:
-    """(key, model_id, vector, vector_dim) for rows with text and without an embedding.
-
-    `max_rows` limits one run to the first pending keys; the rest stays pending for the next run.
-    """
+    """(key, model_id, vector, vector_dim) for rows with text and without an embedding."""
     todo = pending(rows.filter(F.col(text).isNotNull()).select(key, text), done, key)
-    if max_rows:
-        todo = todo.orderBy(key).limit(max_rows)
     made = embedder(todo, key, text, dim).filter(F.col("vector").isNotNull() & (F.size("vector") > 0))
     return made.select(
         key, F.lit(model_id).alias("model_id"), "vector", F.size("vector").cast("bigint").alias("vector_dim")

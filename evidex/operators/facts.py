@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from evidex.functions.scalars import (
     ISO_DATE_PATTERN,
     NUMBER_PATTERN,
-    as_column,
     compute_once,
     first_match,
     safe_date,
@@ -20,7 +19,6 @@ from evidex.operators.chunks import pending
 
 # Fixed values (defaults the results depend on).
 MIN_CONFIDENCE = 0.65
-MODEL_INPUT_CHARS = 1500
 FACT_SCHEMA = (
     "entity string, predicate string, value_text string, value_number double, "
     "value_date string, confidence double, source_span string"
@@ -68,40 +66,24 @@ def rule_facts(
     return model
 
 
-def model_input(text: Column | str, chars: int = MODEL_INPUT_CHARS) -> Column:
-    """Clamp of the text for a plugged-in model with a limited input; the built-in rules read whole texts."""
-    return F.substring(as_column(text), 1, chars)
+def ask_facts(chunks: DataFrame, model: Column | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The chunks with the model's answer in the struct `out`.
 
-
-def extract_facts(
-    chunks: DataFrame,
-    model: Column | Callable[[DataFrame], DataFrame] | None = None,
-    done: DataFrame | None = None,
-    min_confidence: float = MIN_CONFIDENCE,
-    key: str = "chunk",
-    max_rows: int | None = None,
-) -> DataFrame:
-    """One fact per chunk, kept when its confidence reaches `min_confidence` and it has a subject.
-
-    `model` is a struct column, or a function that adds the struct `out` to the chunk table (see
-    `generate_table` with FACT_SCHEMA). Facts in `done` are not asked for again. `key="span"` builds the id as
-    uri#start-end, `key="chunk"` from the chunk id, which cannot collide for two chunks of one source.
+    `model` is a struct column, or a function that adds the struct to the chunk table (see `generate_table` with
+    FACT_SCHEMA).
     """
-    if key == "span":
-        fact_id = F.concat(
-            F.col("source_uri"), F.lit("#"), F.col("span.offset_start").cast("string"),
-            F.lit("-"), F.col("span.offset_end").cast("string"),
-        )
-    else:
-        fact_id = stable_id("chunk_id", F.lit("#fact"))
-    todo = chunks.withColumn("fact_id", fact_id)
-    if done is not None:
-        todo = pending(todo, done, "fact_id")
-    if max_rows:
-        todo = todo.orderBy("chunk_id").limit(max_rows)
     if model is None:
         model = rule_facts()
-    made = compute_once(todo, out=model) if isinstance(model, Column) else model(todo)
+    return compute_once(chunks, out=model) if isinstance(model, Column) else model(chunks)
+
+
+def answered(made: DataFrame) -> DataFrame:
+    """The rows a model did not fail on; a row without a usable fact is answered too."""
+    return made.filter("out_error is null") if "out_error" in made.columns else made
+
+
+def usable_facts(made: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Facts of answered chunks (with `fact_id` and `out`) that are confident enough and have a subject."""
     return made.select(
         "fact_id",
         F.col("out.entity").alias("subject"),
@@ -113,3 +95,28 @@ def extract_facts(
         F.col("span").alias("source_span"),
         F.col("out.confidence").alias("confidence"),
     ).filter((F.col("confidence") >= min_confidence) & F.col("subject").isNotNull())
+
+
+def fact_id(key: str = "chunk") -> Column:
+    """`span`: uri#start-end; `chunk`: from the chunk id, which cannot collide for two chunks of one source."""
+    if key == "span":
+        start, end = F.col("span.offset_start").cast("string"), F.col("span.offset_end").cast("string")
+        return F.concat(F.col("source_uri"), F.lit("#"), start, F.lit("-"), end)
+    return stable_id("chunk_id", F.lit("#fact"))
+
+
+def extract_facts(
+    chunks: DataFrame,
+    model: Column | Callable[[DataFrame], DataFrame] | None = None,
+    done: DataFrame | None = None,
+    min_confidence: float = MIN_CONFIDENCE,
+    key: str = "chunk",
+) -> DataFrame:
+    """One fact per chunk, kept when its confidence reaches `min_confidence` and it has a subject.
+
+    Facts in `done` are not asked for again. `model` is as for `ask_facts`, `key` as for `fact_id`.
+    """
+    todo = chunks.withColumn("fact_id", fact_id(key))
+    if done is not None:
+        todo = pending(todo, done, "fact_id")
+    return usable_facts(ask_facts(todo, model), min_confidence)

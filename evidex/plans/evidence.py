@@ -18,7 +18,7 @@ from evidex.operators import retrieval as R
 from evidex.operators import validators as V
 from evidex.operators.chunks import call_id, chunks_from_captions, pending, prompt_log
 from evidex.operators.embed import HASHED_MODEL, IMAGE_DIM, TEXT_DIM, embed_missing, hashed_embedding
-from evidex.operators.facts import extract_facts
+from evidex.operators.facts import answered, ask_facts, fact_id, usable_facts
 from evidex.operators.vectors import vector_topk
 from evidex.session import stored
 from evidex.sources.writes import CACHE_TTL_MIN, TableFolder, table_counts
@@ -51,8 +51,6 @@ class Settings:
     embed_model_id: str = HASHED_MODEL
     fact_model: Model = None
     answer_model: Model = None
-    max_embed_rows: int | None = None
-    max_fact_rows: int | None = None
 
 
 def refresh_chunks(t: TableFolder, chunks: Sequence[DataFrame], image_desc: DataFrame | None) -> None:
@@ -68,7 +66,7 @@ def refresh_embeddings(t: TableFolder, s: Settings) -> None:
         ("text_chunks", "text_emb", "chunk_id", "text", s.text_dim),
         ("image_desc", "image_emb", "image_id", "caption", s.image_dim),
     ):
-        made = embed_missing(t.read(rows), t.read(out), key, text, dim, s.embed_model_id, s.embedder, s.max_embed_rows)
+        made = embed_missing(t.read(rows), t.read(out), key, text, dim, s.embed_model_id, s.embedder)
         t.insert(out, made)
 
 
@@ -81,14 +79,17 @@ def refresh_index_state(t: TableFolder) -> None:
 
 
 def refresh_facts(t: TableFolder, s: Settings) -> None:
-    """Ask for facts of the chunks that no logged call covers, also not one without a usable fact."""
+    """Ask for facts of the chunks that no logged call covers, also not one without a usable fact.
+
+    The answers are stored before they are used, so a model is asked once per chunk. Rows it failed on are not logged
+    and stay pending.
+    """
     version = F.lit("facts_v1")
     chunks = t.read("text_chunks").withColumn("call_id", call_id("facts_v1", version, "chunk_id"))
     todo = pending(chunks, t.read("prompt_log"), "call_id")
-    if s.max_fact_rows:
-        todo = todo.orderBy("chunk_id").limit(s.max_fact_rows)
-    t.insert("facts_generic", extract_facts(todo, s.fact_model))
-    t.insert("prompt_log", prompt_log(todo, "facts_v1", version, "facts", "text", "chunk_id"))
+    made = answered(stored(ask_facts(todo.withColumn("fact_id", fact_id()), s.fact_model), "facts"))
+    t.insert("facts_generic", usable_facts(made))
+    t.insert("prompt_log", prompt_log(made, "facts_v1", version, "facts", "text", "chunk_id"))
 
 
 def refresh_holdout(t: TableFolder, s: Settings) -> None:
@@ -133,8 +134,9 @@ def refresh_neighbors(t: TableFolder, s: Settings) -> None:
     k = max(s.neighbor_k, s.search_k)
     found = vector_topk(t.read("text_emb"), t.read("hot_queries"), k, item_id="chunk_id", query_vector="embedding")
     hits = stored(found, "hits")
-    t.upsert("precomputed_neighbors", N.neighbors_of(hits, s.neighbor_k))
-    t.upsert("edges_semantic", N.edges_of(hits, s.search_k))
+    # A query's list is replaced as a whole, so that nothing stays that fell out of it.
+    t.replace("precomputed_neighbors", N.neighbors_of(hits, s.neighbor_k), ["query_id"])
+    t.replace("edges_semantic", N.edges_of(hits, s.search_k), ["left_id", "left_type"])
     t.upsert("metrics_retrieval", R.retrieval_metrics(hits, t.read("retrieval_gt"), s.search_k))
 
 

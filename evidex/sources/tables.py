@@ -41,6 +41,7 @@ TABLES: dict[str, TableSpec] = {
         f"answer_id string, query string, summary string, citations array<string>, validators array<{CHECK}>, confidence double",
         ("answer_id",),
     ),
+    "event_days": TableSpec("event_key string, kpi_id string, day date", ("event_key",)),
     "kpi_series": TableSpec("kpi_id string, ts date, value double, tags array<string>", ("kpi_id", "ts")),
     "kpi_forecast": TableSpec(
         "run_id string, kpi_id string, ts date, predicted double, lower double, upper double, backtest boolean",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evidex.operators.chunks import pending
 from evidex.operators.groups import topk_per_group
+from evidex.session import stored
 from evidex.sources.tables import REWRITTEN, TABLES
 
 # Fixed value (default the results depend on).
@@ -115,8 +116,12 @@ class TableFolder:
         return df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
 
     def _rewrite(self, name: str, df: DataFrame) -> None:
+        """Write the next version; the last one stays for readers that began with it, older ones go."""
         versions = self._versions(name)
         df.write.parquet(f"{self.root}/{name}/v={(versions[-1] if versions else 0) + 1}")
+        for old in versions[:-1]:
+            p = self._path(f"{self.root}/{name}/v={old}")
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def insert(self, name: str, source: DataFrame) -> None:
         """Add the rows whose key is not stored yet."""
@@ -124,13 +129,17 @@ class TableFolder:
         if name in REWRITTEN:
             self._rewrite(name, insert_if_absent(old, self._shaped(source, name), keys))
             return
-        rows = new_rows(old, self._shaped(source, name), keys)
-        writer = rows
+        # Stored as they come, so that the source (a model, perhaps) runs once. Repeated keys are then found on the
+        # keys alone: rows with texts and vectors are only sorted where a key really repeats.
+        rows = stored(pending(self._shaped(source, name), old.select(*keys), *keys), "insert")
+        again = rows.groupBy(*keys).count().filter("count > 1").drop("count")
+        same = reduce(lambda x, y: x & y, [rows[k].eqNullSafe(again[k]) for k in keys])
+        once = rows.join(again, same, "left_anti").unionByName(one_per_key(rows.join(again, same, "left_semi"), keys).select(*rows.columns))
         if TABLES[name].by_day:
-            writer = rows.withColumn("created_day", F.to_date("created_ts"))
-            writer.write.mode("append").partitionBy("created_day").parquet(f"{self.root}/{name}")
+            once = once.withColumn("created_day", F.to_date("created_ts"))
+            once.write.mode("append").partitionBy("created_day").parquet(f"{self.root}/{name}")
         else:
-            writer.write.mode("append").parquet(f"{self.root}/{name}")
+            once.write.mode("append").parquet(f"{self.root}/{name}")
 
     def upsert(self, name: str, source: DataFrame) -> None:
         """Replace rows of the same key and add the others; an updated row keeps its first creation time."""
@@ -139,11 +148,23 @@ class TableFolder:
         merged = upsert(self.read(name), self._shaped(source, name), TABLES[name].keys, keep=["created_ts"])
         self._rewrite(name, merged)
 
+    def replace(self, name: str, source: DataFrame, groups: Sequence[str]) -> None:
+        """Replace all rows of the groups that `source` has, and keep the others."""
+        if name not in REWRITTEN:
+            raise ValueError(f"{name} is append-only")
+        # Used twice: once for its groups, once for its rows.
+        fresh = stored(self._shaped(source, name), "replace")
+        others = self.read(name).join(fresh.select(*groups).distinct(), list(groups), "left_anti")
+        self._rewrite(name, others.unionByName(one_per_key(fresh, TABLES[name].keys)))
+
     def purge(self, name: str, ttl_min: int = CACHE_TTL_MIN) -> None:
-        """Drop expired rows of a rewritten table."""
+        """Drop expired rows of a rewritten table; without any, nothing is written."""
         if name not in REWRITTEN:
             raise ValueError(f"{name} is append-only")
-        self._rewrite(name, purge_expired(self.read(name), "created_ts", self.now, ttl_min))
+        old = self.read(name)
+        kept = purge_expired(old, "created_ts", self.now, ttl_min)
+        if old.count() != kept.count():
+            self._rewrite(name, kept)
 
     def counts(self) -> DataFrame:
         return table_counts({name: self.read(name) for name in TABLES})

@@ -85,6 +85,32 @@ def test_folder_upserts_and_purges(spark, tmp_path):
     assert [r.kpi_id for r in late.read("kpi_series").collect()] == ["b"]
 
 
+def test_a_querys_list_is_replaced_and_old_versions_go(spark, tmp_path):
+    t = S.TableFolder(spark, str(tmp_path))
+    schema = TABLES["precomputed_neighbors"].columns
+    for rows in ([("q", "a", "text", 0.9), ("r", "a", "text", 0.8)], [("q", "b", "text", 0.7)], [("q", "c", "text", 0.6)]):
+        t.replace("precomputed_neighbors", spark.createDataFrame(rows, schema), ["query_id"])
+    assert {(r.query_id, r.neighbor_id) for r in t.read("precomputed_neighbors").collect()} == {("q", "c"), ("r", "a")}
+    t.purge("precomputed_neighbors", 60)
+    t.purge("precomputed_neighbors", 60)
+    assert sorted(p.name for p in (tmp_path / "precomputed_neighbors").iterdir()) == ["v=2", "v=3"]
+
+
+def test_insert_uses_its_source_once(spark, tmp_path):
+    t, asked = S.TableFolder(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+    schema = "object_uri string, media_type string"
+    t.insert("objects_pdfs", spark.createDataFrame([("a", "pdf")], schema))
+
+    def model(batches):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    source = spark.createDataFrame([(f"u{i // 2}", "pdf") for i in range(100)], schema).mapInArrow(model, schema)
+    t.insert("objects_pdfs", source)
+    assert asked.value == 100 and t.read("objects_pdfs").count() == 51
+
+
 def test_uncommitted_version_is_ignored(spark, tmp_path):
     t = S.TableFolder(spark, str(tmp_path))
     t.upsert("metrics_index_state", spark.createDataFrame([("i", 5)], "index_name string, last_row_count bigint"))
