@@ -35,11 +35,11 @@ def answer_inputs(
 ) -> DataFrame:
     """(query_id, query, contexts, context_text, allowed_uris, allowed_sources), one row per question.
 
-    At most k snippets per question are gathered, so no array grows with the data.
+    At most k texts per question are gathered, each whole for the built-in rule and as a snippet for a model.
     """
     order = [F.col("rank"), F.col("source_uri")]
     best = topk_per_group(contexts.select("query_id", "source_uri", "text", "rank"), ["query_id"], order, k, "slot")
-    item = F.struct(F.col("slot").alias("rank"), "source_uri", snippet("text", chars).alias("snippet"))
+    item = F.struct(F.col("slot").alias("rank"), "source_uri", snippet("text", chars).alias("snippet"), "text")
     gathered = best.groupBy("query_id").agg(F.array_sort(F.collect_list(item)).alias("contexts"))
     rows = questions.select("query_id", "query").join(gathered, "query_id", "left")
     uris = F.array_sort(F.array_distinct(F.transform("contexts", lambda c: c["source_uri"])))
@@ -50,20 +50,36 @@ def answer_inputs(
     ).withColumn("allowed_sources", F.concat(F.lit("Allowed sources: "), F.array_join("allowed_uris", ", ")))
 
 
-def extractive_answer(inputs: DataFrame) -> DataFrame:
-    """Built-in model: quote the snippet that shares most words with the question, cite all that share as many.
+def passages(text: Column, chars: int = SNIPPET_CHARS) -> Column:
+    """The whole text in pieces of `chars` characters, line ends as blanks."""
+    flat = F.regexp_replace(text, "[\n\r]", " ")
+    starts = F.sequence(F.lit(0), F.floor((F.greatest(F.length(flat), F.lit(1)) - 1) / chars).cast("int"))
+    return F.transform(starts, lambda i: F.substring(flat, i * chars + 1, F.lit(chars)))
 
-    Confidence is the share of the question's words found in the quoted snippet.
+
+def extractive_answer(inputs: DataFrame, chars: int = SNIPPET_CHARS) -> DataFrame:
+    """Built-in model: quote the passage that shares most words with the question, cite all texts with one as good.
+
+    Whole texts are searched; each source stands with its best passage, the first of equals. Confidence is the share
+    of the question's words found in the quoted passage.
     """
     df = compute_once(inputs, _words=F.array_distinct(tokens("query")))
+
+    def best_of(c: Column) -> Column:
+        rated = F.transform(
+            passages(c["text"], chars),
+            lambda p, i: F.struct(
+                (-F.size(F.array_intersect(F.col("_words"), tokens(p)))).alias("missing_rank"), i.alias("place"), p.alias("snippet")
+            ),
+        )
+        return F.array_min(rated)
+
+    rated = F.transform("contexts", lambda c: F.struct(best_of(c).alias("best"), c["rank"].alias("rank"), c["source_uri"].alias("source_uri")))
     scored = F.array_sort(
         F.transform(
-            "contexts",
-            lambda c: F.struct(
-                (-F.size(F.array_intersect(F.col("_words"), tokens(c["snippet"])))).alias("missing_rank"),
-                c["rank"].alias("rank"),
-                c["source_uri"].alias("source_uri"),
-                c["snippet"].alias("snippet"),
+            rated,
+            lambda r: F.struct(
+                r["best"]["missing_rank"].alias("missing_rank"), r["rank"].alias("rank"), r["source_uri"].alias("source_uri"), r["best"]["snippet"].alias("snippet")
             ),
         )
     )
@@ -101,8 +117,9 @@ def synthesize_answers(
         inputs = inputs.withColumn("rules", rollup.select("validators").scalar())
         inputs = inputs.withColumn("validators_summary", F.to_json("rules"))
     if model is None:
-        model = extractive_answer
-    made = inputs.withColumn("out", model) if isinstance(model, Column) else model(inputs)
+        made = extractive_answer(inputs, chars)
+    else:
+        made = inputs.withColumn("out", model) if isinstance(model, Column) else model(inputs)
     allowed = F.coalesce("allowed_uris", F.array().cast("array<string>"))
     return made.select(
         stable_id("query_id", F.lit("|"), "prompt_version", F.lit("|"), "query").alias("answer_id"),

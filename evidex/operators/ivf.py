@@ -19,25 +19,40 @@ from evidex.operators.vectors import SEARCH_K, _unit_rows, drop_empty_vectors, s
 GROWTH_THRESHOLD_PCT = 15.0
 MIN_INDEX_ROWS = 1
 
-# Limits: centroids are broadcast, and trained on a sample. Every row still gets a cell.
-MAX_CELLS = 4096
-TRAINING_ROWS_PER_CELL = 256
+# Centroids are broadcast: more of them than this is an error.
+CENTROID_BYTES = 512 * 1024 * 1024
 
 
 def default_cells(rows: int) -> int:
-    return max(1, min(MAX_CELLS, int(math.sqrt(rows))))
+    return max(1, int(math.sqrt(rows)))
 
 
 def train_cells(
-    base: DataFrame, n_cells: int | None = None, vector: str = "vector", seed: int = SEED, max_iter: int = 10
+    base: DataFrame,
+    n_cells: int | None = None,
+    vector: str = "vector",
+    seed: int = SEED,
+    max_iter: int = 10,
+    training_share: float = 1.0,
 ) -> np.ndarray:
-    """Unit centroids from k-means with cosine distance, trained on a bounded sample of the rows."""
+    """Unit centroids from k-means with cosine distance; every row gets a cell later, whatever they were trained on.
+
+    `training_share` of the rows, picked by the hash of their vector, takes part in the training. As many cells as asked
+    for (by default the root of the number of rows) are made, or it is an error.
+    """
     usable = drop_empty_vectors(base.select(F.col(vector).alias("vector")))
     usable = usable.filter(F.exists("vector", lambda x: x != 0))
     rows = usable.count()
-    n_cells = min(n_cells or default_cells(rows), MAX_CELLS, max(rows, 1))
-    share = min(1.0, TRAINING_ROWS_PER_CELL * n_cells / max(rows, 1))
-    sample = usable if share >= 1.0 else usable.sample(False, share, seed)
+    n_cells = n_cells or default_cells(rows)
+    if n_cells > rows:
+        raise ValueError(f"{n_cells} cells for {rows} vectors with a direction")
+    size = usable.select(F.max(F.size("vector"))).first()[0]
+    if n_cells * size * 8 > CENTROID_BYTES:
+        raise ValueError(f"{n_cells} centroids of {size} dimensions are more than {CENTROID_BYTES} bytes")
+    kept = F.pmod(F.xxhash64("vector", F.lit(seed)), F.lit(1_000_000)) < int(round(training_share * 1_000_000))
+    sample = usable if training_share >= 1.0 else usable.filter(kept)
+    # One order of rows, whatever the files: k-means depends on it.
+    sample = sample.repartitionByRange("vector").sortWithinPartitions("vector")
     points = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)

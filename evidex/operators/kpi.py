@@ -22,17 +22,18 @@ LEVEL = 0.95
 DAY_ZERO = "2000-01-01"
 
 
-def kpi_daily_counts(df: DataFrame, ts: str, kpi_id: Column | str, as_of: Column | date, days: int = SERIES_DAYS) -> DataFrame:
-    """(kpi_id, ts, value, tags): rows per day from `days` days before `as_of` on.
+def kpi_daily_counts(df: DataFrame, ts: str, kpi_id: Column | str, as_of: Column | date | None = None, days: int | None = SERIES_DAYS) -> DataFrame:
+    """(kpi_id, ts, value, tags): rows per day from `days` days before `as_of` on; the whole series without `days`.
 
     The first day is compared with the plain column, so that the filter reaches the files' statistics.
     """
     kpi = F.lit(kpi_id) if isinstance(kpi_id, str) else kpi_id
-    last = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    if days is not None:
+        last = as_of if isinstance(as_of, Column) else F.lit(as_of)
+        df = df.filter(F.col(ts) >= F.date_sub(last, days).cast(df.schema[ts].dataType))
     day = F.to_date(F.col(ts))
     return (
-        df.filter(F.col(ts) >= F.date_sub(last, days).cast(df.schema[ts].dataType))
-        .groupBy(kpi.alias("kpi_id"), day.alias("ts"))
+        df.groupBy(kpi.alias("kpi_id"), day.alias("ts"))
         .agg(F.count(F.lit(1)).cast("double").alias("value"))
         .withColumn("tags", F.array().cast("array<string>"))
     )

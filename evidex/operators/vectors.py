@@ -253,6 +253,12 @@ def _meet_in_blocks(
     return base_side.groupBy(*keys).cogroup(query_side.groupBy(*keys)).applyInArrow(meet, ddl)
 
 
+def _repeats(queries: DataFrame, held: pa.Table | None) -> bool:
+    if held is not None:
+        return len(set(held["query_id"].to_pylist())) < held.num_rows
+    return not queries.groupBy("query_id").count().filter("count > 1").isEmpty()
+
+
 def search(
     base: DataFrame,
     queries: DataFrame,
@@ -271,8 +277,9 @@ def search(
 
     With `probes` (query_id, cell) a query only meets base rows of its cells, and `base` has a `cell` column.
     """
-    if k < 1:
-        raise ValueError("k must be at least 1")
+    most = int(base.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if not 1 <= k <= most:
+        raise ValueError(f"k must be from 1 to {most}, up to which Spark cuts lists before it shuffles them")
     ddl, arrow = _hit_schema(queries, query_id, base, item_id)
     cell = [F.col("cell").cast("int").alias("cell")] if probes is not None else []
     slim = drop_empty_vectors(base.select(F.col(item_id).alias("item_id"), F.col(vector).alias("vector"), *cell))
@@ -281,6 +288,8 @@ def search(
     held = bounded_rows(wanted, max_broadcast)
     if held is not None and held.nbytes > BROADCAST_BYTES:
         held = None
+    if _repeats(wanted, held):
+        raise ValueError("a query id comes twice")
     pairs = None
     if held is not None and probes is not None:
         pairs = bounded_rows(probes.select("query_id", "cell"), max_broadcast * 1024)

@@ -125,10 +125,10 @@ def last_day(df: DataFrame, ts: str):
 
 
 def kpi_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily orders per priority and daily events per type, 180 days each."""
+    """Daily orders per priority and daily events per type, whole series."""
     orders, events = read(spark, sf_dir, "orders"), read(spark, sf_dir, "events")
     per_priority = F.concat(F.lit("orders:"), F.col("o_orderpriority"))
     per_type = F.concat(F.lit("events:"), F.col("event_type"))
-    return kpi_daily_counts(orders, "o_orderdate", per_priority, last_day(orders, "o_orderdate")).unionByName(
-        kpi_daily_counts(events, "ts", per_type, last_day(events, "ts"))
+    return kpi_daily_counts(orders, "o_orderdate", per_priority, days=None).unionByName(
+        kpi_daily_counts(events, "ts", per_type, days=None)
     )

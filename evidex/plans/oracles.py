@@ -26,6 +26,17 @@ hits as (select * from ranked where rank <= {k})
 """
 
 
+PROBED = f"""{label_hits(40)},
+centers as (select query_id as center, v from queries),
+assigned as (select item_id, center from (select item_id, center, row_number() over (partition by item_id
+    order by round(1 - list_cosine_similarity(base.v, centers.v), 9), center) as n from base, centers) where n = 1),
+probes as (select query_id, center from (select q.query_id, c.center, row_number() over (partition by q.query_id
+    order by round(1 - list_cosine_similarity(q.v, c.v), 9), c.center) as n from queries q, centers c) where n <= 3),
+probed as (select query_id, item_id, distance from scored join assigned using (item_id) join probes using (query_id, center)),
+probed_hits as (select * from (select *, row_number() over (partition by query_id order by distance, item_id) as rank from probed)
+                where rank <= 40)
+"""
+
 DOC_CHUNKS = """
 doc_chunks as (select sha256('doc://' || source || '/' || doc_id || '#pdf') as chunk_id,
                       'doc://' || source || '/' || doc_id as source_uri, text, lang
@@ -176,11 +187,14 @@ results as (select * from quality_results union all select * from value_results
 
 VARIANT = "case when ('0x' || substr(sha256(query), 1, 8))::bigint % 1000 < 500 then 'answer_v1' else 'answer_v2' end"
 ANSWERS = f"""{CONTEXT},
-snips as (select query_id, rank, source_uri, substr(regexp_replace(text, '[\\n\\r]', ' ', 'g'), 1, 240) as snippet from context),
+flat_texts as (select query_id, rank, source_uri, regexp_replace(text, '[\\n\\r]', ' ', 'g') as flat from context),
+pieces as (select *, unnest(range(0, (greatest(length(flat), 1) - 1) // 240 + 1)) as place from flat_texts),
+snips as (select query_id, rank, source_uri, place, substr(flat, place * 240 + 1, 240) as snippet from pieces),
 words as (select query_id, query, list_distinct({TOKENS.format("query")}) as words from questions),
 shares as (select w.query_id, s.rank, s.source_uri, s.snippet,
                     len(list_intersect(w.words, {TOKENS.format("s.snippet")})) as shared
-             from words w join snips s using (query_id)),
+             from words w join snips s using (query_id)
+             qualify row_number() over (partition by query_id, rank order by shared desc, place) = 1),
 tops as (select query_id, max(shared) as best from shares group by query_id),
 cited as (select query_id, list(source_uri order by rank, source_uri) as citations,
                  (list(snippet order by rank, source_uri))[1] as summary
@@ -195,10 +209,10 @@ answers as (select sha256(query_id || '|' || {VARIANT} || '|' || query) as answe
 
 SERIES = """
 series as (select 'orders:' || o_orderpriority as kpi_id, o_orderdate::date as ts, count(*)::double as value from orders
-           where o_orderdate::date >= (select max(o_orderdate)::date - 180 from orders) group by all
+           group by all
            union all
            select 'events:' || event_type as kpi_id, ts::date as ts, count(*)::double as value from events
-           where ts::date >= (select max(ts)::date - 180 from events) group by all),
+           group by all),
 points as (select kpi_id, ts, value, (ts - date '2000-01-01')::double as x from series)
 """
 
@@ -266,7 +280,7 @@ RUN_TABLES = {
     "text_emb": "vectors",
     "image_emb": r"(select count(*) from captions where regexp_matches(caption, '[\p{L}\p{N}]'))",
     "facts_generic": "facts", "edges_semantic": "hot * 40", "answers": "questions",
-    "kpi_series": "(select count(*) from series)",
+    "event_days": "0", "kpi_series": "(select count(*) from series)",
     "kpi_forecast": f"(select count(*) * {HORIZON_DAYS} from fits where n >= 3)",
     "metrics_validators": "s_images + s_facts + images + facts", "metrics_retrieval": "hot",
     "prompt_log": "chunks + s_images + s_facts + questions", "metrics_index_state": "2", "hot_queries": "hot",
@@ -314,6 +328,11 @@ ORACLES: dict[str, str] = {
         select query_id, source_uri, text, (held + place)::int as rank, false as is_primary
         from held, recent where held + place <= 12""",
     "ivf_full_probe": f"with {label_hits(40)} select {HIT_COLUMNS} from hits",
+    "ivf_topk": f"with {PROBED} select {HIT_COLUMNS} from probed_hits",
+    "ivf_recall": f"""with {PROBED} select query_id, avg((p.item_id is not null)::int::double) as recall
+        from hits left join probed_hits p using (query_id, item_id) group by query_id""",
+    "list_objects": """select 'documents' as name, count(*) as n_chunks, sum(length(text))::bigint as n_chars from documents where length(text) > 0
+        union all select 'conversations', count(*), sum(length(text))::bigint from conversations where length(text) > 0""",
     "index_decision": f"""with {INDEX} select index_name, row_count, last_row_count, round(growth_pct, 6) as growth_pct, decision
         from decisions""",
     "index_state": f"""with {INDEX} select index_name, case when decision in ('CREATE', 'REBUILD') then row_count else last_row_count end
@@ -362,6 +381,18 @@ ORACLES: dict[str, str] = {
         null::bigint as height_px from captions where caption is not null""",
     "generate_table": """with words as (select doc_id, regexp_extract_all(text, '[^ \\t\\r\\n]+') as words from documents)
         select doc_id, case when len(words) > 0 then len(words) end as n_words, words[1] as first_word from words""",
+    "generate_bool": "select doc_id, length(text) > 1000 as result from documents where text is not null",
+    "generate_double": """select doc_id, case when text <> '' then len(string_split(text, ' ')) / 8.0::double end as result
+        from documents where text is not null""",
+    "context_texts": f"""with {CONTEXT}, snips as (select query_id, source_uri, rank,
+            substr(regexp_replace(text, '[\\n\\r]', ' ', 'g'), 1, 240) as snippet from context),
+        texts as (select query_id, string_agg(snippet, chr(10) || '- ' order by rank, source_uri) as context_text,
+                  'Allowed sources: ' || array_to_string(list_sort(list_distinct(list(source_uri))), ', ') as allowed_sources
+                  from snips group by query_id)
+        select query_id, context_text, allowed_sources from questions left join texts using (query_id)""",
+    "validator_color": """select sha256(url) as item_id, 'rule_color_match' as rule_id,
+        regexp_matches(lower(caption), '(^|[^a-z0-9])(the|der|la)([^a-z0-9]|$)') as result_bool, null::double as score, null::varchar as note
+        from (select url, nullif(regexp_extract(html, '(?is)<title>(.*?)</title>', 1), '') as caption from pages) where caption is not null""",
     "validator_quality": f"with {QUALITY} select * from quality_results",
     "validator_bool": f"with {VALUE} select * from value_results",
     "validator_tolerance": f"with {TOTAL} select * from total_results",
@@ -404,7 +435,7 @@ ORACLES: dict[str, str] = {
     "forecast_preview": f"""with {FORECAST} select ts, round(predicted, 6) as predicted from forecasts where kpi_id = 'events:click'
         order by ts limit 48""",
     "stream_daily_counts": """select event_type as kpi_id, ts::date as ts, count(*)::double as value from events
-        where ts::date + interval 1 day <= (select max(ts) - interval 1 hour from events) group by all""",
+        group by all""",
     "stream_chunks": CONVERSATION_CHUNKS,
     "stored_run_counts": f"with {RUN_COUNTS} " + " union all ".join(
         f"select '{table}' as table_name, ({n})::bigint as n from sizes" for table, n in RUN_TABLES.items()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from evidex.operators import retrieval as R
 from evidex.operators import validators as V
 from evidex.operators.chunks import chunks_from_captions, pending, prompt_log
 from evidex.operators.embed import embed_missing
-from evidex.operators.generate import generate_table
+from evidex.operators.generate import generate_bool, generate_double, generate_table
 from evidex.operators.sampling import cap_per_key, hash_sample, sample_position
 from evidex.operators.vectors import drop_empty_vectors, vector_topk
 from evidex.plans import inputs as I
@@ -24,11 +25,13 @@ from evidex.plans.evidence import Settings, refresh
 from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import writes as S
 from evidex.sources.objects import list_objects, object_catalog
-from evidex.streaming.daily import daily_counts, insert_stream, read_files_as_stream, run_available, state_session
+from evidex.streaming.daily import daily_counts, event_days, insert_stream, read_files_as_stream
 
 EMBEDDINGS = {"item_id": "vec_id", "vector": "embedding"}
 BRAND_WORDS = ("widget", "bolt")
-IVF_PROBES = 8
+COLOR_STAND_INS = ("the", "der", "la")
+IVF_PROBES = 3
+MEAN_CELLS = 4096
 
 
 def _flat_chunks(chunks: DataFrame) -> DataFrame:
@@ -131,8 +134,11 @@ def context_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _ivf(spark: SparkSession, sf: str, all_cells: bool) -> tuple[DataFrame, DataFrame]:
+    """Cells around the means of the labels, which SQL can repeat; a production run trains them with k-means."""
     base, queries = I.read(spark, sf, "embeddings"), I.label_queries(spark, sf)
-    centers = ivf.train_cells(base, vector="embedding")
+    means = queries.orderBy("query_id").limit(MEAN_CELLS).collect()
+    centers = np.asarray([r.vector for r in means], dtype=np.float64)
+    centers /= np.linalg.norm(centers, axis=1, keepdims=True)
     cells = ivf.assign_cells(base, centers, "embedding")
     found = ivf.ivf_topk(cells, queries, centers, nprobe=len(centers) if all_cells else IVF_PROBES, **EMBEDDINGS)
     return found, vector_topk(base, queries, **EMBEDDINGS)
@@ -183,7 +189,15 @@ def index_health(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def list_objects_query(spark: SparkSession, sf: str) -> DataFrame:
-    return list_objects(spark, sf, "*.parquet").select(F.element_at(F.split("object_uri", "/"), -1).alias("name"), "length")
+    """Listed files with what was read from them: chunks and characters of the documents and conversations."""
+    listed = list_objects(spark, sf, "*.parquet").select("object_uri").withColumn("key", F.regexp_extract("object_uri", "[^/]+(/[^/]+)?$", 0))
+    found = None
+    for name in ("documents", "conversations"):
+        rows = I.read(spark, sf, name).select(F.col("_metadata.file_path").alias("path"), F.length("text").alias("chars"))
+        rows = rows.filter("chars > 0").groupBy("path").agg(F.count("*").alias("n_chunks"), F.sum("chars").alias("n_chars"))
+        rows = rows.select(F.lit(name).alias("name"), F.regexp_extract("path", "[^/]+(/[^/]+)?$", 0).alias("key"), "n_chunks", "n_chars")
+        found = rows if found is None else found.unionByName(rows)
+    return listed.join(found, "key").groupBy("name").agg(F.sum("n_chunks").alias("n_chunks"), F.sum("n_chars").alias("n_chars"))
 
 
 def object_catalog_query(spark: SparkSession, sf: str) -> DataFrame:
@@ -362,6 +376,30 @@ def generate_table_query(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("doc_id", "out.n_words", "out.first_word")
 
 
+class LengthModel:
+    """Stand-in for a yes/no model: is the text longer than a thousand characters?"""
+
+    def __call__(self, records):
+        return [{"result": len(r["text"]) > 1000} for r in records]
+
+
+class ShareModel:
+    """Stand-in for a scoring model: an eighth of the number of pieces between blanks; none for an empty text."""
+
+    def __call__(self, records):
+        return [{"result": len(r["text"].split(" ")) / 8} if r["text"] else None for r in records]
+
+
+def generate_bool_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = I.read(spark, sf, "documents").select("doc_id", "text").filter("text is not null")
+    return generate_bool(docs, LengthModel, ["text"]).select("doc_id", "result")
+
+
+def generate_double_query(spark: SparkSession, sf: str) -> DataFrame:
+    docs = I.read(spark, sf, "documents").select("doc_id", "text").filter("text is not null")
+    return generate_double(docs, ShareModel, ["text"]).select("doc_id", "result")
+
+
 # Validators
 
 
@@ -395,6 +433,12 @@ def validator_brand_results(spark: SparkSession, sf: str) -> DataFrame:
     return V.brand_model_match(parts, BRAND_WORDS)
 
 
+def validator_color_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Page titles as captions, with words of the test tables' language as colours."""
+    captions = I.page_captions(spark, sf).filter("caption is not null")
+    return V.run_bool_validator(captions, "rule_color_match", "image_id", V.mentions_any("caption", COLOR_STAND_INS), cap=None)
+
+
 def validator_table_text_results(spark: SparkSession, sf: str) -> DataFrame:
     return V.table_vs_text_total(I.order_facts(spark, sf).unionByName(I.document_facts(spark, sf)))
 
@@ -437,6 +481,12 @@ def answers_extractive(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def context_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a plugged-in model gets to read for each question."""
+    inputs = A.answer_inputs(I.questions(spark, sf), _context(spark, sf))
+    return inputs.select("query_id", "context_text", "allowed_sources")
+
+
 def answer_cards(spark: SparkSession, sf: str) -> DataFrame:
     cards = A.answer_cards(_answers(spark, sf))
     return cards.withColumn("confidence", F.round("confidence", 9))
@@ -497,9 +547,10 @@ def forecast_preview(spark: SparkSession, sf: str) -> DataFrame:
 def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     I.use_utc(spark)
     out = shared_folder(spark, "daily-counts")
-    events = read_files_as_stream(state_session(spark), sf, "events.parquet")
-    run_available(daily_counts(events, "ts", "event_type", "event_id"), f"{out}/data", f"{out}/state")
-    return spark.read.schema("kpi_id string, ts date, value double").parquet(f"{out}/data")
+    tables = S.TableFolder(spark, f"{out}/tables")
+    events = read_files_as_stream(spark, sf, "events.parquet")
+    insert_stream(events, tables, "event_days", f"{out}/state", lambda batch: event_days(batch, "ts", "event_type", "event_id"))
+    return daily_counts(tables.read("event_days"))
 
 
 def stream_chunks(spark: SparkSession, sf: str) -> DataFrame:
@@ -579,6 +630,10 @@ QUERIES = {
     "prompt_log": prompt_log_query,
     "image_descriptions": image_descriptions,
     "generate_table": generate_table_query,
+    "generate_bool": generate_bool_query,
+    "generate_double": generate_double_query,
+    "validator_color": validator_color_results,
+    "context_texts": context_texts,
     "validator_quality": validator_quality_results,
     "validator_bool": validator_bool_results,
     "validator_tolerance": validator_tolerance_results,

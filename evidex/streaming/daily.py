@@ -1,4 +1,8 @@
-"""Structured Streaming forms of the batch steps."""
+"""Structured Streaming forms of the batch steps.
+
+Micro-batches are inserted by key into stored tables, and results are read from these: they do not depend on the order of
+the files, on how many come in a batch, or on how late a row is.
+"""
 
 from __future__ import annotations
 
@@ -11,48 +15,30 @@ from evidex.sources.writes import TableFolder
 
 
 def read_files_as_stream(spark: SparkSession, folder: str, pattern: str, files_per_batch: int = 64) -> DataFrame:
-    """Parquet files below a folder as a stream; the schema is the one of the files already there."""
-    schema = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").parquet(folder).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
-
-
-def daily_counts(events: DataFrame, ts: str, kpi_id: str, event_key: str, late: str = "1 hour") -> DataFrame:
-    """(kpi_id, ts, value) per closed day. A repeated event within the lateness counts once; later ones are dropped."""
-    timed = events.select(F.col(ts).cast("timestamp").alias("event_ts"), F.col(kpi_id).alias("kpi_id"), event_key)
-    return (
-        timed.withWatermark("event_ts", late)
-        .dropDuplicatesWithinWatermark([event_key])
-        .groupBy(F.window("event_ts", "1 day").alias("day"), "kpi_id")
-        .agg(F.count(F.lit(1)).cast("double").alias("value"))
-        .select("kpi_id", F.to_date("day.start").alias("ts"), "value")
-    )
-
+    """Parquet files below a folder as a stream; the schema is the one of the files already there.
 
-def state_session(spark: SparkSession) -> SparkSession:
-    """A session whose stateful streams keep one state partition per core.
-
-    The number is fixed for the life of a checkpoint, so it is chosen by the cluster and not by the default.
+    `pattern` names files, or a table that is itself a folder of part files.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.session.timeZone", "UTC")
-    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    return session
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    if len(found) == 1 and found[0].isDirectory():
+        folder, pattern = f"{folder}/{pattern}", "*.parquet"
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": "true"}
+    schema = spark.read.options(**options).parquet(folder).schema
+    return spark.readStream.schema(schema).options(**options, maxFilesPerTrigger=files_per_batch).parquet(folder)
+
+
+def event_days(events: DataFrame, ts: str, kpi_id: str, event_key: str) -> DataFrame:
+    """(event_key, kpi_id, day) of each event: what a daily count has to remember of it."""
+    return events.select(
+        F.col(event_key).cast("string").alias("event_key"), F.col(kpi_id).alias("kpi_id"), F.to_date(F.col(ts).cast("timestamp")).alias("day")
+    )
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
-    """Process what is there and stop; a restart with the same checkpoint goes on after it."""
-    query = (
-        stream.writeStream.format("parquet").outputMode(mode)
-        .option("path", out).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+def daily_counts(days: DataFrame) -> DataFrame:
+    """(kpi_id, ts, value) per day from the events that have come so far, the open day included."""
+    counted = days.groupBy("kpi_id", F.col("day").alias("ts")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    return counted.select("kpi_id", "ts", "value")
 
 
 def insert_stream(

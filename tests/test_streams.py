@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from evidex.operators.chunks import PDF_SUFFIX, extract_chunks
 from evidex.sources.writes import TableFolder
-from evidex.streaming.daily import daily_counts, insert_stream, read_files_as_stream, run_available
+from evidex.streaming.daily import daily_counts, event_days, insert_stream, read_files_as_stream
 
 EVENT = "event_id bigint, ts timestamp, kind string"
 
@@ -13,22 +13,28 @@ def write(spark, folder, rows):
     spark.createDataFrame(rows, EVENT).coalesce(1).write.mode("append").parquet(folder)
 
 
-def test_closed_days_repeats_and_late_rows(spark, tmp_path):
-    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-
-    def step(rows):
-        write(spark, folder, rows)
-        stream = daily_counts(read_files_as_stream(spark, folder, "*.parquet"), "ts", "kind", "event_id")
-        run_available(stream, out, state)
-        return sorted((r.kpi_id, str(r.ts), r.value) for r in spark.read.parquet(out).collect())
-
-    day = datetime(2024, 1, 1, 23, 30)
-    assert step([(1, day, "a"), (1, day, "a"), (2, day, "b")]) == []
-    # The next day closes the first one; a repeated event counts once.
-    first = step([(3, datetime(2024, 1, 2, 2), "a")])
-    assert first == [("a", "2024-01-01", 1.0), ("b", "2024-01-01", 1.0)]
-    # A row for the closed day is too late.
-    assert step([(4, day, "a"), (5, datetime(2024, 1, 3, 2), "a")]) == sorted([*first, ("a", "2024-01-02", 1.0)])
+def test_any_order_and_batching_gives_the_same_counts(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    days = [datetime(2024, 1, d, 23, 30) for d in (4, 3, 2, 1)]
+    for n, day in enumerate(days):
+        write(spark, folder, [(10 * n, day, "a"), (10 * n, day, "a"), (10 * n + 1, day, "b"), (0, days[0], "a")])
+    wanted = sorted([("a", str(d.date()), 1.0) for d in days] + [("b", str(d.date()), 1.0) for d in days])
+    for per_batch in (1, 64):
+        tables = TableFolder(spark, str(tmp_path / f"tables{per_batch}"))
+        for state in ("s1", "s1"):
+            stream = read_files_as_stream(spark, folder, "*.parquet", per_batch)
+            insert_stream(stream, tables, "event_days", str(tmp_path / f"{state}{per_batch}"), lambda b: event_days(b, "ts", "kind", "event_id"))
+        found = daily_counts(tables.read("event_days")).collect()
+        assert sorted((r.kpi_id, str(r.ts), r.value) for r in found) == wanted
+
+
+def test_a_table_that_is_a_folder_is_a_stream(spark, tmp_path):
+    write(spark, str(tmp_path / "events.parquet"), [(1, datetime(2024, 1, 1), "a")])
+    write(spark, str(tmp_path / "events.parquet"), [(2, datetime(2024, 1, 2), "b")])
+    tables = TableFolder(spark, str(tmp_path / "tables"))
+    stream = read_files_as_stream(spark, str(tmp_path), "events.parquet")
+    insert_stream(stream, tables, "event_days", str(tmp_path / "state"), lambda b: event_days(b, "ts", "kind", "event_id"))
+    assert tables.read("event_days").count() == 2
 
 
 def test_replayed_files_add_nothing(spark, tmp_path):
