@@ -2,7 +2,38 @@
 
 from __future__ import annotations
 
+WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLES: dict[str, str] = {
+    "op1_minhash": f"""
+        with recursive
+        w as (select doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),
+        s as (select doc_id, list_sort(list_distinct(
+                     case when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                          when len(w) > 0 then [array_to_string(w, ' ')] else [] end)) as shingles from w),
+        sets as (select min(doc_id) as rep, shingles, len(shingles) as n from s where len(shingles) > 0 group by shingles),
+        flat as (select rep, n, unnest(shingles) as shingle from sets),
+        pairs as (select a.rep as a, b.rep as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as common
+                  from flat a join flat b on a.shingle = b.shingle and a.rep < b.rep group by a.rep, b.rep),
+        links as (select a, b from pairs where 100 * common >= 80 * (na + nb - common)),
+        edges as (select a, b from links union select b, a from links),
+        reach as (select rep as node, rep as seen from sets union select edges.b, reach.seen from reach join edges on reach.node = edges.a),
+        groups as (select node, min(seen) as component from reach group by node),
+        named as (select doc_id, len(s.shingles) as n_shingles, coalesce(component, doc_id) as component_id
+                  from s left join sets on s.shingles = sets.shingles left join groups on rep = node)
+        select doc_id, n_shingles, component_id, doc_id = component_id as kept from named
+    """,
+    "op9_substrings": f"""
+        with w as (select doc_id, {WORDS.format("text")} as w from documents),
+        starts as (select doc_id, w, unnest(range(1, len(w) - 33)) as i from w where len(w) >= 35),
+        windows as (select doc_id, i, array_to_string(w[i:i + 34], ' ') as passage from starts),
+        twice as (select doc_id, i from windows qualify count(*) over (partition by passage) > 1),
+        gone as (select distinct doc_id, unnest(range(i, i + 35)) as p from twice),
+        words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from w),
+        kept as (select doc_id, string_agg(word, ' ' order by p) as text, count(*) as n from words anti join gone using (doc_id, p) group by doc_id)
+        select doc_id, len(w)::bigint as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+        from w left join kept using (doc_id)
+    """,
     "op2_warc": """
         with p as (select page_id, coalesce(html, '') as body from pages),
              d as (select page_id, strlen(body) as payload_bytes, sha256(body) as payload_digest from p),
