@@ -98,7 +98,7 @@ def retrieve_context(
     chunks: DataFrame,
     k: int = CONTEXT_K,
     constraints=(),
-    **limits: int,
+    **limits,
 ) -> DataFrame:
     """(query_id, source_uri, text, distance, rank) of the k nearest chunks of every question.
 

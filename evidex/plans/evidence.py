@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +52,11 @@ class Settings:
     embed_model_id: str = HASHED_MODEL
     fact_model: Model = None
     answer_model: Model = None
+    # Cells of an index (the root of its rows by default), the share of rows it is trained on, and how many cells a
+    # question reads; without the last, search is exact over all rows.
+    index_cells: int | None = None
+    training_share: float = 1.0
+    probes: int | None = None
 
 
 def refresh_chunks(t: TableFolder, chunks: Sequence[DataFrame], image_desc: DataFrame | None) -> None:
@@ -70,12 +76,25 @@ def refresh_embeddings(t: TableFolder, s: Settings) -> None:
         t.insert(out, made)
 
 
-def refresh_index_state(t: TableFolder) -> None:
-    """Record which embedding tables are due for new cells; the caller trains them with `ivf.train_cells`."""
-    names = {"text_emb_idx": "text_emb", "image_emb_idx": "image_emb"}
-    counts = table_counts({index_name: t.read(table) for index_name, table in names.items()})
+INDEXES = {"text_emb_idx": ("text_emb", "chunk_id"), "image_emb_idx": ("image_emb", "image_id")}
+
+
+def refresh_index(t: TableFolder, s: Settings) -> None:
+    """Build what is due, put new rows into the cells of what stays, and record only what was built."""
+    counts = table_counts({index_name: t.read(table) for index_name, (table, _) in INDEXES.items()})
     counts = counts.select(F.col("table_name").alias("index_name"), F.col("n").alias("row_count"))
-    t.upsert("metrics_index_state", ivf.index_state(ivf.index_decision(counts, t.read("metrics_index_state"))))
+    decisions = stored(ivf.index_decision(counts, t.read("metrics_index_state")), "decisions")
+    # One row per index.
+    for row in decisions.collect():
+        name, (table, key) = row.index_name, INDEXES[row.index_name]
+        rows, index = t.read(table).select(key, "vector"), t.read_index(name)
+        if row.decision in ("CREATE", "REBUILD") or (row.decision == "KEEP" and index is None):
+            centers = ivf.train_cells(rows, s.index_cells, seed=s.seed, training_share=s.training_share)
+            t.write_index(name, ivf.assign_cells(rows, centers), centers)
+        elif index is not None:
+            cells, centers = index
+            t.add_to_index(name, ivf.assign_cells(pending(rows, cells, key), np.asarray(centers)))
+    t.upsert("metrics_index_state", ivf.index_state(decisions))
 
 
 def refresh_facts(t: TableFolder, s: Settings) -> None:
@@ -143,7 +162,13 @@ def refresh_neighbors(t: TableFolder, s: Settings) -> None:
 def context_for(t: TableFolder, s: Settings, questions: DataFrame, constraints=()) -> DataFrame:
     """Context per question from the stored tables: nearest chunks, then recent captions."""
     vectors = s.embedder(questions, "query_id", "query", s.text_dim)
-    near = R.retrieve_context(vectors, t.read("text_emb"), t.read("text_chunks"), s.context_k, constraints)
+    index = t.read_index("text_emb_idx") if s.probes else None
+    if index is None:
+        near = R.retrieve_context(vectors, t.read("text_emb"), t.read("text_chunks"), s.context_k, constraints)
+    else:
+        cells, centers = index
+        probes = ivf.nearest_cells(vectors, np.asarray(centers), s.probes, "query_id")
+        near = R.retrieve_context(vectors, cells, t.read("text_chunks"), s.context_k, constraints, probes=probes)
     return R.context_with_fallback(questions, near, t.read("image_desc"), s.context_k)
 
 
@@ -181,7 +206,7 @@ def refresh(
     s = settings or Settings()
     refresh_chunks(t, chunks, image_desc)
     refresh_embeddings(t, s)
-    refresh_index_state(t)
+    refresh_index(t, s)
     refresh_facts(t, s)
     refresh_holdout(t, s)
     refresh_validators(t, s)

@@ -166,5 +166,32 @@ class TableFolder:
         if old.count() != kept.count():
             self._rewrite(name, kept)
 
+    def write_index(self, name: str, cells: DataFrame, centers: Sequence[Sequence[float]]) -> None:
+        """Store rows by cell and the centroids as the next version of an index; the centroids commit it."""
+        from evidex.operators.ivf import write_cells
+
+        versions = self._versions(f"index_{name}")
+        path = f"{self.root}/index_{name}/v={(versions[-1] if versions else 0) + 1}"
+        write_cells(cells, f"{path}/cells")
+        rows = [(i, [float(x) for x in c]) for i, c in enumerate(centers)]
+        self.spark.createDataFrame(rows, "cell int, vector array<double>").coalesce(1).write.mode("append").parquet(f"{path}/centers")
+        self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration()).create(self._path(f"{path}/_SUCCESS")).close()
+
+    def add_to_index(self, name: str, cells: DataFrame) -> None:
+        """Add rows to the cells of the index in force."""
+        cells.write.mode("append").partitionBy("cell").parquet(f"{self._index_path(name)}/cells")
+
+    def _index_path(self, name: str) -> str | None:
+        versions = self._versions(f"index_{name}")
+        return f"{self.root}/index_{name}/v={versions[-1]}" if versions else None
+
+    def read_index(self, name: str) -> tuple[DataFrame, list[list[float]]] | None:
+        """(rows with their cell, centroids by cell) of the index in force; None if there is none."""
+        path = self._index_path(name)
+        if path is None:
+            return None
+        centers = self.spark.read.parquet(f"{path}/centers").orderBy("cell").collect()
+        return self.spark.read.parquet(f"{path}/cells"), [r.vector for r in centers]
+
     def counts(self) -> DataFrame:
         return table_counts({name: self.read(name) for name in TABLES})

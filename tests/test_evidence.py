@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidex.operators import kpi
+from evidex.operators.facts import FACT_SCHEMA
+from evidex.operators.generate import generate_table
 from evidex.plans import inputs as I
-from evidex.plans.evidence import Settings, refresh
+from evidex.plans.evidence import Settings, context_for, refresh, refresh_facts
 from evidex.sources.tables import TABLES
 from evidex.sources.writes import TableFolder
 
@@ -63,3 +65,44 @@ def test_citations_are_sources_of_stored_chunks(run):
 def test_holdout_finds_itself_or_a_copy(run):
     # With the chunk itself in the base, a copy with a smaller id is the only thing that can be nearer.
     assert run[0].read("metrics_retrieval").agg(F.avg("mrr")).first()[0] > 0.8
+
+
+def test_the_index_holds_every_vector_and_finds_the_context(run, spark, sf_dir):
+    tables = run[0]
+    cells, centers = tables.read_index("text_emb_idx")
+    assert cells.count() == tables.read("text_emb").count() and len(centers) > 1
+    questions = I.questions(spark, sf_dir)
+    settings = Settings(text_dim=64)
+    exact = context_for(tables, settings, questions)
+    settings.probes = len(centers)
+    assert sorted(map(str, exact.collect())) == sorted(map(str, context_for(tables, settings, questions).collect()))
+    settings.probes = 2
+    plan = context_for(tables, settings, questions)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [cast" in plan or "PartitionFilters: [cell" in plan or "PartitionFilters: [isnotnull(cell" in plan
+
+
+def test_an_outage_loses_no_facts(spark, tmp_path):
+    tables = TableFolder(spark, str(tmp_path))
+    rows = [(f"c{i}", f"u{i}", f"Entity {i}", "en", (0, 5)) for i in range(40)]
+    tables.insert("text_chunks", spark.createDataFrame(rows, TABLES["text_chunks"].columns))
+
+    def broken():
+        def model(records):
+            raise ConnectionError("down")
+
+        return model
+
+    def working():
+        fact = {"predicate": "p", "value_text": "1", "value_number": 1.0, "value_date": None, "confidence": 0.9, "source_span": None}
+        return lambda records: [{"entity": r["text"], **fact} for r in records]
+
+    def asked(make, **mode):
+        return Settings(fact_model=lambda df: generate_table(df, make, ["text"], FACT_SCHEMA, **mode))
+
+    refresh_facts(tables, asked(broken, on_error="null"))
+    assert tables.read("facts_generic").count() == 0 and tables.read("prompt_log").count() == 0
+    with pytest.raises(Exception, match="down"):
+        refresh_facts(tables, asked(broken))
+    refresh_facts(tables, asked(working))
+    refresh_facts(tables, asked(broken))
+    assert tables.read("facts_generic").count() == 40 and tables.read("prompt_log").count() == 40
