@@ -222,7 +222,8 @@ def encode(
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     asked = stored_table(rows.mapInArrow(_split_blocks(folder, pattern, slots, block_bytes), _WORDS_DDL), "pre-tokens")
     answered = asked.repartition(slots, "slot").sortWithinPartitions("slot").mapInArrow(_encode_slots(ranks_path, pattern), _WORDS_DDL)
-    back = answered.repartition("block").sortWithinPartitions("block", "slot")
+    # As many tasks as slots: a block's file is much larger than the rows that ask for it.
+    back = answered.repartition(slots, "block").sortWithinPartitions("block", "slot")
     return back.mapInArrow(_join_blocks(folder), "doc_id long, ids array<int>")
 
 

@@ -181,7 +181,8 @@ def read_warc(manifest: DataFrame, folder: str) -> DataFrame:
                     records = (_parse(m) for m in _members(stream))
                     yield from as_batches((r for r in records if r is not None), _READ, 200)
 
-    files = manifest.select("file").repartition("file")
+    # A file to a task: the rows are too few for Spark to spread them by itself.
+    files = manifest.select("file").repartition(max(1, manifest.count()))
     return files.mapInArrow(run, _READ_DDL)
 
 
