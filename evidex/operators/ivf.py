@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +55,9 @@ def train_cells(
     # One order of rows, whatever the files: k-means depends on it.
     sample = sample.repartitionByRange("vector").sortWithinPartitions("vector")
     points = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
+    if n_cells == 1:
+        center = np.asarray(points.select(Summarizer.mean(F.col("features"))).first()[0].toArray(), dtype=np.float64)
+        return center[None, :] / (np.linalg.norm(center) or 1.0)
     model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
     centers = np.asarray(model.clusterCenters(), dtype=np.float64)
     return centers / np.linalg.norm(centers, axis=1, keepdims=True)

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidex.functions.scalars import SEED, first_number
+from evidex.functions.scalars import SEED, first_number, stable_id
 from evidex.operators import answers as A
 from evidex.operators import ivf, kpi
 from evidex.operators import neighbors as N
@@ -29,6 +29,7 @@ COLOR_WORDS = (
 )
 Embedder = Callable[[DataFrame, str, str, int], DataFrame]
 Model = Column | Callable[[DataFrame], DataFrame] | None
+Chunks = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 @dataclass
@@ -50,6 +51,8 @@ class Settings:
     color_words: Sequence[str] = COLOR_WORDS
     embedder: Embedder = hashed_embedding
     embed_model_id: str = HASHED_MODEL
+    # Adds `out` with (caption, dominant_colors, width_px, height_px) to images, see `generate_table`.
+    caption_model: Callable[[DataFrame], DataFrame] | None = None
     fact_model: Model = None
     answer_model: Model = None
     # Cells of an index (the root of its rows by default), the share of rows it is trained on, and how many cells a
@@ -59,10 +62,21 @@ class Settings:
     probes: int | None = None
 
 
-def refresh_chunks(t: TableFolder, chunks: Sequence[DataFrame], image_desc: DataFrame | None) -> None:
-    found = list(chunks)
+def refresh_captions(t: TableFolder, s: Settings, images: DataFrame) -> None:
+    """Describe the images (object_uri, ...) that have no description yet, and log what was asked."""
+    todo = pending(images.withColumn("image_id", F.sha2("object_uri", 256)), t.read("image_desc"), "image_id")
+    made = answered(stored(s.caption_model(todo), "captions"))
+    described = made.filter("out.caption is not null").select("image_id", F.col("object_uri").alias("source_uri"), "out.*")
+    t.insert("image_desc", described)
+    t.insert("prompt_log", prompt_log(made, "captions_v1", "captions_v1", "captions", "object_uri", "image_id"))
+
+
+def refresh_chunks(t: TableFolder, chunks: Sequence[Chunks], image_desc: DataFrame | None) -> None:
+    """Store new chunks. A function among them gets the stored chunks and leaves out what is there before it extracts."""
+    found = [c(t.read("text_chunks")) if callable(c) else c for c in chunks]
     if image_desc is not None:
         t.insert("image_desc", image_desc)
+    if not t.read("image_desc").isEmpty():
         found.append(chunks_from_captions(t.read("image_desc")))
     t.insert("text_chunks", reduce(DataFrame.unionByName, found))
 
@@ -173,14 +187,22 @@ def context_for(t: TableFolder, s: Settings, questions: DataFrame, constraints=(
 
 
 def refresh_answers(t: TableFolder, s: Settings, questions: DataFrame) -> None:
-    """Answer the questions (query_id, query) and log the variant each one used."""
+    """Answer the questions (query_id, query) that have no answer from this context yet, and log the variant each used.
+
+    An answer is keyed by its question and context, so new evidence gives a new one and the same asks no model.
+    """
+    context = stored(context_for(t, s, questions), "context")
+    # At most context_k rows per question.
+    item = F.struct("rank", "source_uri", F.sha2("text", 256).alias("text"))
+    seen = context.groupBy("query_id").agg(F.sha2(F.to_json(F.array_sort(F.collect_list(item))), 256).alias("context_key"))
+    bar = F.lit("|")
+    asked = questions.join(seen, "query_id", "left").withColumn("version", A.ab_variant("query", s.split_frac))
+    key = stable_id("query_id", bar, "version", bar, "query", bar, F.coalesce("context_key", F.lit("")))
+    todo = stored(pending(asked.withColumn("answer_id", key), t.read("answers"), "answer_id"), "questions")
     rollup = V.validator_rollup(t.read("metrics_validators"))
-    made = A.synthesize_answers(
-        questions, context_for(t, s, questions), s.answer_model, rollup, s.context_k, s.split_frac
-    )
-    t.insert("answers", made)
-    versions = questions.withColumn("version", A.ab_variant("query", s.split_frac))
-    t.insert("prompt_log", prompt_log(versions, "answer_v1", F.col("version"), "answer", "query", "query_id"))
+    made = A.synthesize_answers(todo.select("query_id", "query"), context, s.answer_model, rollup, s.context_k, s.split_frac)
+    t.insert("answers", made.drop("answer_id").join(todo.select("query_id", "answer_id"), "query_id"))
+    t.insert("prompt_log", prompt_log(todo, "answer_v1", F.col("version"), "answer", "query", "answer_id"))
 
 
 def refresh_kpis(t: TableFolder, s: Settings, daily: Sequence[DataFrame], as_of: Column | date) -> None:
@@ -195,15 +217,21 @@ def refresh_kpis(t: TableFolder, s: Settings, daily: Sequence[DataFrame], as_of:
 
 def refresh(
     t: TableFolder,
-    chunks: Sequence[DataFrame],
+    chunks: Sequence[Chunks],
     questions: DataFrame,
     daily: Sequence[DataFrame],
     as_of: Column | date,
     image_desc: DataFrame | None = None,
     settings: Settings | None = None,
+    images: DataFrame | None = None,
 ) -> None:
-    """All steps. Every step reads what the ones before have stored."""
+    """All steps. Every step reads what the ones before have stored.
+
+    `image_desc` are descriptions that exist; `images` are described here by `caption_model`, those that are new.
+    """
     s = settings or Settings()
+    if images is not None:
+        refresh_captions(t, s, images)
     refresh_chunks(t, chunks, image_desc)
     refresh_embeddings(t, s)
     refresh_index(t, s)

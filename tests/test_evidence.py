@@ -1,9 +1,12 @@
 """The whole refresh on stored tables."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from evidex.operators import kpi
+from evidex.operators.chunks import PDF_SUFFIX, extract_chunks
 from evidex.operators.facts import FACT_SCHEMA
 from evidex.operators.generate import generate_table
 from evidex.plans import inputs as I
@@ -106,3 +109,39 @@ def test_an_outage_loses_no_facts(spark, tmp_path):
     refresh_facts(tables, asked(working))
     refresh_facts(tables, asked(broken))
     assert tables.read("facts_generic").count() == 40 and tables.read("prompt_log").count() == 40
+
+
+def test_models_are_asked_once_and_new_evidence_gives_new_answers(spark, tmp_path):
+    tables, asked = TableFolder(spark, str(tmp_path)), spark.sparkContext.accumulator(0)
+
+    def counting(make):
+        def model(records):
+            asked.add(len(records))
+            return [make(r) for r in records]
+
+        return lambda: model
+
+    caption = counting(lambda r: {"caption": r["object_uri"], "dominant_colors": [], "width_px": None, "height_px": None})
+    answer = counting(lambda r: {"summary": r["context_text"], "citations": [], "confidence": 0.5, "validators": None})
+    settings = Settings(
+        text_dim=16, image_dim=16, holdout=1, search_k=2, neighbor_k=2,
+        caption_model=lambda df: generate_table(df, caption, ["object_uri"], "caption string, dominant_colors array<string>, width_px bigint, height_px bigint"),
+        answer_model=lambda df: generate_table(df, answer, ["context_text"], "summary string, citations array<string>, confidence double, validators array<struct<name: string, result: boolean, note: string>>"),
+    )
+    images = spark.createDataFrame([("red car",), ("blue boat",)], "object_uri string")
+    questions = spark.createDataFrame([("q1", "which car?")], "query_id string, query string")
+    objects = spark.createDataFrame([("doc", "a car of the year")], "object_uri string, text string")
+    daily = spark.createDataFrame([], "kpi_id string, ts date, value double, tags array<string>")
+
+    def go(*more):
+        before = asked.value
+        extra = spark.createDataFrame(list(more), "object_uri string, text string")
+        step = lambda done: extract_chunks(objects.union(extra), PDF_SUFFIX, done=done)
+        refresh(tables, [step], questions, [daily], date(2024, 1, 1), settings=settings, images=images)
+        return asked.value - before
+
+    assert go() == 3
+    assert go() == 0
+    assert go(("new", "a car which is new")) == 1
+    assert tables.read("answers").count() == 2 and tables.read("image_desc").count() == 2
+    assert tables.read("prompt_log").filter("prompt_id = 'captions_v1'").count() == 2
