@@ -2,8 +2,8 @@
 
 The base table stays where it is: each task scores its own rows against the queries with one matrix
 product per batch, and hands on only its k best rows per query. Those candidates are merged by a window.
-No row pair is ever emitted. Few queries travel as a broadcast whose size is checked; many queries are
-cut into blocks that meet blocks of the base table in a shuffle.
+No row pair is ever emitted. Few queries travel as a broadcast whose size is checked; many queries are stored,
+and the tasks read them block by block. With cells, blocks of both sides meet in a shuffle by cell.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as pads
+import pyarrow.fs as pafs
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from evidex.functions.scalars import predicate
 from evidex.operators.groups import topk_per_group
-from evidex.session import estimated_splits
+from evidex.session import estimated_splits, stored
 
 # Fixed values (defaults the results depend on).
 SEARCH_K = 40
@@ -188,17 +190,57 @@ def _scan_with_broadcast(base: DataFrame, held: pa.Table, probes: pa.Table | Non
     return base.mapInArrow(search, ddl)
 
 
-def _with_block_counts(
-    base: DataFrame, queries: DataFrame, by_cell: bool, base_rows: int, query_rows: int
-) -> tuple[DataFrame, DataFrame]:
-    """Add `base_blocks` and `query_blocks`: in how many blocks the rows of each side (per cell) are cut."""
-    if not by_cell:
-        counts = {
-            "base_blocks": F.lit(-(-base.count() // base_rows)).cast("bigint"),
-            "query_blocks": F.lit(-(-queries.count() // query_rows)).cast("bigint"),
-            "cell": F.lit(0),
-        }
-        return base.withColumns(counts), queries.withColumns(counts)
+def _scan_with_stored(base: DataFrame, queries: DataFrame, k: int, ddl: str, arrow: pa.Schema, base_rows: int, query_rows: int) -> DataFrame:
+    """Many queries: they are stored once, and each task reads them block by block for its own base rows.
+
+    The base stays where it is. A task keeps one block of base rows, one of queries, and the k-th best distance that
+    each query has seen in this task; only rows at most that far are handed on.
+    """
+    unique = stored(queries.select("query_id", F.col("vector").cast("array<double>").alias("vector")), "queries")
+    path = unique.inputFiles()[0].rsplit("/", 1)[0] if unique.inputFiles() else None
+    if path is None:
+        return base.sparkSession.createDataFrame([], ddl)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = pafs.FileSystem.from_uri(path)
+        files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(folder)) if f.path.endswith(".parquet"))
+        limits: dict[int, np.ndarray] = {}
+        held: list[tuple[pa.Array, np.ndarray]] = []
+
+        def meet() -> Iterator[pa.RecordBatch]:
+            ids, vectors = pa.concat_arrays([i for i, _ in held]), np.concatenate([v for _, v in held])
+            held.clear()
+            blocks = pads.dataset(files, filesystem=fs, format="parquet").to_batches(batch_size=query_rows, use_threads=False)
+            for number, block in enumerate(blocks):
+                rows, matrix = _unit_rows(block.column("vector"))
+                if rows.size == 0:
+                    continue
+                top = TopK(matrix, k)
+                top.limit = limits.get(number, top.limit)
+                top.add(ids, vectors)
+                limits[number] = top.limit
+                out = top.result(np.asarray(block.column("query_id").to_pylist(), dtype=object)[rows], arrow)
+                if out is not None:
+                    yield out
+
+        size = 0
+        for batch in batches:
+            rows, vectors = _unit_rows(batch.column("vector"))
+            for start in range(0, rows.size, base_rows):
+                part = slice(start, start + base_rows)
+                held.append((batch.column("item_id").take(pa.array(rows[part])), vectors[part]))
+                size += held[-1][1].shape[0]
+                if size >= base_rows:
+                    yield from meet()
+                    size = 0
+        if held:
+            yield from meet()
+
+    return base.mapInArrow(search, ddl)
+
+
+def _with_block_counts(base: DataFrame, queries: DataFrame, base_rows: int, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Add `base_blocks` and `query_blocks`: in how many blocks the rows of each side are cut in each cell."""
     # One row per cell; the number of cells is limited when the cells are trained.
     sizes = F.broadcast(
         base.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / base_rows).cast("bigint").alias("base_blocks")).join(
@@ -216,15 +258,14 @@ def _numbers_below(count: str):
 def _meet_in_blocks(
     base: DataFrame,
     queries: DataFrame,
-    by_cell: bool,
     k: int,
     ddl: str,
     arrow: pa.Schema,
     base_rows: int,
     query_rows: int,
 ) -> DataFrame:
-    """Blocks of base rows meet blocks of queries (of the same cell); each meeting keeps its own k best."""
-    base, queries = _with_block_counts(base, queries, by_cell, base_rows, query_rows)
+    """Blocks of base rows meet blocks of queries of the same cell; each meeting keeps its own k best."""
+    base, queries = _with_block_counts(base, queries, base_rows, query_rows)
     base_side = (
         base.withColumn("base_block", F.pmod(F.xxhash64("item_id"), F.col("base_blocks")))
         .withColumn("query_block", _numbers_below("query_blocks"))
@@ -303,11 +344,11 @@ def search(
             slim = slim.filter(F.col("cell").isin(probed))
         found = _scan_with_broadcast(_fewer_tasks(slim, held.num_rows * k), held, pairs, k, ddl, arrow)
     else:
-        if probes is not None:
+        if probes is None:
+            found = _scan_with_stored(slim, wanted, k, ddl, arrow, block_base_rows, block_query_rows)
+        else:
             wanted = wanted.join(probes.select("query_id", F.col("cell").cast("int")), "query_id")
-        found = _meet_in_blocks(
-            slim, wanted, probes is not None, k, ddl, arrow, block_base_rows, block_query_rows
-        )
+            found = _meet_in_blocks(slim, wanted, k, ddl, arrow, block_base_rows, block_query_rows)
     # Every task adds k candidates per query; beyond a few they are first cut down in parallel.
     salt = F.col("item_id") if k * estimated_splits(slim) > CANDIDATES_PER_TASK else None
     best = topk_per_group(found, ["query_id"], [F.col("distance"), F.col("item_id")], k, salt_by=salt)

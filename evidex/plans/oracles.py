@@ -327,6 +327,18 @@ ORACLES: dict[str, str] = {
         union all
         select query_id, source_uri, text, (held + place)::int as rank, false as is_primary
         from held, recent where held + place <= 12""",
+    "image_topk": f"""with {CAPTIONS}, {QUESTIONS}, {embedded("img_vec", "captions", "image_id", "caption", 1024)},
+        {embedded("question_vec", "questions", "query_id", "query", 1024)},
+        dots as (select q.query_id, i.image_id, sum(q.weight * i.weight) as dot
+                 from question_vec q join img_vec i on q.bucket = i.bucket group by all),
+        pairs as (select query_id, image_id from (select distinct query_id from question_vec), (select distinct image_id from img_vec)),
+        scored as (select query_id, image_id, round(1 - coalesce(dot, 0), 9) as distance from pairs left join dots using (query_id, image_id)),
+        ranked as (select *, row_number() over (partition by query_id order by distance, image_id) as rank from scored)
+        select query_id, image_id as item_id, round(distance, 6) as distance, rank::int as rank from ranked where rank <= 12""",
+    "neighbors_of_all": """with v as (select vec_id, embedding::double[] as v from embeddings),
+        scored as (select q.vec_id as query_id, b.vec_id as item_id, round(1 - list_cosine_similarity(b.v, q.v), 9) as distance from v q, v b),
+        ranked as (select *, row_number() over (partition by query_id order by distance, item_id) as rank from scored)
+        select query_id, item_id, distance, rank::int as rank from ranked where rank <= 5""",
     "ivf_full_probe": f"with {label_hits(40)} select {HIT_COLUMNS} from hits",
     "ivf_topk": f"with {PROBED} select {HIT_COLUMNS} from probed_hits",
     "ivf_recall": f"""with {PROBED} select query_id, avg((p.item_id is not null)::int::double) as recall

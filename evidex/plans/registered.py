@@ -16,7 +16,7 @@ from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
 from evidex.operators.chunks import chunks_from_captions, pending, prompt_log
-from evidex.operators.embed import embed_missing
+from evidex.operators.embed import IMAGE_DIM, embed_missing, hashed_embedding
 from evidex.operators.generate import generate_bool, generate_double, generate_table
 from evidex.operators.sampling import cap_per_key, hash_sample, sample_position
 from evidex.operators.vectors import drop_empty_vectors, vector_topk
@@ -130,6 +130,20 @@ def context_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
     return R.context_with_fallback(I.questions(spark, sf), near, I.page_captions(spark, sf))
 
 
+def image_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Search by image: the descriptions nearest to each question, in the space of image vectors."""
+    captions = I.page_captions(spark, sf).select("image_id", "caption")
+    images = hashed_embedding(captions, "image_id", "caption", IMAGE_DIM)
+    questions = hashed_embedding(I.questions(spark, sf), "query_id", "query", IMAGE_DIM)
+    return vector_topk(images, questions, R.CONTEXT_K, item_id="image_id").withColumn("distance", F.round("distance", 6))
+
+
+def neighbors_of_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The nearest rows of every row: as many queries as rows, whatever fits into one broadcast."""
+    base = I.read(spark, sf, "embeddings")
+    return vector_topk(base, base, 5, query_id="vec_id", query_vector="embedding", max_broadcast=100, **EMBEDDINGS)
+
+
 # Inverted file
 
 
@@ -406,7 +420,7 @@ def generate_double_query(spark: SparkSession, sf: str) -> DataFrame:
 def validator_quality_results(spark: SparkSession, sf: str) -> DataFrame:
     labels = I.read(spark, sf, "labels")
     done = labels.filter("toxic = 1").select(F.col("doc_id").cast("string").alias("item_id"), F.lit("rule_quality").alias("rule_id"))
-    return V.run_bool_validator(labels, "rule_quality", "doc_id", F.col("quality") == 1, done=done, sample_frac=V.SAMPLE_FRAC)
+    return V.run_bool_validator(labels, "rule_quality", "doc_id", F.col("quality") == 1, done=done, sample_frac=V.SAMPLE_FRAC, cap=None)
 
 
 def validator_bool_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -430,7 +444,7 @@ def validator_tolerance_results(spark: SparkSession, sf: str) -> DataFrame:
 
 def validator_brand_results(spark: SparkSession, sf: str) -> DataFrame:
     parts = I.read(spark, sf, "part").select(F.col("p_partkey").alias("image_id"), F.col("p_name").alias("caption"))
-    return V.brand_model_match(parts, BRAND_WORDS)
+    return V.brand_model_match(parts, BRAND_WORDS, cap=None)
 
 
 def validator_color_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -440,7 +454,7 @@ def validator_color_results(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validator_table_text_results(spark: SparkSession, sf: str) -> DataFrame:
-    return V.table_vs_text_total(I.order_facts(spark, sf).unionByName(I.document_facts(spark, sf)))
+    return V.table_vs_text_total(I.order_facts(spark, sf).unionByName(I.document_facts(spark, sf)), cap=None)
 
 
 def _all_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -599,6 +613,8 @@ QUERIES = {
     "retrieval_metrics_holdout": retrieval_metrics_holdout,
     "context_topk": context_topk,
     "context_with_fallback": context_with_fallback,
+    "image_topk": image_topk,
+    "neighbors_of_all": neighbors_of_all,
     "ivf_full_probe": ivf_full_probe,
     "ivf_topk": ivf_topk,
     "ivf_recall": ivf_recall,
