@@ -8,7 +8,8 @@ bins put documents into buckets.
 Equal sets are one representative from the start. Inside a bucket no pairs are listed: every member is compared with a
 centre of the bucket, by its full set, for some orders of the members that choose other centres each time. What is
 linked becomes one component, and pairs inside a component need no comparison. Only buckets that still hold several
-components are completed: the members outside the bucket's largest component meet the members of other components.
+components are completed: the members outside the bucket's largest component meet the members of other components, in
+small buckets as pairs of rows, in large ones as tiles of texts that an index compares.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ PERCENT = 80
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 STAR_ROUNDS = 4
+SMALL_BUCKET = 32
+POOL_BLOCK = 512
 BATCH_BYTES = 2 << 20
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -178,7 +181,70 @@ def _close(n: Column, m: Column, percent: int) -> Column:
 def _mixed(labelled: DataFrame) -> DataFrame:
     """Buckets that hold more than one component, with their largest one."""
     per = labelled.groupBy("bucket", "component").agg(F.count("*").alias("rows"))
-    return per.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("rows", "component"))["component"].alias("largest")).filter("parts > 1")
+    found = per.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("rows").alias("size"), F.max(F.struct("rows", "component"))["component"].alias("largest"))
+    return found.filter("parts > 1")
+
+
+def _tile_links(words: int, percent: int):
+    """Links between components from tiles of two lists of texts, one for each pair of components in a tile."""
+    schema = arrow_schema(a=pa.int64(), b=pa.int64())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, hashes = zstandard.ZstdDecompressor().decompress, WordHashes()
+
+        def sets_of(side: list[dict]) -> list[np.ndarray]:
+            return shingle_sets([unpack(x["data"]) for x in side], hashes, words)
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                us, vs = row["us"], row["vs"]
+                v_sets = sets_of(vs)
+                sizes = np.array([s.size for s in v_sets], np.int64)
+                component = np.array([v["component"] for v in vs], np.int64)
+                # Which texts have a shingle: all shingles in order, each with its text.
+                flat, owner = np.concatenate(v_sets), np.repeat(np.arange(sizes.size), sizes)
+                order = np.argsort(flat, kind="stable")
+                flat, owner = flat[order], owner[order]
+                seen, links = set(), []
+                for u, own in zip(us, sets_of(us)):
+                    low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                    count = high - low
+                    ends = np.cumsum(count)
+                    at = np.repeat(low - (ends - count), count) + np.arange(ends[-1] if ends.size else 0)
+                    common = np.bincount(owner[at], minlength=sizes.size)
+                    near = (100 * common >= percent * (own.size + sizes - common)) & (component != u["component"])
+                    for j in np.flatnonzero(near).tolist():
+                        pair = (min(u["component"], vs[j]["component"]), max(u["component"], vs[j]["component"]))
+                        if pair not in seen:
+                            seen.add(pair)
+                            links.append((u["rep"], vs[j]["rep"]))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], schema=schema)
+
+    return run
+
+
+def _large_buckets(mixed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components in buckets too large for pairs of rows.
+
+    Buckets that share members are one pool. A pool is cut into blocks of texts; the blocks of members outside its largest
+    component meet all blocks, and a tile counts common shingles through an index of its own. Pairs of rows are never
+    made, and a tile hands on one link per pair of components.
+    """
+    first = mixed.groupBy("bucket").agg(F.min("rep").alias("first"))
+    pools = components(mixed.join(first, "bucket").select(F.col("rep").alias("a"), F.col("first").alias("b")), "pools")
+    rows = mixed.select("rep", "component").distinct().join(pools.select(F.col("node").alias("rep"), F.col("component").alias("pool")), "rep")
+    per = rows.groupBy("pool", "component").agg(F.count("*").alias("rows"))
+    sizes = per.groupBy("pool").agg(F.ceil(F.sum("rows") / POOL_BLOCK).alias("blocks"), F.max(F.struct("rows", "component"))["component"].alias("largest"))
+    rows = rows.join(sizes, "pool").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    rows = rows.join(texts, "rep")
+    item = F.struct("rep", "component", "data")
+    # A block holds about POOL_BLOCK texts, whatever the size of its pool.
+    vs = rows.groupBy("pool", "block").agg(F.collect_list(item).alias("vs")).withColumnRenamed("block", "v")
+    us = rows.filter("component <> largest").groupBy("pool", "block").agg(F.collect_list(item).alias("us")).withColumnRenamed("block", "u")
+    tiles = rows.filter("component <> largest").select("pool", "blocks", F.col("block").alias("u")).distinct()
+    tiles = tiles.select("pool", "u", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("v"))
+    return tiles.join(us, ["pool", "u"]).join(vs, ["pool", "v"]).select("us", "vs").mapInArrow(_tile_links(words, percent), "a long, b long")
 
 
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -221,15 +287,17 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
         links = new if links is None else links.union(new)
         found = components(links)
 
-    # The rest, exactly: whoever is outside a bucket's largest component meets all of its other components.
+    # The rest, exactly. In small buckets whoever is outside the largest component meets the other components.
     labelled = _labelled(members, found)
-    labelled = labelled.join(_mixed(labelled).select("bucket", "largest"), "bucket")
-    outside = labelled.filter("component <> largest").select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    others = labelled.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("component") == F.col("largest")).alias("in_largest"))
+    mixed = stored_table(labelled.join(_mixed(labelled), "bucket"), "mixed")
+    small = mixed.filter(F.col("size") <= SMALL_BUCKET)
+    outside = small.filter("component <> largest").select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+    others = small.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("component") == F.col("largest")).alias("in_largest"))
     rest = outside.join(others, "bucket").filter((F.col("ca") != F.col("cb")) & (F.col("in_largest") | (F.col("a") < F.col("b"))) & _close(F.col("na"), F.col("nb"), percent))
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     last = stored_table(verified(rest, texts, words, percent), "links")
     links = last if links is None else links.union(last)
+    links = links.union(stored_table(_large_buckets(mixed.filter(F.col("size") > SMALL_BUCKET), texts, words, percent), "links"))
 
     groups = components(links).select(F.col("node").alias("rep"), "component")
     named_groups = reps.select("digest", "rep").join(groups, "rep", "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
