@@ -19,7 +19,7 @@ from evidex.operators import kpi  # noqa: E402
 from evidex.operators import neighbors as N  # noqa: E402
 from evidex.operators.answers import synthesize_answers  # noqa: E402
 from evidex.plans import inputs as I  # noqa: E402
-from evidex.plans.evidence import Settings, context_for  # noqa: E402
+from evidex.plans.evidence import Settings, context_for, refresh_index  # noqa: E402
 from evidex.plans.registered import QUERIES  # noqa: E402
 from evidex.session import local_session, shared_folder  # noqa: E402
 from evidex.sources.writes import TableFolder  # noqa: E402
@@ -27,7 +27,7 @@ from evidex.sources.writes import TableFolder  # noqa: E402
 HEADLINE = [
     "vector_topk", "precomputed_neighbors", "semantic_edges", "hybrid_top", "retrieval_metrics",
     "retrieval_metrics_holdout", "context_topk", "context_with_fallback", "answers_extractive",
-    "ivf_topk", "hashed_embedding", "chunks_pages", "facts_documents", "facts_orders",
+    "image_topk", "neighbors_of_all", "ivf_topk", "hashed_embedding", "chunks_pages", "facts_documents", "facts_orders",
     "validator_coverage", "insert_if_absent", "kpi_daily_counts", "kpi_from_facts", "forecast",
     "forecast_backtest",
 ]
@@ -50,12 +50,16 @@ def stored_paths(spark, sf_dir: str) -> dict[str, float]:
     t.insert("text_emb", I.document_embeddings(spark, sf_dir).selectExpr("chunk_id", "'hashed' as model_id", "vector", "768L as vector_dim").filter("vector is not null"))
     t.insert("image_desc", I.page_captions(spark, sf_dir))
     t.upsert("kpi_series", I.kpi_series(spark, sf_dir))
+    probed = Settings(probes=8)
+    refresh_index(t, probed)
     everything = I.questions(spark, sf_dir)
     one = everything.filter("query_id = 'b0'")
     hot = I.question_vectors(spark, sf_dir)
     paths = {
         "stored_retrieval_one": lambda: context_for(t, s, one),
         "stored_retrieval_all": lambda: context_for(t, s, everything),
+        "stored_retrieval_one_probed": lambda: context_for(t, probed, one),
+        "stored_retrieval_all_probed": lambda: context_for(t, probed, everything),
         "stored_answer_one": lambda: synthesize_answers(one, context_for(t, s, one)),
         "stored_answer_all": lambda: synthesize_answers(everything, context_for(t, s, everything)),
         "stored_forecast": lambda: kpi.forecast(t.read("kpi_series")),
