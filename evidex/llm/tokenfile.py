@@ -10,6 +10,9 @@ shard in the whole array is a running sum over it, one row per file.
 from __future__ import annotations
 
 import json
+import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -21,10 +24,10 @@ from pyspark.sql import functions as F
 from evidex.llm.common import CommittedFile, arrow_schema, as_batches, file_system, small_batches, stored_table
 from evidex.session import shared_folder
 
-ROLL_IDS = 32 * 1024 * 1024
+ROLL_IDS = 16 * 1024 * 1024
 SELECT_EVERY = 64
 BATCH_BYTES = 1 << 20
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 MAGIC = b"EFTOKEN1"
 
 _MANIFEST = arrow_schema(file=pa.string(), seq=pa.int64(), n_docs=pa.int64(), n_ids=pa.int64(), n_bytes=pa.int64())
@@ -89,15 +92,14 @@ class EliasFano:
         return {"n": self.n, "low_bits": self.low_bits, "base": self.base, "sizes": [len(d) for d in data]}, data
 
 
-def shard_bytes(ids: bytes, width: int, ends: np.ndarray, doc_ids: np.ndarray) -> bytes:
-    """A whole shard: magic, length of the header, header (JSON), both sequences, ids."""
-    bounds, names = EliasFano.of(ends), EliasFano.of(doc_ids)
+def shard_parts(ids: list[bytes], width: int, ends: np.ndarray, doc_ids: np.ndarray) -> list[bytes]:
+    """A whole shard in pieces: magic, length of the header, header (JSON), both sequences, ids."""
     head, data = {"width": width}, []
-    for name, one in (("ends", bounds), ("docs", names)):
+    for name, one in (("ends", EliasFano.of(ends)), ("docs", EliasFano.of(doc_ids))):
         head[name], parts = one.parts()
         data += parts
     text = json.dumps(head).encode()
-    return b"".join([MAGIC, len(text).to_bytes(4, "little"), text, *data, ids])
+    return [MAGIC, len(text).to_bytes(4, "little"), text, *data, *ids]
 
 
 def open_shard(data: bytes) -> tuple[EliasFano, EliasFano, np.ndarray]:
@@ -116,41 +118,55 @@ def open_shard(data: bytes) -> tuple[EliasFano, EliasFano, np.ndarray]:
 
 
 class WordEncoder:
-    """Ids of texts, word by word, for tokenizers that never join across white space.
+    """Ids of texts, word by word, for a tokenizer that lower-cases, splits letters from signs and drops white space.
 
-    Words repeat, so each is sent to the tokenizer once and kept. A word of ASCII letters before one full stop or comma
-    is two entries in lower case, as the tokenizer lower-cases and splits there. The store is emptied when it is full.
+    Words repeat, so each is looked up once and kept. A word of Latin letters before other signs is two pre-tokens, which
+    go to the tokenizer's model as they are, each once; any other word goes through the whole tokenizer. Stores are
+    emptied when they are full.
     """
 
+    # No apostrophe, which may begin a pre-token of letters.
+    PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\[-`{-~]*)")
+
     def __init__(self, path: str, width: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.to_bytes = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
         self.kind = f"<u{width}"
         self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def learn(self, new: list[bytes]) -> None:
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-        cores: dict[bytes, list[bytes]] = {}
-        for w in new:
-            core, end = (w[:-1], w[-1:]) if w[-1:] in (b".", b",") else (w, b"")
-            # isalpha() of bytes knows ASCII letters only.
-            cores[w] = [core.lower(), end] if end and core.isalpha() else [core.lower()] if core.isalpha() else [w]
-        pieces = sorted({p for c in cores.values() for p in c if p not in self.known})
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, self.kind).tobytes()
-        for w, c in cores.items():
-            if w not in self.known:
-                self.known[w] = b"".join([self.known[p] for p in c])
+    def _ids(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.kind).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        found = self.pieces.get(piece)
+        if found is None:
+            letters = piece if piece.isascii() else self.to_bytes.pre_tokenize_str(piece)[0][0]
+            found = self.pieces[piece] = self._ids([t.id for t in self.model.tokenize(letters)])
+        return found
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        plain = self.PLAIN.fullmatch(text)
+        if plain is None or "\u0130" in text or not unicodedata.is_normalized("NFC", text):
+            return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return self._piece(plain[1].lower()) + (self._piece(plain[2]) if plain[2] else b"")
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         # At blanks that the tokenizer drops too; split() of bytes knows no others.
         split = [(t or b"").split() for t in texts]
-        needed = {w for ws in split for w in ws}
-        if not needed <= self.known.keys():
-            # What the batch needs is learnt together, and stays even if the store was emptied for it.
-            self.learn(list(needed) if len(self.known) + len(needed) > CACHED_WORDS else list(needed - self.known.keys()))
+        new = {w for ws in split for w in ws} - self.known.keys()
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.known.clear()
+            new = {w for ws in split for w in ws}
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        for w in new:
+            self.known[w] = self._word(w)
         known = self.known.__getitem__
         return [b"".join(map(known, ws)) for ws in split]
 
@@ -168,7 +184,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
         def close() -> None:
             nonlocal roll, total
             out = CommittedFile(folder, f"part-{part:06d}-{roll:05d}.tok")
-            out.write(shard_bytes(b"".join(ids), width, np.array(ends, np.int64), np.array(names, np.int64)))
+            for data in shard_parts(ids, width, np.array(ends, np.int64), np.array(names, np.int64)):
+                out.write(data)
             out.commit()
             rows.append((out.name, part * 1_000_000 + roll, len(names), total, out.size))
             roll, total = roll + 1, 0
@@ -212,7 +229,8 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
     # One row per file, in the order of the array.
     before = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     files = stored_table(manifest.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first")), "token-files")
-    return files.repartition("file").mapInArrow(run, _DOCS_DDL)
+    # A file to a task: the rows are too few for Spark to spread them by itself.
+    return files.repartition(max(1, files.count())).mapInArrow(run, _DOCS_DDL)
 
 
 def crc_of_ids(docs: DataFrame, width: int) -> DataFrame:
