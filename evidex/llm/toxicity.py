@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evidex.llm.common import arrow_schema, as_batches, small_batches, stored_table
+from evidex.llm.urlfilter import possible_hits
 
 # Bounds of what is fitted, and the documented limits of the model.
 SAMPLE_PER_LABEL = 2_000
@@ -269,9 +270,12 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
     SAMPLE_PER_LABEL documents per label, by hashed id, so that evidence is not judged where it was counted.
     """
     marked = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    both = docs.join(marked, "doc_id").withColumn("fold", _fold(F.col("doc_id")))
-    known = lexicon(both.filter("fold between 1 and 3"))
-    rest = both.filter("fold = 4")
+    marked = stored_table(marked.withColumn("fold", _fold(F.col("doc_id"))).filter("fold <> 0"), "marked")
+    counted = marked.filter("fold between 1 and 3")
+    # Texts without a label stay where they are.
+    texts = possible_hits(docs.filter("doc_id is not null"), "doc_id", counted, "doc_id", counted.count())
+    known = lexicon(texts.join(counted, "doc_id"))
+    rest = marked.filter("fold = 4")
     picked = None
     for label in (0, 1):
         some = rest.filter(F.col("toxic") == label).select("doc_id", "toxic").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PER_LABEL)
@@ -294,7 +298,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
     chains = [(r["n"], np.array(r["at"], np.int64), np.array(r["classes"], np.int64)) for r in rows]
     toxic = np.array([r["toxic"] > 0 for r in rows], bool)
     theta = fit_field(chains, toxic)
-    share = marked.filter(_fold(F.col("doc_id")) != 0).agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
+    share = marked.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0] or 0.0
     x = _summary(np.array([c[0] for c in chains], np.int64), Field(theta).marginals(Chains(chains)) if chains else [])
     return known, theta, fit_scores(x, toxic.astype(float), share)
 
