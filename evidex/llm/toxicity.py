@@ -98,10 +98,10 @@ class Evidence:
     def active(self, text: bytes | None) -> tuple[int, np.ndarray, np.ndarray]:
         """Number of words, and positions and classes of those above class 0."""
         words = (text or b"").split()
-        new = set(words) - self.words.keys()
+        new = [w for w in set(words) if w not in self.words]
         if len(self.words) + len(new) > CACHED_WORDS:
             self.words.clear()
-            new = set(words)
+            new = list(set(words))
         for w in new:
             self.words[w] = next((self.lexicon[f] for f in features(w.decode("utf-8", "replace")) if f in self.lexicon), 0)
         classes = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
