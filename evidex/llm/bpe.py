@@ -88,8 +88,9 @@ class PreTokens:
         else:
             first, *rest = text.split(" ")
             cut = [first, *[" " + p for p in rest]]
-        for piece in set(cut) - self.pieces.keys():
-            self._learn(piece)
+        for piece in set(cut):
+            if piece not in self.pieces:
+                self._learn(piece)
         return b"".join(map(self.pieces.__getitem__, cut))
 
 
