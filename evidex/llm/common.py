@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -113,6 +115,17 @@ def arrow_schema(**types: pa.DataType) -> pa.Schema:
 RowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
+def kept_in_worker(key: tuple, make: Callable[[], object]) -> object:
+    """An object that is made once per Python worker and outlives its tasks, such as a loaded vocabulary.
+
+    The modules of this package travel with each task, so it is kept in a module of the worker itself.
+    """
+    store = sys.modules.setdefault("evidex_worker_store", types.ModuleType("evidex_worker_store")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 class WordHashes:
     """64-bit hashes of words; known words are kept until the store is full."""
 
@@ -124,10 +137,10 @@ class WordHashes:
         """Hashes of all words of the texts one after another, and the number of words of each text."""
         split = [t.split() for t in texts]
         flat = [w for ws in split for w in ws]
-        new = set(flat) - self.known.keys()
+        new = [w for w in set(flat) if w not in self.known]
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
-            new = set(flat)
+            new = list(set(flat))
         for w in new:
             self.known[w] = xxhash.xxh3_64_intdigest(w)
         counts = np.fromiter(map(len, split), np.int64, len(split))

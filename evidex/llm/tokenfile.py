@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -21,13 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from evidex.llm.common import CommittedFile, arrow_schema, as_batches, file_system, small_batches, stored_table
+from evidex.llm.common import CommittedFile, arrow_schema, as_batches, file_system, kept_in_worker, small_batches, stored_table
 from evidex.session import shared_folder
 
 ROLL_IDS = 16 * 1024 * 1024
 SELECT_EVERY = 64
 BATCH_BYTES = 1 << 20
 CACHED_WORDS = 400_000
+CACHED_PIECES = 600_000
 MAGIC = b"EFTOKEN1"
 
 _MANIFEST = arrow_schema(file=pa.string(), seq=pa.int64(), n_docs=pa.int64(), n_ids=pa.int64(), n_bytes=pa.int64())
@@ -135,12 +137,12 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.to_bytes = self.tokenizer.model, ByteLevel(add_prefix_space=False, use_regex=False)
-        self.kind = f"<u{width}"
+        self.kind = "<%d" + {2: "H", 4: "I"}[width]
         self.known: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _ids(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.kind).tobytes()
+        return struct.pack(self.kind % len(ids), *ids)
 
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
@@ -152,18 +154,19 @@ class WordEncoder:
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         plain = self.PLAIN.fullmatch(text)
-        if plain is None or "\u0130" in text or not unicodedata.is_normalized("NFC", text):
+        if plain is None or not (text.isascii() or ("\u0130" not in text and unicodedata.is_normalized("NFC", text))):
             return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return self._piece(plain[1].lower()) + (self._piece(plain[2]) if plain[2] else b"")
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         # At blanks that the tokenizer drops too; split() of bytes knows no others.
         split = [(t or b"").split() for t in texts]
-        new = {w for ws in split for w in ws} - self.known.keys()
+        needed = {w for ws in split for w in ws}
+        new = [w for w in needed if w not in self.known]
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known.clear()
-            new = {w for ws in split for w in ws}
-        if len(self.pieces) > CACHED_WORDS:
+            new = list(needed)
+        if len(self.pieces) > CACHED_PIECES:
             self.pieces.clear()
         for w in new:
             self.known[w] = self._word(w)
@@ -178,7 +181,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
         from pyspark import TaskContext
 
         part, roll, rows = TaskContext.get().partitionId(), 0, []
-        encoder, end = WordEncoder(tokenizer_path, width), int(end_id).to_bytes(width, "little")
+        encoder = kept_in_worker(("words", tokenizer_path, width), lambda: WordEncoder(tokenizer_path, width))
+        end = int(end_id).to_bytes(width, "little")
         ids, ends, names, total = [], [], [], 0
 
         def close() -> None:
