@@ -13,7 +13,6 @@ cost of its few other words.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
