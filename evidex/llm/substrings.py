@@ -128,7 +128,8 @@ def _windows(texts: list[bytes], hashes: WordHashes, table: np.ndarray, window:
             break
         group[left] = table[i][_slots(runs, starts[left], level)]
     path = runs[window][starts] if starts.size else np.empty(0, np.uint64)
-    order = np.lexsort((path, group))
+    order = np.argsort(path)
+    order = order[np.argsort(group[order], kind="stable")]
     g, p = group[order], path[order]
     first = np.ones(order.size, bool)
     first[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1])
@@ -221,7 +222,7 @@ def _find_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             leaves, deep = np.concatenate(paths), np.concatenate(often)
             paths.clear()
-            order = np.argsort(leaves, kind="stable")
+            order = np.argsort(leaves)
             twin = leaves[order][1:] == leaves[order][:-1]
             below = np.zeros(leaves.size, bool)
             below[1:] |= twin
@@ -295,7 +296,8 @@ def remove_repeats(
     sent = rows.mapInArrow(_send_windows(folder, table, window, block_bytes), _PARTS_DDL)
     found = sent.repartition("group").sortWithinPartitions("group").mapInArrow(_find_nodes, _PARTS_DDL)
     found = stored_table(found, "nodes")
-    back = found.repartition("block").sortWithinPartitions("block", "group")
+    # As many tasks as partitions: a block's file is much larger than the rows that ask for it.
+    back = found.repartition(partitions, "block").sortWithinPartitions("block", "group")
     fields = [f"keep{i}" for i in range(len(keep))]
     schema = pa.schema([*_OUT, *[(f, pa.string()) for f in fields]])
     ddl = ", ".join(["doc_id long, n_words long, n_removed long, text string", *[f"{f} string" for f in fields]])
