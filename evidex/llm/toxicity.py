@@ -8,24 +8,29 @@ sum, maximum and density give the document's score by a logistic fit on the same
 
 Most words are of class 0. Runs of them are one power of a 2 x 2 matrix, so the chain is exact over whole texts at the
 cost of its few other words.
+
+The features with a class are a table in the shared folder, however many they are. While they are proven few, each task
+gets them all; else blocks of texts send their distinct words, which get their class by a join, with the same result.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidex.llm.common import arrow_schema, as_batches, small_batches, stored_table
+from evidex.llm.common import CommittedFile, arrow_schema, as_batches, file_system, small_batches, stored_table
 from evidex.llm.urlfilter import possible_hits
+from evidex.session import shared_folder
 
 # Bounds of what is fitted, and the documented limits of the model.
 SAMPLE_PER_LABEL = 2_000
-LEXICON_SIZE = 20_000
 MIN_COUNT = 4
 BEGINNINGS = (4, 5, 6, 7)
 EDGES = (0.5, 1.5, 2.5, 3.5, 4.5)
@@ -35,6 +40,12 @@ FIT_ROUNDS = 60
 RIDGE = 0.5
 CACHED_WORDS = 300_000
 BATCH_BYTES = 2 << 20
+# More features than this are not sent to the tasks but joined with the words.
+BROADCAST_FEATURES = 40_000
+BROADCAST_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+
+RowsWithEvidence = Callable[["Evidence", Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TRIM = re.compile(r"^[\W_]+|[\W_]+$")
@@ -65,8 +76,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def lexicon(labelled: DataFrame) -> dict[str, int]:
-    """Features of positive evidence and their class, from text, toxic. At most LEXICON_SIZE, strongest first."""
+def lexicon(labelled: DataFrame) -> DataFrame:
+    """feature, class of all features of positive evidence and of those that stop them, from text, toxic."""
     counted = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(_count_words, "word string, t long, c long")
     per_word = counted.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     core = F.regexp_replace(F.lower("word"), r"(?U)^[\W_]+|[\W_]+$", "")
@@ -79,13 +90,21 @@ def lexicon(labelled: DataFrame) -> dict[str, int]:
     odds = F.log((F.col("t") + 0.5) / (F.lit(whole[0] or 0) + 1)) - F.log((F.col("c") + 0.5) / (F.lit(whole[1] or 0) + 1))
     counts = counts.withColumn("evidence", F.round(odds - 2 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)), 9))
     # Features without positive evidence are kept if they stop a shorter one from speaking: a known word is its own judge.
-    best = counts.filter(F.col("evidence") >= EDGES[0]).orderBy(F.desc("evidence"), "feature").limit(LEXICON_SIZE)
-    best = stored_table(best.select("feature", "evidence"), "lexicon")
+    best = stored_table(counts.filter(F.col("evidence") >= EDGES[0]).select("feature", "evidence"), "speaking")
     speaking = best.select(F.col("feature").alias("short"))
     stop = counts.filter((F.col("evidence") < EDGES[0]) & F.col("feature").startswith("=")).select("feature", F.explode(F.array(*[F.concat(F.lit("^"), F.substring("feature", 2, k)) for k in BEGINNINGS])).alias("short"))
-    stop = stop.join(speaking, "short", "left_semi").select("feature").distinct().orderBy("feature").limit(LEXICON_SIZE)
-    out = {r["feature"]: int(np.searchsorted(EDGES, r["evidence"], side="right")) for r in best.collect()}
-    return {**{r["feature"]: 0 for r in stop.collect()}, **out}
+    stop = stop.join(speaking, "short", "left_semi").select("feature").distinct()
+    strength = sum((F.col("evidence") >= edge).cast("int") for edge in EDGES)
+    return stored_table(best.select("feature", strength.alias("class")).union(stop.select("feature", F.lit(0).alias("class"))), "lexicon")
+
+
+class Lexicon:
+    """The table of features, and a dictionary of them while a count proves them few."""
+
+    def __init__(self, table: DataFrame):
+        n, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("feature")), F.lit(0))).first()
+        few = n <= BROADCAST_FEATURES and size <= BROADCAST_BYTES
+        self.table, self.known = table, {r["feature"]: r["class"] for r in table.collect()} if few else None
 
 
 class Evidence:
@@ -102,11 +121,96 @@ class Evidence:
             self.words.clear()
             new = list(set(words))
         for w in new:
-            self.words[w] = next((self.lexicon[f] for f in features(w.decode("utf-8", "replace")) if f in self.lexicon), 0)
+            self.words[w] = self.look_up(w)
         classes = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         at = np.flatnonzero(classes)
         return len(words), at, classes[at]
 
+    def look_up(self, word: bytes) -> int:
+        return next((self.lexicon[f] for f in features(word.decode("utf-8", "replace")) if f in self.lexicon), 0)
+
+
+class BlockEvidence(Evidence):
+    """Classes of the words of one block, joined before; words that are not there are of class 0."""
+
+    def __init__(self, classes: dict[bytes, int]):
+        super().__init__({})
+        self.classes = classes
+
+    def look_up(self, word: bytes) -> int:
+        return self.classes.get(word, 0)
+
+
+def _cut_blocks(folder: str, block_bytes: int):
+    """Rows go to one file per block; (block, distinct word) come out, and an empty word for the block itself."""
+    schema = arrow_schema(block=pa.string(), word=pa.binary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, words = 0, {b""}
+
+        def close() -> Iterator[pa.RecordBatch]:
+            block = f"{uuid.uuid4().hex}.arrow"
+            data = pa.BufferOutputStream()
+            with pa.ipc.new_stream(data, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                for batch in held:
+                    stream.write_batch(batch)
+            out = CommittedFile(folder, block)
+            out.write(data.getvalue())
+            out.commit()
+            yield from as_batches(((block, w) for w in words), schema, 20_000)
+
+        for batch in small_batches(batches, "text", BATCH_BYTES):
+            held.append(batch)
+            size += batch.nbytes
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                words.update((text or b"").split())
+            if size >= block_bytes:
+                yield from close()
+                held, size, words = [], 0, {b""}
+        if held:
+            yield from close()
+
+    return run
+
+
+def _features_of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, place, feature) of each word, the feature that counts first with the lowest place."""
+    schema = arrow_schema(word=pa.binary(), place=pa.int32(), feature=pa.string())
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        yield from as_batches(((w, n, f) for w in words for n, f in enumerate(features(w.decode("utf-8", "replace")))), schema, 20_000)
+
+
+def _read_blocks(folder: str, run: RowsWithEvidence):
+    """Each block's rows with the classes that its words got."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = file_system(folder)
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for block, group in groupby(rows, key=lambda r: r[0]):
+            classes = {word: found for _, word, found in group if found}
+            with fs.open_input_stream(f"{base}/{block}", compression=None) as stream:
+                yield from run(BlockEvidence(classes), pa.ipc.open_stream(stream))
+
+    return read
+
+
+def with_evidence(docs: DataFrame, lexicon: Lexicon, run: RowsWithEvidence, ddl: str) -> DataFrame:
+    """`run` over the rows of doc_id, text and more, with the evidence of their words."""
+    known = lexicon.known
+    if known is not None:
+        return docs.mapInArrow(lambda batches: run(Evidence(known), batches), ddl)
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "texts")
+    asked = stored_table(docs.mapInArrow(_cut_blocks(folder, BLOCK_BYTES), "block string, word binary"), "words")
+    own = asked.select("word").distinct().mapInArrow(_features_of_words, "word binary, place int, feature string")
+    classes = own.join(lexicon.table.hint("merge"), "feature").groupBy("word").agg(F.min_by("class", "place").alias("class")).filter("class > 0")
+    answered = asked.join(classes.hint("merge"), "word", "left").filter("class is not null or word = X''").select("block", "word", "class")
+    # As many tasks as slots: a block's file is much larger than the rows that ask for it.
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return answered.repartition(slots, "block").sortWithinPartitions("block").mapInArrow(_read_blocks(folder, run), ddl)
+
 
 class Chains:
     """Sequences by their active words, padded and with the most active first."""
@@ -262,7 +366,7 @@ def _fold(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, np.ndarray]:
     """(lexicon, chain, score weights) from doc_id, text and doc_id, toxic of the rows that are not held out.
 
     Folds 1 to 3 count words, all of them; fold 4 gives the sample that chain and scores are fitted on, at most
@@ -273,7 +377,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
     counted = marked.filter("fold between 1 and 3")
     # Texts without a label stay where they are.
     texts = possible_hits(docs.filter("doc_id is not null"), "doc_id", counted, "doc_id", counted.count())
-    known = lexicon(texts.join(counted, "doc_id"))
+    known = Lexicon(lexicon(texts.join(counted, "doc_id")))
     rest = marked.filter("fold = 4")
     picked = None
     for label in (0, 1):
@@ -282,8 +386,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
     picked = stored_table(picked.distinct().withColumnRenamed("doc_id", "picked_id"), "sample")
     schema = pa.schema([("toxic", pa.int32()), ("n", pa.int64()), ("at", pa.list_(pa.int64())), ("classes", pa.list_(pa.int64())), ("doc_id", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = Evidence(known)
+    def run(evidence: Evidence, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text", BATCH_BYTES):
             found = [evidence.active(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -292,7 +395,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
 
     sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("picked_id")).select("doc_id", "text", F.col("toxic").cast("int"))
     # At most two samples of rows, each as long as its few words with evidence.
-    rows = sample.mapInArrow(run, "toxic int, n long, at array<long>, classes array<long>, doc_id long").collect()
+    rows = with_evidence(sample, known, run, "toxic int, n long, at array<long>, classes array<long>, doc_id long").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["n"], r["at"]))
     chains = [(r["n"], np.array(r["at"], np.int64), np.array(r["classes"], np.int64)) for r in rows]
     toxic = np.array([r["toxic"] > 0 for r in rows], bool)
@@ -302,7 +405,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, int], np.ndarra
     return known, theta, fit_scores(x, toxic.astype(float), share)
 
 
-def score(docs: DataFrame, model: tuple[dict[str, int], np.ndarray, np.ndarray], least: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: tuple[Lexicon, np.ndarray, np.ndarray], least: float = 0.5) -> DataFrame:
     """doc_id, score, spans (start and end of each run of toxic words, in characters) of doc_id, text."""
     known, theta, weights = model
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -316,8 +419,8 @@ def score(docs: DataFrame, model: tuple[dict[str, int], np.ndarray, np.ndarray],
         runs = np.split(hits, np.flatnonzero(np.diff(hits) > 1) + 1)
         return [{"start": places[r[0]][0], "end": places[r[-1]][1]} for r in runs]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence, field = Evidence(known), Field(theta)
+    def run(evidence: Evidence, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = Field(theta)
         for batch in small_batches(batches, "text", BATCH_BYTES):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             rows = [evidence.active(t) for t in texts]
@@ -327,7 +430,7 @@ def score(docs: DataFrame, model: tuple[dict[str, int], np.ndarray, np.ndarray],
             found = [spans(t or b"", r[1], m) for t, r, m in zip(texts, rows, marginals)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.round(scores, 9)), pa.array(found, schema.types[2])], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, score double, spans array<struct<start:long,end:long>>")
+    return with_evidence(docs, known, run, "doc_id long, score double, spans array<struct<start:long,end:long>>")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

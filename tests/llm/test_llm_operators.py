@@ -401,3 +401,33 @@ def test_toxic_words_are_found(spark, odd, empty):
     assert spans and sum("vile" in s or "Nasty" in s or "bad" in s for s in spans) >= 0.95 * len(spans)
     assert toxicity.toxicity(empty, labels).count() == 0
     assert toxicity.toxicity(odd, labels.limit(0)).count() == 6
+
+
+def test_the_lexicon_is_whole(spark):
+    """Above the 40,000 features that went into a dictionary before, and all of them are kept."""
+    n = 21_000
+    vile = [" ".join(f"ab{i:05d}vile" for i in range(first, first + 100)) for first in range(0, n, 100)]
+    plain = " ".join(f"plain{i}" for i in range(400))
+    rows = spark.createDataFrame([*[(t, 1) for t in vile * 4], *[(plain, 0)] * 3_400], "text string, toxic int")
+    found = toxicity.lexicon(rows)
+    words = found.filter("feature like '=ab%vile'")
+    assert words.count() == n and words.filter("class > 0").count() == n
+    assert toxicity.Lexicon(found).known is None
+
+
+def test_few_and_many_features_give_the_same(spark, odd, monkeypatch):
+    rng = np.random.default_rng(8)
+    words = [f"word{i}" for i in range(150)]
+    rows = [(i, " ".join([*rng.choice(words, 30), *rng.choice(["vilewordx", "Nastything,", "badnessy", "caf\u00e9."], 3 * (i % 3 == 0))])) for i in range(400)]
+    df = spark.createDataFrame([*rows, (3, rows[3][1]), (900, None), (901, ""), (901, " "), (None, "vilewordx"), (902, "vilewordx " * 3000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(400)], "doc_id long, toxic int")
+
+    def result():
+        return sorted((repr(tuple(r)) for r in toxicity.toxicity(df, labels).collect()))
+
+    few = result()
+    monkeypatch.setattr(toxicity, "BROADCAST_FEATURES", 0)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 2_000)
+    assert result() == few and sum("Row(start=" in r for r in few) > 50
+    assert toxicity.toxicity(df.limit(0), labels).count() == 0
+    assert toxicity.toxicity(odd, labels.limit(0)).count() == 6
