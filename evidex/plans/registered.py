@@ -150,7 +150,9 @@ def neighbors_of_all(spark: SparkSession, sf: str) -> DataFrame:
 def _ivf(spark: SparkSession, sf: str, all_cells: bool) -> tuple[DataFrame, DataFrame]:
     """Cells around the means of the labels, which SQL can repeat; a production run trains them with k-means."""
     base, queries = I.read(spark, sf, "embeddings"), I.label_queries(spark, sf)
-    means = queries.orderBy("query_id").limit(MEAN_CELLS).collect()
+    means = queries.orderBy("query_id").limit(MEAN_CELLS + 1).collect()
+    if len(means) > MEAN_CELLS:
+        raise ValueError(f"more than {MEAN_CELLS} means of labels as cells")
     centers = np.asarray([r.vector for r in means], dtype=np.float64)
     centers /= np.linalg.norm(centers, axis=1, keepdims=True)
     cells = ivf.assign_cells(base, centers, "embedding")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from evidex.operators import ivf
 from evidex.operators.vectors import mean_vectors, vector_topk
+from evidex.plans import registered
 
 SCHEMA = "item_id bigint, vector array<double>, kind string"
 
@@ -161,3 +162,9 @@ def test_index_decisions(spark):
     assert {r.index_name: r.last_row_count for r in ivf.index_state(made).collect()} == {
         "new": 5, "edge": 100, "over": 1151, "from_zero": 1, "same": 7,
     }
+
+
+def test_more_means_than_cells_are_an_error(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(registered, "MEAN_CELLS", 9)
+    with pytest.raises(ValueError, match="more than 9"):
+        registered.ivf_topk(spark, sf_dir)
