@@ -86,13 +86,14 @@ def lexicon(labelled: DataFrame) -> DataFrame:
     beginnings = [F.when(F.length("core") > k, F.concat(F.lit("^"), F.substring("core", 1, k))) for k in BEGINNINGS]
     found = F.array_compact(F.array(F.concat(F.lit("="), "core"), *beginnings))
     counts = per_word.select(F.explode(found).alias("feature"), "t", "c").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    counts = counts.filter((F.col("t") >= 2) & (F.col("t") + F.col("c") >= MIN_COUNT))
+    counts = counts.filter(F.col("t") + F.col("c") >= MIN_COUNT)
     odds = F.log((F.col("t") + 0.5) / (F.lit(whole[0] or 0) + 1)) - F.log((F.col("c") + 0.5) / (F.lit(whole[1] or 0) + 1))
     counts = counts.withColumn("evidence", F.round(odds - 2 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)), 9))
     # Features without positive evidence are kept if they stop a shorter one from speaking: a known word is its own judge.
-    best = stored_table(counts.filter(F.col("evidence") >= EDGES[0]).select("feature", "evidence"), "speaking")
+    speaks = (F.col("t") >= 2) & (F.col("evidence") >= EDGES[0])
+    best = stored_table(counts.filter(speaks).select("feature", "evidence"), "speaking")
     speaking = best.select(F.col("feature").alias("short"))
-    stop = counts.filter((F.col("evidence") < EDGES[0]) & F.col("feature").startswith("=")).select("feature", F.explode(F.array(*[F.concat(F.lit("^"), F.substring("feature", 2, k)) for k in BEGINNINGS])).alias("short"))
+    stop = counts.filter(~speaks & F.col("feature").startswith("=")).select("feature", F.explode(F.array(*[F.concat(F.lit("^"), F.substring("feature", 2, k)) for k in BEGINNINGS])).alias("short"))
     stop = stop.join(speaking, "short", "left_semi").select("feature").distinct()
     strength = sum((F.col("evidence") >= edge).cast("int") for edge in EDGES)
     return stored_table(best.select("feature", strength.alias("class")).union(stop.select("feature", F.lit(0).alias("class"))), "lexicon")

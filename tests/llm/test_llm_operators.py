@@ -431,3 +431,12 @@ def test_few_and_many_features_give_the_same(spark, odd, monkeypatch):
     assert result() == few and sum("Row(start=" in r for r in few) > 50
     assert toxicity.toxicity(df.limit(0), labels).count() == 0
     assert toxicity.toxicity(odd, labels.limit(0)).count() == 6
+
+
+def test_a_known_clean_word_stops_its_toxic_beginning(spark):
+    vile = " ".join(f"vile{i:03d}" for i in range(60))
+    plain = " ".join(f"plain{i}" for i in range(100))
+    rows = spark.createDataFrame([*[(vile, 1)] * 5, *[(plain, 0)] * 200, *[(f"{plain} vileness", 0)] * 8], "text string, toxic int")
+    found = {r["feature"]: r["class"] for r in toxicity.lexicon(rows).collect()}
+    assert found["^vile"] > 0 and found["=vileness"] == 0
+    assert toxicity.Evidence(found).active(b"vileness vile001 vileother")[1].tolist() == [1, 2]
