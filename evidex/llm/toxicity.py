@@ -395,7 +395,9 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray, np.n
             )
 
     sample = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("picked_id")).select("doc_id", "text", F.col("toxic").cast("int"))
-    # At most two samples of rows, each as long as its few words with evidence.
+    # A row per id, of the lowest hash of its texts: at most two samples of rows, each as long as its words with evidence.
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text")))
+    sample = sample.groupBy("doc_id").agg(least.alias("row"), F.max("toxic").alias("toxic")).select("doc_id", "row.text", "toxic")
     rows = with_evidence(sample, known, run, "toxic int, n long, at array<long>, classes array<long>, doc_id long").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["n"], r["at"]))
     chains = [(r["n"], np.array(r["at"], np.int64), np.array(r["classes"], np.int64)) for r in rows]

@@ -440,3 +440,17 @@ def test_a_known_clean_word_stops_its_toxic_beginning(spark):
     found = {r["feature"]: r["class"] for r in toxicity.lexicon(rows).collect()}
     assert found["^vile"] > 0 and found["=vileness"] == 0
     assert toxicity.Evidence(found).active(b"vileness vile001 vileother")[1].tolist() == [1, 2]
+
+
+def test_the_sample_has_a_row_per_id(spark, monkeypatch):
+    """However many rows a picked id has, in whatever order."""
+    rows = [(i, f"plain words here {'vilewordx' if i % 3 == 0 else 'good'} {i}", int(i % 3 == 0)) for i in range(300)]
+    id4 = next(i for i, *_ in rows if zlib.crc32(str(i).encode()) % 5 == 4)
+    many = [*rows, *[(id4, f"copy {k}", 0) for k in range(500)]]
+    seen = []
+    fit = toxicity.fit_field
+    monkeypatch.setattr(toxicity, "fit_field", lambda chains, toxic: seen.append(len(chains)) or fit(chains, toxic))
+    labels = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int")
+    models = [toxicity.train(spark.createDataFrame([r[:2] for r in some], "doc_id long, text string"), labels) for some in (many, many[::-1])]
+    assert seen == [sum(zlib.crc32(str(i).encode()) % 5 == 4 for i in range(300))] * 2
+    assert all(np.array_equal(a, b) for a, b in zip(models[0][1:], models[1][1:]))
