@@ -1,7 +1,7 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Words get an evidence class from counts over all labelled training documents: how much more often the word, or else its
-longest counted beginning, occurs in toxic ones, less two standard errors. In toxic training documents words of strong
+Words get an evidence class from counts over the labelled documents of folds 1 to 3 (of fold 4 only the sample is used,
+fold 0 is held out): how much more often the word, or else its longest counted beginning, occurs in toxic ones, less two standard errors. In toxic training documents words of strong
 evidence are labelled toxic tokens, all others and all words of clean documents are not. A two-state chain learns from a
 bounded sample of them what a class and its neighbours are worth. Forward-backward marginals give the spans, and their
 sum, maximum and density give the document's score by a logistic fit on the same sample.
