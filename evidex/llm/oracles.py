@@ -4,7 +4,57 @@ from __future__ import annotations
 
 WORDS = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
 
+
+
+def _clusters(k: int, rounds: int, dim: int) -> str:
+    """Each round as two tables: the nearest centroid of every vector, and the floors of the means."""
+    out = f"""
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(embedding) = {dim} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        c0 as (select (row_number() over (order by sha256('2:' || vec_id)) - 1)::integer as cluster, v as c from v order by cluster limit {k})"""
+    for r in range(rounds + 1):
+        out += f""",
+        a{r} as (
+            select vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as distance
+            from v cross join c{r}
+            qualify row_number() over (partition by vec_id order by distance, cluster) = 1
+        )"""
+        if r < rounds:
+            out += f""",
+        s{r} as (select cluster, i, sum(x)::bigint as s, count(*) as n from (select cluster, unnest(v) as x, unnest(range(1, {dim} + 1)) as i from a{r}) group by cluster, i),
+        m{r} as (select cluster, list((s - ((s % n) + n) % n) // n order by i) as m from s{r} group by cluster),
+        c{r + 1} as (select cluster, coalesce(m, c) as c from c{r} left join m{r} using (cluster))"""
+    return out + f"""
+        select vec_id, cluster, distance, (sum(distance) over (partition by cluster))::bigint as cluster_inertia, (sum(distance) over ())::bigint as inertia,
+               sha256(array_to_string(c, ',')) as centroid_sha256
+        from a{rounds} join c{rounds} using (cluster)
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op11_centroids": _clusters(40, 5, 64),
+    "op12_negatives": """
+        with v as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v
+            from embeddings
+            where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        s as (
+            select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+            from v a join v b on a.vec_id <> b.vec_id
+            where a.vec_id % 100 = 0
+        ),
+        p as (select anchor_id, id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5),
+        n as (
+            select p.*, id as negative_id, score as negative_score, row_number() over (partition by p.anchor_id, positive_id order by score desc, id) as n
+            from p join s on p.anchor_id = s.anchor_id
+            where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+        )
+        select anchor_id, positive_id, n::integer as rank, negative_id, positive_score, negative_score from n where n <= 10
+    """,
     "op1_minhash": f"""
         with recursive
         w as (select doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents),

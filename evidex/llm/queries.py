@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evidex.llm import bpe, minhash, mixing, quality, substrings, tokenfile, topk, toxicity, urlfilter, warc
+from evidex.llm import bpe, centroids, minhash, mixing, negatives, quality, substrings, tokenfile, topk, toxicity, urlfilter, warc, winnowing
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -88,6 +88,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 40 clusters, after five rounds."""
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64)
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 100, with some labels moved on."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mine_negatives(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its text with the next one's beginning at the end."""
+    return winnowing.compare_edits(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (
+    op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix, op9_substrings, op10_toxicity, op11_centroids, op12_negatives, op13_winnowing,
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_warc, op3_tokens, op4_topk, op5_quality, op6_bpe, op7_urls, op8_mix, op9_substrings, op10_toxicity)
+    f.__name__: f for f in OPERATORS
 }
