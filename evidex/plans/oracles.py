@@ -31,12 +31,23 @@ centers as (select query_id as center, v from queries),
 assigned as (select item_id, center from (select item_id, center, row_number() over (partition by item_id
     order by round(1 - list_cosine_similarity(base.v, centers.v), 9), center) as n from base, centers) where n = 1),
 probes as (select query_id, center from (select q.query_id, c.center, row_number() over (partition by q.query_id
-    order by round(1 - list_cosine_similarity(q.v, c.v), 9), c.center) as n from queries q, centers c) where n <= 3),
+    order by round(1 - list_cosine_similarity(q.v, c.v), 9), c.center) as n from queries q, centers c) where n <= 8),
 probed as (select query_id, item_id, distance from scored join assigned using (item_id) join probes using (query_id, center)),
 probed_hits as (select * from (select *, row_number() over (partition by query_id order by distance, item_id) as rank from probed)
                 where rank <= 40)
 """
 
+CELL_BOUNDS = f"""{PROBED},
+angles as (select item_id, p.center as pole, acos(greatest(-1, least(1, list_cosine_similarity(base.v, p.v)))) as angle from base, centers p),
+ranges as (select center, pole, min(angle) as low, max(angle) as high, count(*) as n_rows
+           from angles join assigned using (item_id) group by center, pole),
+seen as (select q.query_id, p.center as pole, acos(greatest(-1, least(1, list_cosine_similarity(q.v, p.v)))) as angle from queries q, centers p),
+gaps as (select query_id, center, max(n_rows) as n_rows, greatest(0, max(low - angle), max(angle - high)) as gap
+         from seen join ranges using (pole) group by query_id, center),
+last as (select query_id, max(distance) as kth from hits group by query_id),
+numbered as (select center, (row_number() over (order by center) - 1)::int as cell from centers)
+"""
+
 DOC_CHUNKS = """
 doc_chunks as (select sha256('doc://' || source || '/' || doc_id || '#pdf') as chunk_id,
                       'doc://' || source || '/' || doc_id as source_uri, text, lang
@@ -343,6 +354,9 @@ ORACLES: dict[str, str] = {
     "ivf_topk": f"with {PROBED} select {HIT_COLUMNS} from probed_hits",
     "ivf_recall": f"""with {PROBED} select query_id, avg((p.item_id is not null)::int::double) as recall
         from hits left join probed_hits p using (query_id, item_id) group by query_id""",
+    "ivf_exact": f"with {label_hits(40)} select {HIT_COLUMNS} from hits",
+    "ivf_cell_bounds": f"""with {CELL_BOUNDS} select query_id, cell, n_rows, round(1 - cos(gap), 6) as bound, 1 - cos(gap) <= kth as may_hold
+        from gaps join last using (query_id) join numbered using (center)""",
     "list_objects": """select 'documents' as name, count(*) as n_chunks, sum(length(text))::bigint as n_chars from documents where length(text) > 0
         union all select 'conversations', count(*), sum(length(text))::bigint from conversations where length(text) > 0""",
     "index_decision": f"""with {INDEX} select index_name, row_count, last_row_count, round(growth_pct, 6) as growth_pct, decision

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from evidex.functions.scalars import ab_variant, clamp01, first_number, snippet
 from evidex.functions.tokens import tokens
 from evidex.operators import answers as A
+from evidex.operators import bounds as B
 from evidex.operators import ivf, kpi
 from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
@@ -30,7 +31,7 @@ from evidex.streaming.daily import daily_counts, event_days, insert_stream, read
 EMBEDDINGS = {"item_id": "vec_id", "vector": "embedding"}
 BRAND_WORDS = ("widget", "bolt")
 COLOR_STAND_INS = ("the", "der", "la")
-IVF_PROBES = 3
+IVF_PROBES = 8
 MEAN_CELLS = 4096
 
 
@@ -147,7 +148,7 @@ def neighbors_of_all(spark: SparkSession, sf: str) -> DataFrame:
 # Inverted file
 
 
-def _ivf(spark: SparkSession, sf: str, all_cells: bool) -> tuple[DataFrame, DataFrame]:
+def _label_cells(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """Cells around the means of the labels, which SQL can repeat; a production run trains them with k-means."""
     base, queries = I.read(spark, sf, "embeddings"), I.label_queries(spark, sf)
     means = queries.orderBy("query_id").limit(MEAN_CELLS + 1).collect()
@@ -155,7 +156,12 @@ def _ivf(spark: SparkSession, sf: str, all_cells: bool) -> tuple[DataFrame, Data
         raise ValueError(f"more than {MEAN_CELLS} means of labels as cells")
     centers = np.asarray([r.vector for r in means], dtype=np.float64)
     centers /= np.linalg.norm(centers, axis=1, keepdims=True)
-    cells = ivf.assign_cells(base, centers, "embedding")
+    return ivf.assign_cells(base, centers, "embedding"), queries, centers
+
+
+def _ivf(spark: SparkSession, sf: str, all_cells: bool) -> tuple[DataFrame, DataFrame]:
+    base = I.read(spark, sf, "embeddings")
+    cells, queries, centers = _label_cells(spark, sf)
     found = ivf.ivf_topk(cells, queries, centers, nprobe=len(centers) if all_cells else IVF_PROBES, **EMBEDDINGS)
     return found, vector_topk(base, queries, **EMBEDDINGS)
 
@@ -172,6 +178,29 @@ def ivf_recall(spark: SparkSession, sf: str) -> DataFrame:
     return ivf.recall_against(*_ivf(spark, sf, False))
 
 
+def _stored_cells(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, B.CellBounds]:
+    """Stored cells, the queries and the angles between which each cell's rows lie."""
+    cells, queries, centers = _label_cells(spark, sf)
+    path = shared_folder(spark, "cells")
+    ivf.write_cells(cells, path)
+    cells = spark.read.parquet(path)
+    return cells, queries, B.cell_bounds(B.cell_angles(cells, centers, "embedding"), centers)
+
+
+def ivf_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact nearest rows, from as few cells as their bounds allow."""
+    return B.bounded_topk(*_stored_cells(spark, sf), **EMBEDDINGS)[0]
+
+
+def ivf_cell_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Which cells a query must read: those whose bound is within the distance of its last neighbour."""
+    cells, queries, bounds = _stored_cells(spark, sf)
+    hits, _ = B.bounded_topk(cells, queries, bounds, **EMBEDDINGS)
+    last = hits.groupBy("query_id").agg(F.max("distance").alias("kth"))
+    found = B.cells_in_order(queries, bounds).join(last, "query_id")
+    return found.select("query_id", "cell", "n_rows", F.round("bound", 6).alias("bound"), (F.col("bound") <= F.col("kth")).alias("may_hold"))
+
+
 def _index_counts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Present rows of three embedding tables, and the labelled rows as the state of the last build."""
     tables = {
@@ -620,6 +649,8 @@ QUERIES = {
     "ivf_full_probe": ivf_full_probe,
     "ivf_topk": ivf_topk,
     "ivf_recall": ivf_recall,
+    "ivf_exact": ivf_exact,
+    "ivf_cell_bounds": ivf_cell_bounds,
     "index_decision": index_decision,
     "index_state": index_state,
     "index_health": index_health,
