@@ -462,6 +462,8 @@ ORACLES: dict[str, str] = {
         order by ts limit 48""",
     "stream_daily_counts": """select event_type as kpi_id, ts::date as ts, count(*)::double as value from events
         group by all""",
+    "stream_windows": """select event_type as kpi_id, ts::date as ts, count(*)::double as value from events
+        group by all""",
     "stream_chunks": CONVERSATION_CHUNKS,
     "stored_run_counts": f"with {RUN_COUNTS} " + " union all ".join(
         f"select '{table}' as table_name, ({n})::bigint as n from sizes" for table, n in RUN_TABLES.items()

@@ -27,6 +27,7 @@ from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import writes as S
 from evidex.sources.objects import list_objects, object_catalog
 from evidex.streaming.daily import daily_counts, event_days, insert_stream, read_files_as_stream
+from evidex.streaming.windows import count_stream, daily_totals
 
 EMBEDDINGS = {"item_id": "vec_id", "vector": "embedding"}
 BRAND_WORDS = ("widget", "bolt")
@@ -598,6 +599,14 @@ def stream_daily_counts(spark: SparkSession, sf: str) -> DataFrame:
     return daily_counts(tables.read("event_days"))
 
 
+def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per type and day through the state store."""
+    I.use_utc(spark)
+    out = shared_folder(spark, "windows")
+    count_stream(read_files_as_stream(spark, sf, "events.parquet"), out, "ts", "event_type", "event_id")
+    return daily_totals(spark, out)
+
+
 def stream_chunks(spark: SparkSession, sf: str) -> DataFrame:
     I.use_utc(spark)
     out = shared_folder(spark, "stream-chunks")
@@ -701,6 +710,7 @@ QUERIES = {
     "forecast_summary": forecast_summary,
     "forecast_preview": forecast_preview,
     "stream_daily_counts": stream_daily_counts,
+    "stream_windows": stream_windows,
     "stream_chunks": stream_chunks,
     "stored_run_counts": stored_run_counts,
 }
