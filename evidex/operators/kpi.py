@@ -101,6 +101,17 @@ def _points(series: DataFrame) -> DataFrame:
     return series.filter(F.col("ts").isNotNull()).select("kpi_id", "ts", "value")
 
 
+def training_points(points: DataFrame, splits: int) -> DataFrame:
+    """Every point once for each of its KPI's last `splits` days that it is not after, as `split_ts`."""
+    last = topk_per_group(points.select("kpi_id", "ts"), ["kpi_id"], [F.desc("ts")], splits, "_n")
+    per_kpi = last.groupBy("kpi_id").agg(F.collect_list("ts").alias("splits"))
+    return (
+        points.join(per_kpi, "kpi_id")
+        .withColumn("split_ts", F.explode(F.filter("splits", lambda s: s >= F.col("ts"))))
+        .drop("splits")
+    )
+
+
 def forecast(series: DataFrame, horizon: int = HORIZON_DAYS, level: float = LEVEL) -> DataFrame:
     """(run_id, kpi_id, ts, predicted, lower, upper, backtest) for the `horizon` days after each KPI's last day.
 
@@ -122,13 +133,7 @@ def forecast_backtest(
     is part of the same aggregation.
     """
     points = _points(series)
-    last = topk_per_group(points.select("kpi_id", "ts"), ["kpi_id"], [F.desc("ts")], splits, "_n")
-    per_kpi = last.groupBy("kpi_id").agg(F.collect_list("ts").alias("splits"))
-    train = (
-        points.join(per_kpi, "kpi_id")
-        .withColumn("split_ts", F.explode(F.filter("splits", lambda s: s >= F.col("ts"))))
-    )
-    rows = _project(_fit(train, ["kpi_id", "split_ts"]), horizon, level)
+    rows = _project(_fit(training_points(points, splits), ["kpi_id", "split_ts"]), horizon, level)
     actual = points.withColumnRenamed("value", "actual")
     run = stable_id("kpi_id", F.lit("|"), "split_ts", F.lit("|backtest"))
     return rows.join(actual, ["kpi_id", "ts"], "left").select(

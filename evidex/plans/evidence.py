@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from evidex.functions.scalars import SEED, first_number, stable_id
 from evidex.operators import answers as A
-from evidex.operators import ivf, kpi
+from evidex.operators import ivf, kpi, seasonal
 from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
@@ -46,6 +46,8 @@ class Settings:
     seed: int = SEED
     ttl_min: int = CACHE_TTL_MIN
     horizon: int = kpi.HORIZON_DAYS
+    # Forecasts by weekday where a KPI has two weeks of values, and by the straight line elsewhere.
+    seasonal: bool = False
     split_frac: float = 0.5
     brand_words: Sequence[str] = ("brand",)
     color_words: Sequence[str] = COLOR_WORDS
@@ -210,9 +212,13 @@ def refresh_kpis(t: TableFolder, s: Settings, daily: Sequence[DataFrame], as_of:
     found = [kpi.kpi_from_facts(t.read("facts_generic"), as_of), *daily]
     t.upsert("kpi_series", reduce(DataFrame.unionByName, found))
     series = t.read("kpi_series")
-    production = kpi.forecast(series, s.horizon)
-    backtests = kpi.forecast_backtest(series, horizon=s.horizon).select(production.columns)
-    t.upsert("kpi_forecast", production.unionByName(backtests))
+    made = kpi.forecast(series, s.horizon)
+    made = made.unionByName(kpi.forecast_backtest(series, horizon=s.horizon).select(made.columns))
+    if s.seasonal:
+        weekly = seasonal.seasonal_forecast(series, s.horizon)
+        weekly = stored(weekly.unionByName(seasonal.seasonal_backtest(series, horizon=s.horizon).select(weekly.columns)), "seasonal")
+        made = weekly.unionByName(made.join(weekly.select("kpi_id", "backtest").distinct(), ["kpi_id", "backtest"], "left_anti").select(weekly.columns))
+    t.upsert("kpi_forecast", made)
 
 
 def refresh(

@@ -245,6 +245,49 @@ FORECAST = f"""{SERIES}, {fitted("points", "kpi_id")},
 forecasts as (select sha256(kpi_id || '|' || last_ts) as run_id, kpi_id, day as ts, predicted, predicted - half as lower,
                      predicted + half as upper, false as backtest from projected)
 """
+# Exponential smoothing day by day; each state of the full series is also that of a backtest which ends there.
+SMOOTHED = f"""{SERIES},
+firsts as (select kpi_id, min(ts) as first_ts from series group by kpi_id),
+first_week as (select kpi_id, value, ((ts - date '2000-01-01') % 7 + 7) % 7 as w from series join firsts using (kpi_id) where ts < first_ts + 7),
+levels as (select kpi_id, avg(value) as level, count(*) as n_first from first_week group by kpi_id),
+effects as (select kpi_id, list(coalesce(value - level, 0) order by w) as effect
+            from (from levels, range(0, 7) r(w)) left join first_week using (kpi_id, w) group by kpi_id),
+steps as (select kpi_id, ts, value, ((ts - date '2000-01-01') % 7 + 7) % 7 as w, row_number() over (partition by kpi_id order by ts) as i
+          from series join firsts using (kpi_id) where ts >= first_ts + 7),
+grid as (select row_number() over (order by weekly, alpha, gamma) as g, *
+         from (select unnest([0.02, 0.05, 0.1, 0.2, 0.4])::double as alpha, 0::double as gamma, false as weekly
+               union all select alpha, gamma, true from (select unnest([0.02, 0.05, 0.1, 0.2, 0.4])::double as alpha),
+                                                        (select unnest([0.05, 0.1, 0.2, 0.4])::double as gamma))),
+run as (select kpi_id, g, alpha, gamma, n_first, 0::bigint as i, null::date as ts, level,
+               case when weekly then effect else [0, 0, 0, 0, 0, 0, 0]::double[] end as effect, 0::double as squares
+        from levels join effects using (kpi_id), grid
+        union all
+        select kpi_id, g, alpha, gamma, n_first, i, ts, level + alpha * e,
+               list_transform(effect, lambda x, n: x + case when n = w + 1 then gamma * e else 0 end), squares + e * e
+        from (select r.*  exclude (i, ts), s.i, s.ts, s.w, s.value - (r.level + r.effect[s.w + 1]) as e
+              from run r join steps s on r.kpi_id = s.kpi_id and s.i = r.i + 1)),
+best as (select * from run where i > 0 and n_first + i >= 14 qualify row_number() over (partition by kpi_id, i order by squares, g) = 1),
+days as (select *, ts + h::int as day, level + effect[((ts - date '2000-01-01' + h) % 7 + 7) % 7 + 1] as predicted,
+                {Z}::double * sqrt(squares / i * (1 + coalesce(list_sum(list_transform(range(1, h),
+                    lambda j: (alpha + case when j % 7 = 0 then gamma else 0 end) ** 2)), 0))) as half
+         from best, range(1, {HORIZON_DAYS + 1}) r(h)),
+newest as (select kpi_id, ts as split_ts, row_number() over (partition by kpi_id order by ts desc) as back from series)
+"""
+
+
+def tested(splits: int) -> str:
+    """Backtests of both methods as of each of the last days."""
+    return f"""
+line_tested as (
+    with splits as (select kpi_id, split_ts from newest where back <= {splits}),
+    train as (select points.*, split_ts from points join splits on points.kpi_id = splits.kpi_id and ts <= split_ts),
+    {fitted("train", "kpi_id, split_ts")}
+    select 'line' as method, p.kpi_id, split_ts, day as ts, predicted, predicted - half as lower, predicted + half as upper from projected p),
+seasonal_tested as (select 'seasonal' as method, d.kpi_id, split_ts, day as ts, predicted, predicted - half as lower, predicted + half as upper
+                    from days d join newest n on n.kpi_id = d.kpi_id and split_ts = d.ts where back <= {splits})
+"""
+
+
 FORECAST_COLUMNS = "round(predicted, 6) as predicted, round(lower, 6) as lower, round(upper, 6) as upper"
 INDEX = """
 counts as (select 'text_emb_idx' as index_name, (select count(*) from documents) as row_count
@@ -453,6 +496,18 @@ ORACLES: dict[str, str] = {
                round(predicted, 6) as predicted, round(predicted - half, 6) as lower, round(predicted + half, 6) as upper,
                true as backtest, s.value as actual
         from projected p left join series s on p.kpi_id = s.kpi_id and p.day = s.ts""",
+    "forecast_seasonal": f"""with recursive {SMOOTHED}
+        select sha256(kpi_id || '|' || split_ts || '|seasonal') as run_id, kpi_id, day as ts, round(predicted, 6) as predicted,
+               round(predicted - half, 6) as lower, round(predicted + half, 6) as upper, false as backtest
+        from days join newest using (kpi_id) where back = 1 and ts = split_ts""",
+    "forecast_seasonal_backtest": f"""with recursive {SMOOTHED}, {tested(BACKTEST_SPLITS)}
+        select sha256(kpi_id || '|' || split_ts || '|seasonal|backtest') as run_id, kpi_id, split_ts, ts, {FORECAST_COLUMNS},
+               true as backtest, value as actual
+        from seasonal_tested left join series using (kpi_id, ts)""",
+    "forecast_errors": f"""with recursive {SMOOTHED}, {tested(14)}
+        select method, kpi_id, count(*) as n, round(avg(abs(value - predicted)), 6) as mae,
+               round(avg((value between lower and upper)::int::double), 6) as coverage
+        from (from line_tested union all from seasonal_tested) join series using (kpi_id, ts) group by method, kpi_id""",
     "kpi_cards": f"""with {FORECAST} select kpi_id, ts, {FORECAST_COLUMNS}
         from (select * from forecasts order by ts desc, kpi_id limit 100)""",
     "forecast_summary": f"""with {FORECAST} select kpi_id, count(*) as rows_prod, min(ts)::varchar as min_ts, max(ts)::varchar as max_ts,

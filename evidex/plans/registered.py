@@ -12,7 +12,7 @@ from evidex.functions.scalars import ab_variant, clamp01, first_number, snippet
 from evidex.functions.tokens import tokens
 from evidex.operators import answers as A
 from evidex.operators import bounds as B
-from evidex.operators import ivf, kpi
+from evidex.operators import ivf, kpi, seasonal
 from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
@@ -573,6 +573,22 @@ def forecast_backtest(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_forecast(kpi.forecast_backtest(I.kpi_series(spark, sf)))
 
 
+def forecast_seasonal(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_forecast(seasonal.seasonal_forecast(I.kpi_series(spark, sf)))
+
+
+def forecast_seasonal_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded_forecast(seasonal.seasonal_backtest(I.kpi_series(spark, sf)))
+
+
+def forecast_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """The line and the seasonal forecast of each KPI against its last two weeks."""
+    series = I.kpi_series(spark, sf)
+    line = kpi.forecast_backtest(series, 14).withColumn("method", F.lit("line"))
+    both = line.unionByName(seasonal.seasonal_backtest(series, 14).withColumn("method", F.lit("seasonal")))
+    return seasonal.backtest_errors(both, "method").withColumns({c: F.round(c, 6) for c in ("mae", "coverage")})
+
+
 def kpi_cards(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_forecast(kpi.kpi_cards(kpi.forecast(I.kpi_series(spark, sf))))
 
@@ -706,6 +722,9 @@ QUERIES = {
     "kpi_from_facts": kpi_from_facts,
     "forecast": forecast,
     "forecast_backtest": forecast_backtest,
+    "forecast_seasonal": forecast_seasonal,
+    "forecast_seasonal_backtest": forecast_seasonal_backtest,
+    "forecast_errors": forecast_errors,
     "kpi_cards": kpi_cards,
     "forecast_summary": forecast_summary,
     "forecast_preview": forecast_preview,
