@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evidex.functions.json import json_value, json_variant
 from evidex.functions.scalars import (
     SNIPPET_CHARS,
     ab_variant,
@@ -139,6 +140,18 @@ def answer_cards(answers: DataFrame) -> DataFrame:
     return answers.select("answer_id", "query", "summary", F.size("citations").alias("num_citations"), *rest)
 
 
+def answer_rules(answers: DataFrame) -> DataFrame:
+    """(answer_id, validators_summary, n_rules, failed): the checks of each answer as JSON, and what a reader takes from it.
+
+    The counts are read back out of the JSON, as by a client that only gets the text.
+    """
+    made = answers.select("answer_id", F.to_json("validators").alias("validators_summary"))
+    checks = json_value(json_variant("validators_summary"), "$", "array<struct<name: string, result: boolean, note: string>>")
+    made = compute_once(made, _checks=checks)
+    failed = F.transform(F.filter("_checks", lambda c: c["result"] == F.lit(False)), lambda c: c["name"])
+    return made.select("answer_id", "validators_summary", F.size("_checks").alias("n_rules"), F.array_join(failed, ", ").alias("failed"))
+
+
 def latest_answer(answers: DataFrame, n: int = 1) -> DataFrame:
     """The newest answers, ties by id, with their citations in one line."""
     return (

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from evidex.functions.scalars import SEED, first_number, stable_id
 from evidex.operators import answers as A
-from evidex.operators import ivf, kpi, seasonal
+from evidex.operators import ivf, kpi, quantiles, seasonal
 from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
@@ -218,7 +218,10 @@ def refresh_kpis(t: TableFolder, s: Settings, daily: Sequence[DataFrame], as_of:
         weekly = seasonal.seasonal_forecast(series, s.horizon)
         weekly = stored(weekly.unionByName(seasonal.seasonal_backtest(series, horizon=s.horizon).select(weekly.columns)), "seasonal")
         made = weekly.unionByName(made.join(weekly.select("kpi_id", "backtest").distinct(), ["kpi_id", "backtest"], "left_anti").select(weekly.columns))
+    made = stored(made, "forecasts")
     t.upsert("kpi_forecast", made)
+    # A run's quartiles are kept with it, so that a summary does not read the rows of all runs.
+    t.insert("kpi_sketch", quantiles.forecast_sketches(made))
 
 
 def refresh(

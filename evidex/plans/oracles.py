@@ -334,7 +334,7 @@ RUN_TABLES = {
     "text_emb": "vectors",
     "image_emb": r"(select count(*) from captions where regexp_matches(caption, '[\p{L}\p{N}]'))",
     "facts_generic": "facts", "edges_semantic": "hot * 40", "answers": "questions",
-    "event_days": "0", "kpi_series": "(select count(*) from series)",
+    "event_days": "0", "kpi_sketch": "(select count(*) from (select kpi_id from series group by kpi_id having count(*) >= 3))", "kpi_series": "(select count(*) from series)",
     "kpi_forecast": f"(select count(*) * {HORIZON_DAYS} from fits where n >= 3)",
     "metrics_validators": "s_images + s_facts + images + facts", "metrics_retrieval": "hot",
     "prompt_log": "chunks + s_images + s_facts + questions", "metrics_index_state": "2", "hot_queries": "hot",
@@ -477,6 +477,13 @@ ORACLES: dict[str, str] = {
         select answer_id, query_id, prompt_version, summary, array_to_string(citations, ', ') as cites,
                (select string_agg(rule_id || '=' || result, ', ' order by rule_id) from outcomes) as rules,
                round(confidence, 9) as confidence from answers""",
+    "answer_rules": f"""with {ANSWERS}, {QUALITY}, {BRAND},
+        results as (select * from quality_results union all select * from brand_results),
+        outcomes as (select rule_id, bool_and(result_bool) as result from results group by rule_id)
+        select answer_id, (select '[' || string_agg('{{"name":"' || rule_id || '"' || coalesce(',"result":' || result, '') || '}}', ',' order by rule_id) || ']'
+                           from outcomes) as validators_summary,
+               (select count(*)::int from outcomes) as n_rules,
+               coalesce((select string_agg(rule_id, ', ' order by rule_id) from outcomes where not result), '') as failed from answers""",
     "answer_cards": f"""with {ANSWERS} select answer_id, query, summary, len(citations)::int as num_citations,
         round(confidence, 9) as confidence from answers""",
     "latest_answer": f"""with {ANSWERS} select query, summary, array_to_string(citations, ', ') as cites, len(citations)::int as n_citations,
@@ -513,6 +520,17 @@ ORACLES: dict[str, str] = {
     "forecast_summary": f"""with {FORECAST} select kpi_id, count(*) as rows_prod, min(ts)::varchar as min_ts, max(ts)::varchar as max_ts,
         round(quantile_cont(predicted, 0.25), 6) as p25, round(quantile_cont(predicted, 0.5), 6) as p50,
         round(quantile_cont(predicted, 0.75), 6) as p75 from forecasts group by kpi_id""",
+    "forecast_summary_sketch": f"""with recursive {SMOOTHED}, line_forecasts as (with {fitted("points", "kpi_id")} select kpi_id, day as ts, predicted from projected),
+        both_forecasts as (from line_forecasts union all
+                           select kpi_id, day as ts, predicted from days join newest using (kpi_id) where back = 1 and ts = split_ts)
+        select kpi_id, count(*) as rows_prod, min(ts)::varchar as min_ts, max(ts)::varchar as max_ts,
+               round(quantile_disc(predicted, 0.25), 6) as p25, round(quantile_disc(predicted, 0.5), 6) as p50,
+               round(quantile_disc(predicted, 0.75), 6) as p75 from both_forecasts group by kpi_id""",
+    "order_quantiles": """select o_orderpriority as kpi_id, count(*) as n, min(o_totalprice) as lowest, max(o_totalprice) as highest,
+        true as within_error from orders group by all""",
+    "event_props": r"""select event_id, try_cast(regexp_extract(props, '"k": (-?[0-9]+)', 1) as bigint) as k,
+        nullif(regexp_extract(props, '"k": (-?[0-9]+)', 1), '') as text, null::double as missing, regexp_matches(props, '^\{.*\}$') as is_json from events""",
+    "event_props_schema": """select event_type, count(*) as n, count(props) as n_valid, 'OBJECT<k: BIGINT>' as schema from events group by all""",
     "forecast_preview": f"""with {FORECAST} select ts, round(predicted, 6) as predicted from forecasts where kpi_id = 'events:click'
         order by ts limit 48""",
     "stream_daily_counts": """select event_type as kpi_id, ts::date as ts, count(*)::double as value from events

@@ -8,11 +8,12 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evidex.functions.json import json_columns, json_schema
 from evidex.functions.scalars import ab_variant, clamp01, first_number, snippet
 from evidex.functions.tokens import tokens
 from evidex.operators import answers as A
 from evidex.operators import bounds as B
-from evidex.operators import ivf, kpi, seasonal
+from evidex.operators import ivf, kpi, quantiles, seasonal
 from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
@@ -538,6 +539,21 @@ def answer_cards(spark: SparkSession, sf: str) -> DataFrame:
     return cards.withColumn("confidence", F.round("confidence", 9))
 
 
+def answer_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return A.answer_rules(_answers(spark, sf, True))
+
+
+def event_props(spark: SparkSession, sf: str) -> DataFrame:
+    """Values out of the JSON of each event."""
+    events = I.read(spark, sf, "events").select("event_id", "props")
+    made = json_columns(events, "props", {"k": ("$.k", "bigint"), "text": ("$.k", "string"), "missing": ("$.none[0]", "double")}, "is_json")
+    return made.drop("props")
+
+
+def event_props_schema(spark: SparkSession, sf: str) -> DataFrame:
+    return json_schema(I.read(spark, sf, "events"), "props", "event_type")
+
+
 def latest_answer(spark: SparkSession, sf: str) -> DataFrame:
     """The number of a question stands in for the time of its answer."""
     asked = F.timestamp_seconds(F.substring("query_id", 2, 20).cast("bigint"))
@@ -598,6 +614,25 @@ def forecast_summary(spark: SparkSession, sf: str) -> DataFrame:
     return made.withColumns({c: F.round(c, 6) for c in ("p25", "p50", "p75")})
 
 
+def forecast_summary_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary from the sketches of two methods' runs, stored one after the other."""
+    series = I.kpi_series(spark, sf)
+    line, weekly = kpi.forecast(series), seasonal.seasonal_forecast(series)
+    kept = stored(quantiles.forecast_sketches(line), "sketch").unionByName(stored(quantiles.forecast_sketches(weekly), "sketch"))
+    made = quantiles.forecast_summary(kept)
+    return made.withColumns({c: F.round(c, 6) for c in ("p25", "p50", "p75")})
+
+
+def order_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices per order priority from sketches per day, and whether their true ranks are within the error."""
+    orders = I.read(spark, sf, "orders").select(F.col("o_orderpriority").alias("kpi_id"), F.to_date("o_orderdate").alias("run_id"), F.col("o_totalprice").alias("value"))
+    days = stored(quantiles.value_sketches(orders, ["kpi_id", "run_id"]), "sketch")
+    merged = stored(quantiles.merge_sketches(days, ["kpi_id"]), "merged")
+    within = quantiles.rank_errors(orders, merged, ["kpi_id"], (0.05, 0.25, 0.5, 0.75, 0.95))
+    right = within.groupBy("kpi_id").agg(F.bool_and(F.col("rank_error") <= quantiles.RANK_ERROR).alias("within_error"))
+    return quantiles.quantiles(merged, (0.0, 1.0), ("lowest", "highest")).join(right, "kpi_id")
+
+
 def forecast_preview(spark: SparkSession, sf: str) -> DataFrame:
     made = kpi.forecast_preview(kpi.forecast(I.kpi_series(spark, sf)), "events:click")
     return made.withColumn("predicted", F.round("predicted", 6))
@@ -717,7 +752,10 @@ QUERIES = {
     "validator_rollup": validator_rollup,
     "answers_extractive": answers_extractive,
     "answer_cards": answer_cards,
+    "answer_rules": answer_rules,
     "latest_answer": latest_answer,
+    "event_props": event_props,
+    "event_props_schema": event_props_schema,
     "kpi_daily_counts": kpi_daily_counts,
     "kpi_from_facts": kpi_from_facts,
     "forecast": forecast,
@@ -727,6 +765,8 @@ QUERIES = {
     "forecast_errors": forecast_errors,
     "kpi_cards": kpi_cards,
     "forecast_summary": forecast_summary,
+    "forecast_summary_sketch": forecast_summary_sketch,
+    "order_quantiles": order_quantiles,
     "forecast_preview": forecast_preview,
     "stream_daily_counts": stream_daily_counts,
     "stream_windows": stream_windows,

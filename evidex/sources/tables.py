@@ -47,6 +47,7 @@ TABLES: dict[str, TableSpec] = {
         "run_id string, kpi_id string, ts date, predicted double, lower double, upper double, backtest boolean",
         ("run_id", "kpi_id", "ts"),
     ),
+    "kpi_sketch": TableSpec("kpi_id string, run_id string, n bigint, first_ts date, last_ts date, sketch binary", ("kpi_id", "run_id")),
     "metrics_validators": TableSpec(
         "item_id string, rule_id string, result_bool boolean, score double, note string", ("item_id", "rule_id"), True
     ),
