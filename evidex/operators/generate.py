@@ -15,6 +15,21 @@ from pyspark.sql.pandas.types import to_arrow_type
 Model = Callable[[list[dict[str, Any]]], Sequence[dict[str, Any] | None]]
 
 
+def ask_model(model: Model, records: list[dict[str, Any]], on_error: str = "raise") -> list[tuple[dict[str, Any] | None, str | None]]:
+    """(answer, error) per record. With `on_error="null"` a failing batch is asked one by one."""
+    try:
+        answers = list(model(records))
+        if len(answers) != len(records):
+            raise ValueError(f"{len(answers)} answers for {len(records)} records")
+        return [(a, None) for a in answers]
+    except Exception as e:
+        if on_error == "raise":
+            raise
+        if len(records) == 1:
+            return [(None, f"{type(e).__name__}: {e}")]
+    return [ask_model(model, [r], on_error)[0] for r in records]
+
+
 def generate_table(
     df: DataFrame,
     make_model: Callable[[], Model],
@@ -41,26 +56,13 @@ def generate_table(
     arrow_type = to_arrow_type(answer_type)
     places = [df.columns.index(c) for c in input_cols]
 
-    def ask(model: Model, records: list[dict[str, Any]]) -> list[tuple[dict[str, Any] | None, str | None]]:
-        try:
-            answers = list(model(records))
-            if len(answers) != len(records):
-                raise ValueError(f"{len(answers)} answers for {len(records)} records")
-            return [(a, None) for a in answers]
-        except Exception as e:
-            if on_error == "raise":
-                raise
-            if len(records) == 1:
-                return [(None, f"{type(e).__name__}: {e}")]
-        return [ask(model, [r])[0] for r in records]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = make_model()
         for whole in batches:
             for start in range(0, whole.num_rows, batch_size):
                 part = whole.slice(start, batch_size)
                 inputs = zip(*[part.column(i).to_pylist() for i in places])
-                made = ask(model, [dict(zip(input_cols, values)) for values in inputs])
+                made = ask_model(model, [dict(zip(input_cols, values)) for values in inputs], on_error)
                 shaped = [None if a is None else {f: a.get(f) for f in fields} for a, _ in made]
                 answers, errors = pa.array(shaped, arrow_type), pa.array([e for _, e in made], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, answers, errors], names=[*part.schema.names, out, error])

@@ -450,6 +450,12 @@ ORACLES: dict[str, str] = {
         null::bigint as height_px from captions where caption is not null""",
     "generate_table": """with words as (select doc_id, regexp_extract_all(text, '[^ \\t\\r\\n]+') as words from documents)
         select doc_id, case when len(words) > 0 then len(words) end as n_words, words[1] as first_word from words""",
+    "generate_table_sql": """with words as (select doc_id, regexp_extract_all(text, '[^ \\t\\r\\n]+') as words from documents)
+        select doc_id, case when len(words) > 0 then len(words) end as n_words, words[1] as first_word from words""",
+    "transcripts_sql": """with t as (select *, lag(role) over (partition by conv_id order by turn) as before, row_number() over (partition by conv_id order by turn) as n
+        from conversations)
+        select conv_id, count(*) as turns, count(*) filter (n > 1 and role is distinct from before) as changes, sum(length(coalesce(text, '')))::bigint as chars,
+               first(role order by turn) as first_role, last(role order by turn) as last_role from t group by conv_id""",
     "generate_bool": "select doc_id, length(text) > 1000 as result from documents where text is not null",
     "generate_double": """select doc_id, case when text <> '' then len(string_split(text, ' ')) / 8.0::double end as result
         from documents where text is not null""",

@@ -20,6 +20,7 @@ from evidex.operators import validators as V
 from evidex.operators.chunks import chunks_from_captions, pending, prompt_log
 from evidex.operators.embed import IMAGE_DIM, embed_missing, hashed_embedding
 from evidex.operators.generate import generate_bool, generate_double, generate_table
+from evidex.operators.model_table import register_model, register_reader
 from evidex.operators.sampling import cap_per_key, hash_sample, sample_position
 from evidex.operators.vectors import drop_empty_vectors, vector_topk
 from evidex.plans import inputs as I
@@ -423,6 +424,38 @@ def generate_table_query(spark: SparkSession, sf: str) -> DataFrame:
     return made.select("doc_id", "out.n_words", "out.first_word")
 
 
+def generate_table_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The same model as a table function of SQL."""
+    register_model(spark, "words_of", WordModel, ["text"], "n_words bigint, first_word string")
+    docs = fill_cores(I.read(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    return spark.sql("select doc_id, out.n_words, out.first_word from words_of(table({docs}))", docs=docs)
+
+
+class TranscriptReader:
+    """Reads a conversation turn by turn: how often the speaker changes, and who speaks first and last."""
+
+    def __init__(self):
+        self.turns = self.changes = self.chars = 0
+        self.conv = self.first = self.last = None
+
+    def read(self, record):
+        self.changes += self.turns > 0 and record["role"] != self.last
+        self.conv, self.last = record["conv_id"], record["role"]
+        self.first = self.last if self.turns == 0 else self.first
+        self.turns += 1
+        self.chars += len(record["text"] or "")
+
+    def result(self):
+        return [{"conv_id": self.conv, "turns": self.turns, "changes": self.changes, "chars": self.chars, "first_role": self.first, "last_role": self.last}]
+
+
+def transcripts_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Each conversation in the order of its turns, by a table function that reads one group after another."""
+    schema = "conv_id bigint, turns bigint, changes bigint, chars bigint, first_role string, last_role string"
+    register_reader(spark, "transcript", TranscriptReader, ["conv_id", "role", "text"], schema)
+    return spark.sql("select * from transcript(table({turns}) partition by conv_id order by turn)", turns=I.read(spark, sf, "conversations"))
+
+
 class LengthModel:
     """Stand-in for a yes/no model: is the text longer than a thousand characters?"""
 
@@ -739,6 +772,8 @@ QUERIES = {
     "prompt_log": prompt_log_query,
     "image_descriptions": image_descriptions,
     "generate_table": generate_table_query,
+    "generate_table_sql": generate_table_sql,
+    "transcripts_sql": transcripts_sql,
     "generate_bool": generate_bool_query,
     "generate_double": generate_double_query,
     "validator_color": validator_color_results,
