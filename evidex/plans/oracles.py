@@ -407,6 +407,8 @@ ORACLES: dict[str, str] = {
     "index_state": f"""with {INDEX} select index_name, case when decision in ('CREATE', 'REBUILD') then row_count else last_row_count end
         as last_row_count from decisions""",
     "index_health": f"""with {INDEX} select index_name as table_name, row_count, last_row_count is not null as has_index from decisions""",
+    "object_chunks": f"""select page_id, text, length(text)::bigint as offset_end
+        from (select page_id, {PAGE_TEXT} as text from pages) where length(text) > 0""",
     "object_catalog": "select url as object_uri from pages union select 'doc://' || source || '/' || doc_id from documents",
     "table_counts": " union all ".join(f"select '{t}' as table_name, count(*) as n from {t}" for t in TABLE_NAMES),
     "pending_documents": "select doc_id from documents where doc_id not in (select doc_id from labels)",

@@ -27,6 +27,7 @@ from evidex.plans import inputs as I
 from evidex.plans.evidence import Settings, refresh
 from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import writes as S
+from evidex.sources.object_source import folder_chunks, register_objects
 from evidex.sources.objects import list_objects, object_catalog
 from evidex.streaming.daily import daily_counts, event_days, insert_stream, read_files_as_stream
 from evidex.streaming.windows import count_stream, daily_totals
@@ -248,6 +249,24 @@ def list_objects_query(spark: SparkSession, sf: str) -> DataFrame:
     return listed.join(found, "key").groupBy("name").agg(F.sum("n_chunks").alias("n_chunks"), F.sum("n_chars").alias("n_chars"))
 
 
+def object_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages written as objects, one folder per language, listed together with some registered ones, and read as chunks."""
+    register_objects(spark)
+    root = shared_folder(spark, "objects")
+    pages = I.read(spark, sf, "pages").select("page_id", F.col("html").cast("binary").alias("content"))
+    folder = F.concat(F.lit("p"), (F.col("page_id") % 7).cast("string"), F.lit("/"), F.col("page_id").cast("string"), F.lit(".html"))
+    listed = F.col("page_id") % 10 != 0
+    pages.filter(listed).select(folder.alias("name"), "content").write.format("objects").mode("append").save(f"{root}/listed")
+    pages.filter(~listed).select(folder.alias("name"), "content").write.format("objects").mode("append").save(f"{root}/other")
+    # Some URIs are both registered and listed.
+    uri = F.concat(F.when(listed, f"{root}/listed/").otherwise(f"{root}/other/"), folder)
+    registered = pages.filter(F.col("page_id") % 5 == 0).select(uri.alias("object_uri"), F.lit("text/html").alias("media_type"))
+    done = spark.createDataFrame([], "chunk_id string")
+    chunks = folder_chunks(spark, f"{root}/listed", registered)(done)
+    page = F.regexp_extract("source_uri", r"/([0-9]+)\.html$", 1).cast("bigint")
+    return chunks.select(page.alias("page_id"), "text", F.col("span.offset_end").alias("offset_end"))
+
+
 def object_catalog_query(spark: SparkSession, sf: str) -> DataFrame:
     pages = I.read(spark, sf, "pages").select(F.col("url").alias("object_uri"))
     return object_catalog(pages, I.document_objects(spark, sf), pages)
@@ -748,6 +767,7 @@ QUERIES = {
     "index_state": index_state,
     "index_health": index_health,
     "list_objects": list_objects_query,
+    "object_chunks": object_chunks,
     "object_catalog": object_catalog_query,
     "table_counts": table_counts,
     "pending_documents": pending_documents,
