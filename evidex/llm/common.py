@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidex.session import shared_folder
@@ -67,6 +67,25 @@ def stored_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that are only needed until a result is stored; `drop` removes their folders."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        path = shared_folder(self.spark, label)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self.paths.clear()
+
+
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """The store and the path inside it; any store that Arrow knows, local paths included."""
     return pafs.FileSystem.from_uri(uri)

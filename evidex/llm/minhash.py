@@ -15,6 +15,7 @@ small buckets as pairs of rows, in large ones as tiles of texts that an index co
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evidex.llm.common import WordHashes, arrow_schema, mix64, sequence_hashes, small_batches, stored_table
+from evidex.llm.common import Scratch, WordHashes, arrow_schema, mix64, sequence_hashes, small_batches, stored_table
 from evidex.llm.urlfilter import possible_hits
 
 WORDS = 5
@@ -31,6 +32,8 @@ PERCENT = 80
 BANDS, ROWS = 40, 5
 BINS = BANDS * ROWS
 STAR_ROUNDS = 4
+LITTLE = 10
+EDGES_PER_TASK = 1_000_000
 SMALL_BUCKET = 32
 POOL_BLOCK = 512
 BATCH_BYTES = 2 << 20
@@ -115,7 +118,7 @@ def _packed_text():
 
 
 def _compare(words: int, percent: int):
-    """Pairs whose full sets are similar enough."""
+    """The components of pairs whose full sets are similar enough."""
     schema = arrow_schema(a=pa.int64(), b=pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,20 +138,41 @@ def _compare(words: int, percent: int):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked by their full sets. Joins split a text that many pairs share."""
+    """Components (a, b) that some of the pairs (a, b, ca, cb) link by their full sets. Joins split a text that many pairs share."""
     x = texts.select(F.col("rep").alias("a"), F.col("data").alias("x"))
     y = texts.select(F.col("rep").alias("b"), F.col("data").alias("y"))
-    return pairs.select("a", "b").join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(_compare(words, percent), "a long, b long")
+    return pairs.join(y, "b").join(x, "a").select("ca", "cb", "x", "y").mapInArrow(_compare(words, percent), "a long, b long")
+
+
+def _joined_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of a bounded list of edges: roots are hung below the smallest root around them until none moves."""
+    parts = [np.column_stack([np.asarray(b.column(0)), np.asarray(b.column(1))]) for b in batches]
+    edges = np.concatenate(parts) if parts else np.empty((0, 2), np.int64)
+    nodes, at = np.unique(edges, return_inverse=True)
+    at, root = at.reshape(-1, 2), np.arange(nodes.size)
+    while at.size:
+        ends = root[at]
+        least = ends.min(axis=1)
+        if (ends == least[:, None]).all():
+            break
+        np.minimum.at(root, ends[:, 0], least)
+        np.minimum.at(root, ends[:, 1], least)
+        while (root != root[root]).any():
+            root = root[root]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(nodes[root], pa.int64())], names=["node", "component"])
 
 
-def components(edges: DataFrame, label: str = "components") -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch, label: str = "components") -> DataFrame:
     """(node, component) for every node of the edges (a, b); the component is its smallest node.
 
-    Alternating stars: each node hands its neighbours the least node around it, first to larger and then to smaller ones,
-    until nothing changes. Every step is written to the shared folder.
+    Up to EDGES_PER_TASK edges are joined up by one task. More go through alternating stars: each node hands its
+    neighbours the least node around it, first to larger and then to smaller ones, until nothing changes. Every step is
+    written to the shared folder.
     """
     flat = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    now, state = stored_table(flat, label), None
+    now, state = scratch.table(flat, label), None
+    if now.count() <= EDGES_PER_TASK:
+        return scratch.table(now.coalesce(1).mapInArrow(_joined_up, "node long, component long"), label)
     while True:
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -156,7 +180,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         large = large.filter("u <> v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        now = stored_table(step.filter("u <> v").distinct(), label)
+        now = scratch.table(step.filter("u <> v").distinct(), label)
         # A forest of stars: as many edges as nodes with a smaller neighbour, and no centre that is a leaf.
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
@@ -165,12 +189,18 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v")).distinct()
 
 
-def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Bucket members with their component so far."""
-    if found is None:
+    if labels is None:
         return members.withColumn("component", F.col("rep"))
-    known = found.select(F.col("node").alias("rep"), F.col("component").alias("c"))
-    return members.join(known, "rep", "left").withColumn("component", F.coalesce("c", "rep")).drop("c")
+    return members.join(labels, "rep")
+
+
+def _relabelled(nodes: DataFrame, labels: DataFrame | None, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """(rep, component) after links between components: only what is new is joined up."""
+    before = nodes.withColumn("component", F.col("rep")) if labels is None else labels
+    found = components(links, scratch).select(F.col("node").alias("component"), F.col("component").alias("c"))
+    return scratch.table(before.join(found, "component", "left").select("rep", F.coalesce("c", "component").alias("component")), "labels")
 
 
 def _close(n: Column, m: Column, percent: int) -> Column:
@@ -205,7 +235,7 @@ def _tile_links(words: int, percent: int):
                 flat, owner = np.concatenate(v_sets), np.repeat(np.arange(sizes.size), sizes)
                 order = np.argsort(flat, kind="stable")
                 flat, owner = flat[order], owner[order]
-                seen, links = set(), []
+                seen = set()
                 for u, own in zip(us, sets_of(us)):
                     low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
                     count = high - low
@@ -214,17 +244,14 @@ def _tile_links(words: int, percent: int):
                     common = np.bincount(owner[at], minlength=sizes.size)
                     near = (100 * common >= percent * (own.size + sizes - common)) & (component != u["component"])
                     for j in np.flatnonzero(near).tolist():
-                        pair = (min(u["component"], vs[j]["component"]), max(u["component"], vs[j]["component"]))
-                        if pair not in seen:
-                            seen.add(pair)
-                            links.append((u["rep"], vs[j]["rep"]))
-                if links:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links)], schema=schema)
+                        seen.add((min(u["component"], vs[j]["component"]), max(u["component"], vs[j]["component"])))
+                if seen:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(seen))], schema=schema)
 
     return run
 
 
-def _large_buckets(mixed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+def _large_buckets(mixed: DataFrame, texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
     """Links between components in buckets too large for pairs of rows.
 
     Buckets that share members are one pool. A pool is cut into blocks of texts; the blocks of members outside its largest
@@ -232,19 +259,17 @@ def _large_buckets(mixed: DataFrame, texts: DataFrame, words: int, percent: int)
     made, and a tile hands on one link per pair of components.
     """
     first = mixed.groupBy("bucket").agg(F.min("rep").alias("first"))
-    pools = components(mixed.join(first, "bucket").select(F.col("rep").alias("a"), F.col("first").alias("b")), "pools")
+    pools = components(mixed.join(first, "bucket").select(F.col("rep").alias("a"), F.col("first").alias("b")), scratch, "pools")
     rows = mixed.select("rep", "component").distinct().join(pools.select(F.col("node").alias("rep"), F.col("component").alias("pool")), "rep")
     per = rows.groupBy("pool", "component").agg(F.count("*").alias("rows"))
     sizes = per.groupBy("pool").agg(F.ceil(F.sum("rows") / POOL_BLOCK).alias("blocks"), F.max(F.struct("rows", "component"))["component"].alias("largest"))
-    rows = rows.join(sizes, "pool").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    rows = rows.join(texts, "rep")
-    item = F.struct("rep", "component", "data")
+    rows = rows.join(sizes, "pool").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks"))).join(texts, "rep")
     # A block holds about POOL_BLOCK texts, whatever the size of its pool.
-    vs = rows.groupBy("pool", "block").agg(F.collect_list(item).alias("vs")).withColumnRenamed("block", "v")
-    us = rows.filter("component <> largest").groupBy("pool", "block").agg(F.collect_list(item).alias("us")).withColumnRenamed("block", "u")
-    tiles = rows.filter("component <> largest").select("pool", "blocks", F.col("block").alias("u")).distinct()
-    tiles = tiles.select("pool", "u", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("v"))
-    return tiles.join(us, ["pool", "u"]).join(vs, ["pool", "v"]).select("us", "vs").mapInArrow(_tile_links(words, percent), "a long, b long")
+    items = F.collect_list(F.struct("rep", "component", "data")).alias("vs")
+    blocks = scratch.table(rows.groupBy("pool", "blocks", "largest", "block").agg(items), "blocks")
+    us = blocks.select("pool", "blocks", F.filter("vs", lambda x: x["component"] != F.col("largest")).alias("us")).filter(F.size("us") > 0)
+    us = us.select("pool", "us", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    return us.join(blocks.select("pool", "block", "vs"), ["pool", "block"]).select("us", "vs").mapInArrow(_tile_links(words, percent), "a long, b long")
 
 
 def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -265,43 +290,55 @@ def link(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int
     # An id may stand for several sets; the links of its sets are links of the id.
     members = reps.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket")
-    members = stored_table(members.join(shared, "bucket"), "members")
+    scratch = Scratch(docs.sparkSession)
+    members = scratch.table(members.join(shared, "bucket"), "members")
 
-    nodes = stored_table(members.select("rep").distinct(), "nodes")
-    candidates = possible_hits(rows.filter(F.col("doc_id").isNotNull()), "doc_id", nodes, "rep", nodes.count())
+    nodes = scratch.table(members.select("rep").distinct(), "nodes")
+    n_nodes = nodes.count()
+    candidates = possible_hits(rows.filter(F.col("doc_id").isNotNull()), "doc_id", nodes, "rep", n_nodes)
     texts = candidates.join(nodes, candidates["doc_id"] == nodes["rep"], "left_semi")
-    texts = stored_table(texts.mapInArrow(_packed_text(), "rep long, data binary"), "texts")
+    texts = scratch.table(texts.mapInArrow(_packed_text(), "rep long, data binary"), "texts")
 
-    links, found = None, None
+    labels = None
     for round_ in range(STAR_ROUNDS):
-        labelled = _labelled(members, found)
-        mixed = _mixed(labelled).select("bucket")
+        labelled = _labelled(members, labels)
         order = F.col("rep") if round_ == 0 else F.xxhash64("rep", F.lit(round_))
-        open_ = labelled.join(mixed, "bucket")
-        centre = open_.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "rep", "n", "component")).alias("centre"))
-        pairs = open_.join(centre, "bucket").filter((F.col("component") != F.col("centre.component")) & _close(F.col("n"), F.col("centre.n"), percent))
-        pairs = pairs.select(F.col("centre.rep").alias("a"), F.col("rep").alias("b")).distinct()
-        new = stored_table(verified(pairs, texts, words, percent), "links")
-        if new.isEmpty():
+        # One pass over a bucket tells its centre and whether it still holds several components.
+        centre = labelled.groupBy("bucket").agg(
+            F.min(F.struct(order.alias("o"), "rep", "n", "component")).alias("centre"), F.min("component").alias("least"), F.max("component").alias("most")
+        )
+        centre = centre.filter("least <> most").select("bucket", "centre")
+        pairs = labelled.join(centre, "bucket").filter((F.col("component") != F.col("centre.component")) & _close(F.col("n"), F.col("centre.n"), percent))
+        pairs = pairs.select(F.col("centre.rep").alias("a"), F.col("rep").alias("b"), F.col("centre.component").alias("ca"), F.col("component").alias("cb")).distinct()
+        new = scratch.table(verified(pairs, texts, words, percent), "links")
+        n_new = new.count()
+        if n_new:
+            labels = _relabelled(nodes, labels, new, scratch)
+        # A round that links little is left to the exact end.
+        if n_new * LITTLE <= n_nodes:
             break
-        links = new if links is None else links.union(new)
-        found = components(links)
 
     # The rest, exactly. In small buckets whoever is outside the largest component meets the other components.
-    labelled = _labelled(members, found)
-    mixed = stored_table(labelled.join(_mixed(labelled), "bucket"), "mixed")
-    small = mixed.filter(F.col("size") <= SMALL_BUCKET)
-    outside = small.filter("component <> largest").select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    others = small.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("component") == F.col("largest")).alias("in_largest"))
-    rest = outside.join(others, "bucket").filter((F.col("ca") != F.col("cb")) & (F.col("in_largest") | (F.col("a") < F.col("b"))) & _close(F.col("na"), F.col("nb"), percent))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    last = stored_table(verified(rest, texts, words, percent), "links")
-    links = last if links is None else links.union(last)
-    links = links.union(stored_table(_large_buckets(mixed.filter(F.col("size") > SMALL_BUCKET), texts, words, percent), "links"))
-
-    groups = components(links).select(F.col("node").alias("rep"), "component")
-    named_groups = reps.select("digest", "rep").join(groups, "rep", "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c"))
+    labelled = _labelled(members, labels)
+    mixed = scratch.table(labelled.join(_mixed(labelled), "bucket"), "mixed")
+    least, most = mixed.agg(F.min("size"), F.max("size")).first()
+    last = []
+    if least is not None and least <= SMALL_BUCKET:
+        small = mixed.filter(F.col("size") <= SMALL_BUCKET)
+        outside = small.filter("component <> largest").select("bucket", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
+        others = small.select("bucket", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), (F.col("component") == F.col("largest")).alias("in_largest"))
+        rest = outside.join(others, "bucket").filter((F.col("ca") != F.col("cb")) & (F.col("in_largest") | (F.col("a") < F.col("b"))) & _close(F.col("na"), F.col("nb"), percent))
+        last.append(verified(rest.select("a", "b", "ca", "cb").distinct(), texts, words, percent))
+    if most is not None and most > SMALL_BUCKET:
+        last.append(_large_buckets(mixed.filter(F.col("size") > SMALL_BUCKET), texts, words, percent, scratch))
+    if last:
+        labels = _relabelled(nodes, labels, reduce(DataFrame.union, last), scratch)
+    labels = nodes.withColumn("component", F.col("rep")) if labels is None else labels
+
+    groups = stored_table(reps.select("digest", "rep").join(labels, "rep", "left").select(F.col("digest").alias("d"), F.coalesce("component", "rep").alias("c")), "groups")
+    # What the result reads are the sketches and the groups; all else has done its work.
+    scratch.drop()
     joined = (F.col("digest") == F.col("d")) & (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    out = sketched.select("doc_id", "n", "digest").join(named_groups, joined, "left")
+    out = sketched.select("doc_id", "n", "digest").join(groups, joined, "left")
     component = F.coalesce("c", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidex.llm import bpe, minhash, mixing, quality, substrings, tokenfile, topk, toxicity, urlfilter, warc
+from evidex.llm.common import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +77,34 @@ def test_links_equal_brute_force(docs, rows, words):
     assert found == {i: (len(s), component[i], component[i] == i) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("rounds, small", [(4, 32), (1, 2), (0, 2), (0, 10_000)])
+def test_large_buckets_equal_brute_force(spark, monkeypatch, rounds, small):
+    """A family of near copies of which many share buckets without being similar enough."""
+    for name, value in (("STAR_ROUNDS", rounds), ("SMALL_BUCKET", small), ("POOL_BLOCK", 16)):
+        monkeypatch.setattr(minhash, name, value)
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(60)]
+    found = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.choice(60, rng.integers(0, 5), replace=False):
+            words[at] = f"x{i}-{at}" if rng.random() < 0.7 else f"y{at}"
+        found.append((i * 3 + 1, " ".join(words)))
+    sets = {i: shingles(t, 4) for i, t in found}
+    component = {i: i for i in sets}
+    linked = [(i, j) for i, j in itertools.combinations(sets, 2) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in linked:
+            least = min(component[i], component[j])
+            changed |= component[i] != least or component[j] != least
+            component[i] = component[j] = least
+    docs = spark.createDataFrame(found, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: r.component_id for r in minhash.link(docs, words=4).collect()} == component
+    assert 5 < len(set(component.values())) < 140
+
+
 def test_links_of_odd_rows_and_of_none(odd, empty):
     found = sorted(((r.doc_id or 0, r.n_shingles, r.component_id, r.kept) for r in minhash.link(odd).collect()), key=str)
     assert found == sorted([(1, 56, 1, True), (1, 56, 1, True), (1, 3, 1, True), (0, 56, None, True), (0, 0, None, True), (2, 56, 1, False)], key=str) or any(
@@ -94,9 +123,11 @@ def test_sketch_bins_are_full_and_estimate_similarity():
     assert (minhash.sketches([np.empty(0, np.uint64)]) == minhash.EMPTY).all()
 
 
-def test_chains_of_links_become_one_component(spark):
+@pytest.mark.parametrize("per_task", [1_000_000, 5])
+def test_chains_of_links_become_one_component(spark, monkeypatch, per_task):
+    monkeypatch.setattr(minhash, "EDGES_PER_TASK", per_task)
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(50, 40), (40, 45)], "a long, b long")
-    found = {r.node: r.component for r in minhash.components(edges).collect()}
+    found = {r.node: r.component for r in minhash.components(edges, Scratch(spark)).collect()}
     assert found == {**{i: 1 for i in range(1, 31)}, 40: 40, 45: 40, 50: 40}
 
 
