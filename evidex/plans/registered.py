@@ -523,7 +523,7 @@ def validator_tolerance_results(spark: SparkSession, sf: str) -> DataFrame:
     )
     rows = orders.join(lines, orders.o_orderkey == lines.l_orderkey)
     return V.run_tolerance_validator(
-        rows, "rule_total", "o_orderkey", first_number("text"), "line_total", 0.5, sample_frac=V.SAMPLE_FRAC
+        rows, "rule_total", "o_orderkey", first_number("text"), "line_total", 0.5, sample_frac=V.SAMPLE_FRAC, cap=None
     )
 
 
