@@ -80,7 +80,7 @@ def register_model(
             for row, (found, failed) in zip(rows, made):
                 yield (*row, None if found is None else Row(**{f: found.get(f) for f in fields}), failed)
 
-    spark.udtf.register(name, udtf(ModelTable))
+    spark.udtf.register(name, udtf(ModelTable, useArrow=True))
 
 
 def register_reader(spark: SparkSession, name: str, make_reader: Callable[[], Reader], input_cols: Sequence[str], schema: str) -> None:
@@ -111,7 +111,7 @@ def register_reader(spark: SparkSession, name: str, make_reader: Callable[[], Re
                 for found in self.reader.result():
                     yield tuple(found.get(f) for f in fields)
 
-    spark.udtf.register(name, udtf(ReaderTable))
+    spark.udtf.register(name, udtf(ReaderTable, useArrow=True))
 
 
 __all__ = ["Reader", "register_model", "register_reader"]
