@@ -29,7 +29,7 @@ HEADLINE = [
     "retrieval_metrics_holdout", "context_topk", "context_with_fallback", "answers_extractive",
     "image_topk", "neighbors_of_all", "ivf_topk", "hashed_embedding", "chunks_pages", "facts_documents", "facts_orders",
     "validator_coverage", "insert_if_absent", "kpi_daily_counts", "kpi_from_facts", "forecast",
-    "forecast_backtest",
+    "forecast_backtest", "ivf_exact", "forecast_seasonal", "order_quantiles", "event_props", "generate_table_sql", "stream_windows",
 ]
 
 
