@@ -22,6 +22,7 @@ ROWS_PER_SHARD = 8_192
 SHARDS_PER_GROUP = 16
 GROUPS_PER_MERGE = 64
 EXACT = 2.0**53
+LARGEST = 2**63 - 1
 
 _TILE = arrow_schema(dim=pa.int32(), part=pa.int32(), seq=pa.int64(), ids=pa.binary(), cells=pa.binary())
 _TILE_DDL = "dim int, part int, seq long, ids binary, cells binary"
@@ -55,7 +56,8 @@ def _packed(vectors: DataFrame, rows: int, scale: float) -> DataFrame:
                 piece = batch.slice(at, rows)
                 lengths = np.asarray(piece.column(1).value_lengths())
                 ids = np.asarray(piece.column(0), dtype=np.int64)
-                flat = np.floor(scale * np.asarray(piece.column(1).flatten(), dtype=np.float64))
+                with np.errstate(over="ignore"):
+                    flat = np.nan_to_num(np.floor(scale * np.asarray(piece.column(1).flatten(), dtype=np.float64)))
                 ends = np.cumsum(lengths)
                 for dim in np.unique(lengths):
                     own = np.flatnonzero(lengths == dim)
@@ -69,17 +71,29 @@ def _packed(vectors: DataFrame, rows: int, scale: float) -> DataFrame:
     return vectors.mapInArrow(pack, _TILE_DDL)
 
 
+def _whole(queries: np.ndarray, base: np.ndarray) -> np.ndarray:
+    """Inner products by integers of any length, held within +-(2^63 - 1)."""
+    out = np.array([[int(x) for x in r] for r in queries], dtype=object) @ np.array([[int(x) for x in r] for r in base], dtype=object).T
+    return np.array([[max(-LARGEST, min(LARGEST, x)) for x in r] for r in out], dtype=np.int64).reshape(out.shape)
+
+
 def _products(queries: np.ndarray, base: np.ndarray) -> np.ndarray:
-    """Exact integer inner products."""
-    bound = np.abs(queries).max(initial=0) * np.abs(base).max(initial=0) * max(1, queries.shape[1])
-    if bound < EXACT:
+    """Exact integer inner products, held within +-(2^63 - 1); only rows of large cells leave the matrix product."""
+    dim = max(1, queries.shape[1])
+    q_top, b_top = np.abs(queries).max(axis=1, initial=0), np.abs(base).max(axis=1, initial=0)
+    with np.errstate(over="ignore"):
+        plain = q_top.max(initial=0) * dim * b_top.max(initial=0) < EXACT
+    if plain:
         return (queries @ base.T).astype(np.int64)
-    exact = np.array([[int(x) for x in r] for r in queries], dtype=object).reshape(queries.shape)
-    other = np.array([[int(x) for x in r] for r in base], dtype=object).reshape(base.shape)
-    out = exact @ other.T
-    if any(abs(x) >= 2**63 for x in out.flat):
-        raise OverflowError("a score does not fit into a bigint")
-    return out.astype(np.int64)
+    border = np.sqrt(EXACT / dim) / 2
+    q_large, b_large = q_top > border, b_top > border
+    out = np.empty((len(queries), len(base)), np.int64)
+    out[np.ix_(~q_large, ~b_large)] = (queries[~q_large] @ base[~b_large].T).astype(np.int64)
+    if q_large.any():
+        out[q_large] = _whole(queries[q_large], base)
+    if b_large.any() and not q_large.all():
+        out[np.ix_(~q_large, b_large)] = _whole(queries[~q_large], base[b_large])
+    return out
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -137,7 +151,8 @@ def exact_topk(
     """The k base rows with the highest inner product of floor(scale * x), for every row of `queries`.
 
     Returns query_id, rank (from 1), vec_id, score. A row is no candidate of a query with its own id. Ties go to the
-    smaller id. Vectors that are null or hold a null or non-finite component, and rows without an id, take no part;
+    smaller id. A score beyond a bigint stands as its largest or smallest value (+-(2^63 - 1)), a cell beyond a double as
+    the largest double; all others are exact. Vectors that are null or hold a null or non-finite component, and rows without an id, take no part;
     vectors of different lengths never meet. Repeated base rows are separate candidates; a repeated query id is
     answered once, by its smallest vector. Empty tables give no rows; other columns are ignored.
     """
