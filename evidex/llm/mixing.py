@@ -18,7 +18,7 @@ from evidex.llm.common import stored_table, words
 GOLDEN = (math.sqrt(5) - 1) / 2
 BLOCK_WORDS = 64
 MAX_EPOCHS = 3
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 SLOTS_PER_RANGE = 100_000
 
 
@@ -61,27 +61,40 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_
     return found.withColumn("target", F.least("most", F.lit(per_weight) * F.col("weight")))
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """Rows with `copy`: 0, 1, ... among those of equal `same`, in any order, as they are alike.
+
+    Counts per task of the scan (the upper bits of `row`) come first, so rows alike never meet in one task.
+    """
+    rows = rows.withColumn("part", F.shiftright("row", 33))
+    before = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("same", "part").count().withColumn("before", F.sum("count").over(before))
+    counts = counts.filter("before is not null").select("same", "part", "before")
+    inside = Window.partitionBy("same", "part").orderBy("row")
+    numbered = rows.withColumn("n", F.row_number().over(inside) - 1).join(counts, ["same", "part"], "left")
+    return numbered.withColumn("copy", F.coalesce("before", F.lit(0)).cast("long") + F.col("n")).drop("part", "before", "n")
+
+
 def blocks(documents: DataFrame, block_words: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Pieces of documents in equal-word blocks: row_id, source, block, piece (words of the document in the block).
+    """Pieces of documents in equal-word blocks: row, source, block, piece (words of the document in the block).
 
-    Takes row_id, source, size. Order inside a source is a hash of row_id. Running sums go over hash buckets first, so
-    a source with a third of all rows is split.
+    Takes row (one number per document), key (a hash that orders a source), source, size. Running sums go over ranges
+    of keys first, so a source with a third of all rows is split.
     """
     most = documents.groupBy("source").count().agg(F.max("count")).first()[0] or 1
     buckets = max(1, math.ceil(most / rows_per_bucket))
-    order = F.xxhash64("row_id", F.lit("mix"))
-    rows = documents.filter("size > 0").withColumn("key", order).withColumn("bucket", F.pmod(F.shiftrightunsigned("key", 1), F.lit(buckets)))
+    rows = documents.filter("size > 0").withColumn("bucket", F.pmod(F.shiftrightunsigned("key", 1), F.lit(buckets)))
     earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     sums = sums.withColumn("offset", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
     sums = sums.select(F.col("source").alias("s"), F.col("bucket").alias("b"), "offset")
     joined = rows.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).drop("s", "b")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "row_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     placed = joined.withColumn("start", start).withColumn("end", F.col("start") + F.col("size"))
     cut = placed.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("end") - 1) / block_words))))
     low, high = F.greatest("start", F.col("block") * block_words), F.least("end", (F.col("block") + 1) * block_words)
-    return cut.select("row_id", "source", "block", (high - low).alias("piece"))
+    return cut.select("row", "source", "block", (high - low).alias("piece"))
 
 
 def schedule(shares: DataFrame, block_words: int, slots_per_range: int = SLOTS_PER_RANGE) -> DataFrame:
@@ -121,31 +134,30 @@ def mix(
     source: str = "source",
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),
     block_words: int = BLOCK_WORDS,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """What the mix takes of each document: row_id, size, source, source_size, target, taken (words, repeats counted).
 
     A null text or a text without words has size 0 and is never taken. A null source is a source, and comes last.
-    Rows with the same id (null included) count as one text of their joint size for the mix and share what is taken
-    in proportion, rounded down to whole passes: each gets its own size times the passes over the id. A source's
-    words end within one block of its slots, and no document is taken more than three times. Other columns are
-    ignored. The same rows give the same mix, in any order or partitioning.
+    Every row is a document of its own, also where ids repeat or are null: rows are put in order by a hash of id, text
+    and the number of the row among equal ones. A source's words end within one block of its slots, and no row is
+    taken more than three times. Columns in `keep` are handed on, others are ignored. The same rows give the same mix,
+    in any order or partitioning; an empty table gives no rows.
     """
-    sized = docs.select(F.col(row_id).alias("row_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"))
+    sized = docs.select(
+        F.col(row_id).alias("row_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
+        F.xxhash64(text).alias("text_key"), *keep, F.monotonically_increasing_id().alias("row"),
+    )
+    # Stored, so that a row keeps its number whatever is read again.
     sized = stored_table(sized, "sizes")
     shares = stored_table(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights), "targets")
-    merged = sized.groupBy("row_id", "source").agg(F.sum("size").alias("size"), F.count("*").alias("copies"))
+    rows = sized.select("row_id", "source", "size", "text_key", "row").withColumn("same", F.xxhash64("row_id", "source", "text_key"))
+    rows = _copies(rows).select("row", "source", "size", F.xxhash64("row_id", "text_key", "copy").alias("key"))
     slots = schedule(shares, block_words)
     passes = slots.groupBy("source", "block").agg(F.count("*").alias("passes")).withColumnsRenamed({"source": "s", "block": "b"})
-    pieces = blocks(merged.select("row_id", "source", "size"), block_words)
+    pieces = blocks(stored_table(rows, "rows"), block_words)
     met = pieces.join(passes, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b")))
-    met = met.select("row_id", "source", (F.col("piece") * F.col("passes")).alias("words"))
-    taken = met.groupBy("row_id", "source").agg(F.sum("words").alias("all_taken")).withColumnsRenamed({"row_id": "r", "source": "s"})
-    whole = merged.withColumnsRenamed({"row_id": "mr", "source": "ms", "size": "all_size"})
-    whole = whole.join(taken, F.col("mr").eqNullSafe(F.col("r")) & F.col("ms").eqNullSafe(F.col("s")), "left").drop("r", "s")
-    whole = whole.withColumn("all_taken", F.coalesce("all_taken", F.lit(0)))
-    rows = sized.join(whole, F.col("row_id").eqNullSafe(F.col("mr")) & F.col("source").eqNullSafe(F.col("ms"))).drop("mr", "ms")
+    taken = met.groupBy("row").agg(F.sum(F.col("piece") * F.col("passes")).alias("words"))
     share = shares.select(F.col("source").alias("t"), "source_size", "target")
-    rows = rows.join(share, F.col("source").eqNullSafe(F.col("t"))).drop("t")
-    alone = F.col("copies") == 1
-    taken_words = F.when(alone, F.col("all_taken")).when(F.col("all_size") > 0, F.floor(F.col("all_taken") / F.col("all_size")) * F.col("size")).otherwise(0)
-    return rows.select("row_id", "source", "size", "source_size", "target", taken_words.cast("long").alias("taken"))
+    found = sized.join(taken, "row", "left").join(share, F.col("source").eqNullSafe(F.col("t")))
+    return found.select("row_id", "source", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), *keep)

@@ -3,12 +3,14 @@
 import hashlib
 import itertools
 import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from evidex.llm import bpe, minhash, mixing, quality, substrings, tokenfile, topk, toxicity, urlfilter, warc
@@ -194,6 +196,18 @@ def test_words_are_encoded_as_in_their_text():
 # Top-k
 
 
+def test_topk_of_huge_components_is_held_within_a_bigint(spark):
+    """One finite huge vector neither stops a query nor changes the scores of others; ties go to the smaller id."""
+    rows = [(0, [1.0, 0.5]), (1, [1e300, 0.0]), (2, [-1.7e308, 1.0]), (3, [3e7, 1.0]), (4, [1e300, 1.0]), (5, [0.25, -0.5]), (6, [1e307, -1e307]), (7, [2e9, 7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    cells = {i: [min(int(64 * x), int(1.7976931348623157e308)) if abs(64 * x) != float("inf") else (int(1.7976931348623157e308) if x > 0 else -int(1.7976931348623157e308)) for x in v] for i, v in rows}
+    wanted = []
+    for q in cells:
+        scores = [(max(-(2**63 - 1), min(2**63 - 1, sum(a * b for a, b in zip(cells[q], cells[i])))), i) for i in cells if i != q]
+        wanted += [(q, n, i, s) for n, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:5], 1)]
+    assert sorted(tuple(r) for r in topk.exact_topk(df, df, k=5).collect()) == sorted(wanted)
+
+
 def test_topk_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in rng.normal(size=4)], 1.0) for i in range(60)]
@@ -336,6 +350,69 @@ def test_the_mix_comes_near_its_targets_and_repeats_itself(spark, docs, odd, emp
     assert mixing.mix(odd).count() == 6 and mixing.mix(empty).count() == 0
 
 
+def hashed(*values):
+    seed = 42
+    for v in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", v) if isinstance(v, int) else v.encode(), seed=seed)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def mixed(rows, block, per_bucket):
+    """The mix by its definition: (id, text, source) -> words taken, as sorted tuples."""
+    seen, found = Counter(), []
+    for i, t, s in rows:
+        key = hashed(i, hashed(t), seen[i, t, s])
+        seen[i, t, s] += 1
+        found.append((s, key, i, t, len(WORD.findall(t or ""))))
+    order = sorted({r[0] for r in found}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(r[4] for r in found if r[0] == s) for s in order]
+    targets = water_fill(sizes, [[1, 2, 3][i % 3] for i in range(len(order))])
+    buckets = -(-max(Counter(r[0] for r in found).values()) // per_bucket)
+    golden, whole = (5**0.5 - 1) / 2, sum(targets)
+    passes = {s: Counter() for s in order}
+    ranks = Counter()
+    for slot in range(-(-whole // block).__int__()):
+        at, high = (slot * golden % 1) * whole, 0.0
+        for s, size, target in zip(order, sizes, targets):
+            high += target
+            if at < high:
+                blocks = -(-size // block)
+                if ranks[s] < 3 * blocks:
+                    passes[s][ranks[s] % blocks] += 1
+                ranks[s] += 1
+                break
+    out = []
+    for s in order:
+        start = 0
+        for _, key, i, t, size in sorted((r for r in found if r[0] == s), key=lambda r: ((r[1] % 2**64 >> 1) % buckets, r[1])):
+            out.append((i, s, size, sum(passes[s][w // block] for w in range(start, start + size))))
+            start += size
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("ids", ["own", "ten", "null"])
+def test_the_mix_equals_its_definition_also_where_ids_repeat(spark, monkeypatch, ids):
+    """A row is a document of its own; hot and null ids reach their targets like all others."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for n in range(400):
+        text = PASSAGE if n % 3 == 0 else " ".join(rng.choice(["a", "b", "c d"], rng.integers(0, 60)))
+        rows.append(({"own": n, "ten": n % 10, "null": None}[ids], None if n % 50 == 7 else text, ["x", "y", None, "z"][n % 7 % 4]))
+    monkeypatch.setattr(mixing.blocks, "__defaults__", (30,))
+    wanted = mixed(rows, 64, 30)
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = mixing.mix(df).collect()
+        assert sorted(((r.row_id, r.source, r.size, r.taken) for r in got), key=repr) == wanted
+        taken, targets = Counter(), {}
+        for r in got:
+            taken[r.source] += r.taken
+            targets[r.source] = r.target
+            assert r.taken <= 3 * r.size
+        assert all(abs(taken[s] - t) <= 3 * 64 + 0.02 * t for s, t in targets.items())
+
+
 def test_schedule_ranks_every_slot_once(spark):
     shares = mixing.targets(spark.createDataFrame([("a", 5000), ("b", 9000), ("c", 700)], "source string, source_size long"))
     slots = mixing.schedule(shares, 10, slots_per_range=100).collect()
