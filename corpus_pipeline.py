@@ -52,10 +52,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, to the nearest whole number: none to three times."""
-    mixed = mixing.mix(docs).filter("taken > 0").select(F.col("row_id").alias("mixed_id"), F.col("source").alias("mixed_source"), F.round(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    mixed = mixed.distinct()
-    same = docs["doc_id"].eqNullSafe(mixed["mixed_id"]) & docs["source"].eqNullSafe(mixed["mixed_source"])
-    return docs.join(mixed, same).filter("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*DOCUMENTS)
+    mixed = mixing.mix(docs, keep=("text", "lang", "n_chars")).filter("taken > 0").withColumnRenamed("row_id", "doc_id")
+    times = F.round(F.col("taken") / F.col("size")).cast("int")
+    return mixed.withColumn("times", times).filter("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*DOCUMENTS)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
