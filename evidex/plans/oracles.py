@@ -17,6 +17,13 @@ base as (select vec_id as item_id, label, embedding::double[] as v from embeddin
 """
 
 
+NAMES = """names as (select lower(p_name) as name from part
+    union select regexp_extract(lower(text), '^[a-z0-9]+ [a-z0-9]+') from documents where regexp_matches(lower(text), '^[a-z0-9]+ [a-z0-9]+'))"""
+
+# Names of letters, digits and single blanks only.
+HAS_NAME = "contains({0}, name) and regexp_matches({0}, '(^|[^a-z0-9])' || name || '([^a-z0-9]|$)')"
+
+
 def label_hits(k: int) -> str:
     return f"""{LABEL_QUERIES},
 scored as (select query_id, item_id, label, round(1 - list_cosine_similarity(base.v, queries.v), 9) as distance
@@ -422,6 +429,11 @@ ORACLES: dict[str, str] = {
         from hits""",
     "purge_expired": """select event_id, event_type, value from events
         where (epoch_us((select max(ts) from events)) - epoch_us(ts)) // 60000000 <= 60""",
+    "purge_by_day": """select event_id, event_type, value from events
+        where (epoch_us((select max(ts) from events)) - epoch_us(ts)) // 60000000 <= 14400""",
+    "upsert_by_day": """select event_type as kpi_id, ts::date as ts,
+            case when ts::date > (select max(ts)::date from events) - 10 then count(distinct user_id) else count(*) end as value
+        from events group by event_type, ts::date""",
     "drop_empty_vectors": f"""with words as (select doc_id, {TOKENS.format("text")} as words from documents)
         select doc_id, len(words)::int as n from words where len(words) > 0""",
     "hash_sample": f"""select doc_id, round({sample_position("doc_id")}, 6) as position from documents
@@ -474,6 +486,13 @@ ORACLES: dict[str, str] = {
     "validator_bool": f"with {VALUE} select * from value_results",
     "validator_tolerance": f"with {TOTAL} select * from total_results",
     "validator_brand": f"with {BRAND} select * from brand_results",
+    "name_mentions": f"""with {NAMES}, texts as (select doc_id, lower(text) as t from documents)
+        select doc_id, name from texts, names where {HAS_NAME.format("t")} group by doc_id, name""",
+    "validator_names": f"""with {NAMES}, texts as (select conv_id, turn, text, lower(text) as t from conversations),
+        found as (select distinct conv_id, turn from texts, names where {HAS_NAME.format("t")})
+        select conv_id || '/' || turn as item_id, 'rule_names' as rule_id,
+            case when text is not null then f.conv_id is not null end as result_bool, null::double as score, null::varchar as note
+        from texts left join found f using (conv_id, turn)""",
     "validator_table_text": f"with {TABLE_TEXT} select * from table_text_results",
     "validator_coverage": f"""with {ALL_RESULTS} select rule_id, count(*) as n, round(avg(result_bool::int), 9) as pass_rate
         from results group by rule_id""",

@@ -18,6 +18,7 @@ from evidex.operators import neighbors as N
 from evidex.operators import retrieval as R
 from evidex.operators import validators as V
 from evidex.operators.chunks import chunks_from_captions, pending, prompt_log
+from evidex.operators.dictionary import name_match, name_mentions
 from evidex.operators.embed import IMAGE_DIM, embed_missing, hashed_embedding
 from evidex.operators.generate import generate_bool, generate_double, generate_table
 from evidex.operators.model_table import register_model, register_reader
@@ -26,6 +27,7 @@ from evidex.operators.vectors import drop_empty_vectors, vector_topk
 from evidex.plans import inputs as I
 from evidex.plans.evidence import Settings, refresh
 from evidex.session import fill_cores, shared_folder, stored
+from evidex.sources import days as D
 from evidex.sources import writes as S
 from evidex.sources.object_source import folder_chunks, register_objects
 from evidex.sources.objects import list_objects, object_catalog
@@ -314,6 +316,27 @@ def purge_expired(spark: SparkSession, sf: str) -> DataFrame:
     return S.purge_expired(events, "ts", now).select("event_id", "event_type", "value")
 
 
+def purge_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in a folder per day, without those more than ten days old."""
+    events = I.read(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    now = F.lit(events.agg(F.max("ts")).first()[0])
+    path = shared_folder(spark, "events-by-day")
+    D.write_days(events, path, "day")
+    D.purge_days(spark, path, events.schema, "day", "ts", now, 10 * 24 * 60)
+    return D.read_days(spark, path, events.schema, "day").select("event_id", "event_type", "value")
+
+
+def upsert_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily counts in a folder per day, of which the last ten days become numbers of users."""
+    events = I.read(spark, sf, "events").select(F.col("event_type").alias("kpi_id"), "user_id", F.to_date("ts").alias("ts"))
+    series = events.groupBy("kpi_id", "ts").agg(F.count("*").alias("value"))
+    recent = events.filter(F.col("ts") > F.date_sub(F.lit(I.last_day(events, "ts")), 10))
+    path = shared_folder(spark, "counts-by-day")
+    D.write_days(series, path, "ts")
+    D.upsert_days(spark, path, recent.groupBy("kpi_id", "ts").agg(F.count_distinct("user_id").alias("value")), ["kpi_id", "ts"], "ts")
+    return D.read_days(spark, path, series.schema, "ts")
+
+
 def drop_empty_vectors_query(spark: SparkSession, sf: str) -> DataFrame:
     """Token lists as the arrays: texts without any token have an empty one."""
     docs = fill_cores(I.read(spark, sf, "documents"), "doc_id")
@@ -538,6 +561,22 @@ def validator_color_results(spark: SparkSession, sf: str) -> DataFrame:
     return V.run_bool_validator(captions, "rule_color_match", "image_id", V.mentions_any("caption", COLOR_STAND_INS), cap=None)
 
 
+def _dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Names to look for: of all parts, and the first two words of all documents."""
+    opening = F.regexp_extract(F.lower("text"), "^[a-z0-9]+ [a-z0-9]+", 0)
+    openings = I.read(spark, sf, "documents").select(opening.alias("name"))
+    return I.read(spark, sf, "part").select(F.col("p_name").alias("name")).union(openings)
+
+
+def name_mentions_query(spark: SparkSession, sf: str) -> DataFrame:
+    return name_mentions(I.read(spark, sf, "documents"), _dictionary(spark, sf), "doc_id", "text")
+
+
+def validator_names_results(spark: SparkSession, sf: str) -> DataFrame:
+    turns = I.read(spark, sf, "conversations").withColumn("turn_id", F.concat_ws("/", "conv_id", "turn"))
+    return name_match(turns, _dictionary(spark, sf), "text", "rule_names", "turn_id", cap=None)
+
+
 def validator_table_text_results(spark: SparkSession, sf: str) -> DataFrame:
     return V.table_vs_text_total(I.order_facts(spark, sf).unionByName(I.document_facts(spark, sf)), cap=None)
 
@@ -802,6 +841,10 @@ QUERIES = {
     "validator_bool": validator_bool_results,
     "validator_tolerance": validator_tolerance_results,
     "validator_brand": validator_brand_results,
+    "name_mentions": name_mentions_query,
+    "validator_names": validator_names_results,
+    "purge_by_day": purge_by_day,
+    "upsert_by_day": upsert_by_day,
     "validator_table_text": validator_table_text_results,
     "validator_coverage": validator_coverage,
     "validator_rollup": validator_rollup,
