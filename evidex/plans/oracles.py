@@ -429,6 +429,9 @@ ORACLES: dict[str, str] = {
         from hits""",
     "purge_expired": """select event_id, event_type, value from events
         where (epoch_us((select max(ts) from events)) - epoch_us(ts)) // 60000000 <= 60""",
+    "pending_clustered": "select doc_id, source from documents where doc_id not in (select doc_id from labels where doc_id is not null)",
+    "insert_clustered": """select doc_id, quality from labels
+        union all select doc_id, -1::int as quality from documents where doc_id not in (select doc_id from labels where doc_id is not null)""",
     "purge_by_day": """select event_id, event_type, value from events
         where (epoch_us((select max(ts) from events)) - epoch_us(ts)) // 60000000 <= 14400""",
     "upsert_by_day": """select event_type as kpi_id, ts::date as ts,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from evidex.plans.evidence import Settings, refresh
 from evidex.session import fill_cores, shared_folder, stored
 from evidex.sources import days as D
 from evidex.sources import writes as S
+from evidex.sources.clustered import insert_clustered, write_clustered
 from evidex.sources.object_source import folder_chunks, register_objects
 from evidex.sources.objects import list_objects, object_catalog
 from evidex.streaming.daily import daily_counts, event_days, insert_stream, read_files_as_stream
@@ -337,6 +339,28 @@ def upsert_by_day(spark: SparkSession, sf: str) -> DataFrame:
     return D.read_days(spark, path, series.schema, "ts")
 
 
+def _clustered(df: DataFrame, key: str) -> tuple[str, str]:
+    """Store rows in eight buckets by key: (name, path)."""
+    name = f"clustered_{uuid.uuid4().hex}"
+    path = shared_folder(df.sparkSession, name)
+    write_clustered(df, name, path, [key], 8)
+    return name, path
+
+
+def pending_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents without a label yet, both tables clustered by their id."""
+    docs, _ = _clustered(I.read(spark, sf, "documents").select("doc_id", "source"), "doc_id")
+    labels, _ = _clustered(I.read(spark, sf, "labels"), "doc_id")
+    return pending(spark.table(docs), spark.table(labels), "doc_id")
+
+
+def insert_clustered_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels with a row for every document that had none."""
+    name, path = _clustered(I.read(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    unknown = I.read(spark, sf, "documents").select("doc_id", F.lit(-1).cast("int").alias("quality"))
+    return insert_clustered(unknown, name, path, ["doc_id"], 8)
+
+
 def drop_empty_vectors_query(spark: SparkSession, sf: str) -> DataFrame:
     """Token lists as the arrays: texts without any token have an empty one."""
     docs = fill_cores(I.read(spark, sf, "documents"), "doc_id")
@@ -844,6 +868,8 @@ QUERIES = {
     "name_mentions": name_mentions_query,
     "validator_names": validator_names_results,
     "purge_by_day": purge_by_day,
+    "pending_clustered": pending_clustered,
+    "insert_clustered": insert_clustered_query,
     "upsert_by_day": upsert_by_day,
     "validator_table_text": validator_table_text_results,
     "validator_coverage": validator_coverage,
