@@ -95,8 +95,11 @@ class EliasFano:
 
 
 def shard_parts(ids: list[bytes], width: int, ends: np.ndarray, doc_ids: np.ndarray) -> list[bytes]:
-    """A whole shard in pieces: magic, length of the header, header (JSON), both sequences, ids."""
-    head, data = {"width": width}, []
+    """A whole shard in pieces: magic, length of the header, header (JSON), both sequences, ids.
+
+    Documents without an id come first; the header counts them.
+    """
+    head, data = {"width": width, "nameless": ends.size - doc_ids.size}, []
     for name, one in (("ends", EliasFano.of(ends)), ("docs", EliasFano.of(doc_ids))):
         head[name], parts = one.parts()
         data += parts
@@ -104,8 +107,8 @@ def shard_parts(ids: list[bytes], width: int, ends: np.ndarray, doc_ids: np.ndar
     return [MAGIC, len(text).to_bytes(4, "little"), text, *data, *ids]
 
 
-def open_shard(data: bytes) -> tuple[EliasFano, EliasFano, np.ndarray]:
-    """(ends, doc ids, ids) of a shard."""
+def open_shard(data: bytes) -> tuple[EliasFano, EliasFano, int, np.ndarray]:
+    """(ends, doc ids, documents without an id before them, ids) of a shard."""
     if data[:8] != MAGIC:
         raise ValueError("not a token shard")
     size = int.from_bytes(data[8:12], "little")
@@ -116,7 +119,7 @@ def open_shard(data: bytes) -> tuple[EliasFano, EliasFano, np.ndarray]:
             parts.append(data[at : at + n])
             at += n
         found.append(EliasFano(head[name]["n"], head[name]["low_bits"], head[name]["base"], *parts))
-    return found[0], found[1], np.frombuffer(data, f"<u{head['width']}", offset=at)
+    return found[0], found[1], head["nameless"], np.frombuffer(data, f"<u{head['width']}", offset=at)
 
 
 class WordEncoder:
@@ -191,7 +194,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
             for data in shard_parts(ids, width, np.array(ends, np.int64), np.array(names, np.int64)):
                 out.write(data)
             out.commit()
-            rows.append((out.name, part * 1_000_000 + roll, len(names), total, out.size))
+            rows.append((out.name, part * 1_000_000 + roll, len(ends), total, out.size))
             roll, total = roll + 1, 0
             for held in (ids, ends, names):
                 held.clear()
@@ -203,12 +206,16 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
                 ids.append(data + end)
                 total += len(data) // width + 1
                 ends.append(total)
-                names.append(name)
-        if names:
+                if name is not None:
+                    names.append(name)
+        if ends:
             close()
         yield from as_batches(rows, _MANIFEST)
 
-    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows that repeat an id are put in order by a hash, so that a range may end among them; equal ones in any order.
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("row"))
+    keys = [F.col("doc_id").asc_nulls_first(), "text_key", "row"]
+    ordered = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
     return stored_table(ordered.mapInArrow(run, _MANIFEST_DDL), "token-manifest")
 
 
@@ -220,11 +227,11 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for name, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
-                    ends, names, ids = open_shard(stream.read())
+                    ends, names, nameless, ids = open_shard(stream.read())
 
                 def rows():
                     start = 0
-                    for end, doc in zip(ends.values().tolist(), names.values().tolist()):
+                    for end, doc in zip(ends.values().tolist(), [None] * nameless + names.values().tolist()):
                         yield doc, first + start, end - start, ids[start:end].tobytes()
                         start = end
 
@@ -252,11 +259,10 @@ def crc_of_ids(docs: DataFrame, width: int) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 2, width: int = 2, doc_id: str = "doc_id", text: str = "text", folder: str | None = None):
     """Write all documents as token shards and read them back: (documents, manifest, folder).
 
-    A null or empty text is the end id alone. Documents are in ascending order of id, rows that repeat an id by their
-    text, nulls first; rows with a null id are not written, as the files have no place for them. An empty table
-    gives no files. `width` is 2 for vocabularies below 65,536 ids, else 4. Other columns are ignored.
+    A null or empty text is the end id alone. Documents are in ascending order of id, rows without an id
+    first; rows that repeat an id (or have none) are in the order of a hash of their text. An empty table gives no files. `width` is 2 for vocabularies below 65,536 ids, else 4. Other columns are ignored.
     """
     folder = folder or shared_folder(docs.sparkSession, "tokens")
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull())
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     manifest = write_tokens(rows, folder, tokenizer_path, end_id, width)
     return read_tokens(manifest, folder), manifest, folder

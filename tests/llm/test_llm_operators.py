@@ -181,7 +181,12 @@ def test_token_files_hold_the_tokenizers_ids(docs, rows, odd, empty):
         assert got[i] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
     assert manifest.agg(F.sum("n_ids")).first()[0] == start
-    assert tokenfile.token_files(odd, WORD_BPE)[0].count() == 4
+    # Rows without an id come first, and all later starts count them.
+    again = tokenfile.token_files(odd, WORD_BPE)[0].orderBy("start").collect()
+    assert [r.doc_id for r in again] == [None, None, 1, 1, 1, 2]
+    assert [r.start for r in again] == [sum(b.n_tokens for b in again[:i]) for i in range(6)]
+    nameless = odd.filter("doc_id is null").unionByName(odd.limit(0))
+    assert [r.doc_id for r in tokenfile.token_files(nameless, WORD_BPE)[0].collect()] == [None, None]
     assert tokenfile.token_files(empty, WORD_BPE)[0].count() == 0
 
 
