@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from evidex.functions.scalars import predicate
 from evidex.operators.groups import topk_per_group
-from evidex.session import estimated_splits, stored
+from evidex.session import estimated_splits, small_arrow_batches, stored
 
 # Fixed values (defaults the results depend on).
 SEARCH_K = 40
@@ -34,6 +35,7 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 BLOCK_BASE_ROWS = 16_384
 BLOCK_QUERY_ROWS = 1_024
 SCORES_PER_STEP = 4_000_000
+NUMBERS_PER_STEP = 500_000
 CANDIDATES_PER_TASK = 100_000
 CANDIDATES = 1_000_000_000
 
@@ -58,6 +60,15 @@ def _unit_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return rows[good], matrix[good] / norms[good, None]
 
 
+def _steps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the vectors of one hold at most NUMBERS_PER_STEP numbers, or one row."""
+    for batch in batches:
+        widest = pc.max(batch.column("vector").value_lengths()).as_py() or 1
+        rows = max(1, NUMBERS_PER_STEP // widest)
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class TopK:
     """Running k best (distance, id) per query over any number of batches."""
 
@@ -170,7 +181,7 @@ def _scan_with_broadcast(base: DataFrame, held: pa.Table, probes: pa.Table | Non
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of_queries, query_matrix, cells = sent.value
         top = TopK(query_matrix, k)
-        for batch in batches:
+        for batch in _steps(batches):
             rows, vectors = _unit_rows(batch.column("vector"))
             if rows.size == 0:
                 continue
@@ -224,7 +235,7 @@ def _scan_with_stored(base: DataFrame, queries: DataFrame, k: int, ddl: str, arr
                     yield out
 
         size = 0
-        for batch in batches:
+        for batch in _steps(batches):
             rows, vectors = _unit_rows(batch.column("vector"))
             for start in range(0, rows.size, base_rows):
                 part = slice(start, start + base_rows)
@@ -321,6 +332,7 @@ def search(
     most = int(base.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if not 1 <= k <= most:
         raise ValueError(f"k must be from 1 to {most}, up to which Spark cuts lists before it shuffles them")
+    small_arrow_batches(base.sparkSession)
     ddl, arrow = _hit_schema(queries, query_id, base, item_id)
     cell = [F.col("cell").cast("int").alias("cell")] if probes is not None else []
     slim = drop_empty_vectors(base.select(F.col(item_id).alias("item_id"), F.col(vector).alias("vector"), *cell))

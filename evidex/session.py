@@ -29,6 +29,21 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Bytes of one Arrow batch that Spark hands to a Python worker.
+ARROW_BATCH_BYTES = 4 * 1024 * 1024
+
+
+def small_arrow_batches(spark: SparkSession) -> SparkSession:
+    """Bound Arrow batches by their bytes: by rows alone, ten thousand wide vectors or long texts make one batch.
+
+    A limit that the session already has stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(ARROW_BATCH_BYTES))
+    return spark
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint directory.
 

@@ -1,10 +1,12 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from evidex.operators import ivf
+from evidex.operators import embed, ivf, vectors
 from evidex.operators.vectors import mean_vectors, vector_topk
 from evidex.plans import registered
+from evidex.session import ARROW_BATCH_BYTES
 
 SCHEMA = "item_id bigint, vector array<double>, kind string"
 
@@ -168,3 +170,38 @@ def test_more_means_than_cells_are_an_error(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(registered, "MEAN_CELLS", 9)
     with pytest.raises(ValueError, match="more than 9"):
         registered.ivf_topk(spark, sf_dir)
+
+
+def batch_bytes(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+
+def test_batches_of_wide_vectors_are_bounded_by_bytes(spark):
+    """By rows alone, 4,000 vectors of 768 numbers came to a worker as one batch of 24 MB."""
+    texts = spark.range(0, 4000, 1, 1).selectExpr("id as key", "concat('word', id, ' ', id % 7) as text")
+    made = embed.hashed_embedding(texts, "key", "text")
+    sizes = [r.n for r in made.mapInArrow(batch_bytes, "n long").collect()]
+    assert sum(sizes) >= 4000 * 768 * 8 and max(sizes) <= ARROW_BATCH_BYTES + 2 * 768 * 8
+
+
+def test_workers_hold_few_numbers_at_once():
+    lengths = np.array([3, 900_000, 0, 5, 400_000, 200_000, *[1] * 2000])
+    cuts = list(embed._steps(lengths, 768))
+    assert [a for a, _ in cuts] == [0, *[b for _, b in cuts[:-1]]] and cuts[-1][1] == len(lengths)
+    for a, b in cuts:
+        assert b - a == 1 or (lengths[a:b].sum() <= embed.NUMBERS_PER_STEP and (b - a) * 768 <= embed.NUMBERS_PER_STEP)
+    assert list(embed._steps(np.array([], dtype=int), 768)) == []
+    batch = pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array([[1.0] * 768] * 3000)], names=["item_id", "vector"])
+    parts = list(vectors._steps([batch, batch.slice(0, 0)]))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(3000))
+    assert max(p.num_rows for p in parts) * 768 <= vectors.NUMBERS_PER_STEP
+
+
+def test_search_in_steps_is_exact(spark):
+    rng = np.random.default_rng(3)
+    many = [(i, rng.integers(-3, 4, size=64).astype(float).tolist()) for i in range(9000)]
+    base = spark.createDataFrame(many, "item_id bigint, vector array<double>").coalesce(1)
+    asked = [(f"q{i}", many[i][1]) for i in range(4)]
+    queries = spark.createDataFrame(asked, "query_id string, vector array<double>")
+    assert close(got(vector_topk(base, queries, 9)), brute(many, asked, 9))
