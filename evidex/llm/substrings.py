@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidex.llm.common import CommittedFile, WordHashes, arrow_schema, as_batches, file_system, mix64, small_batches, stored_table
-from evidex.session import shared_folder
+from evidex.session import shared_folder, small_arrow_batches
 
 WINDOW = 35
 PREFIXES = (1, 2, 4, 8)
@@ -31,6 +31,7 @@ SLOTS = 4096
 GROUP_WINDOWS = 4_000_000
 BLOCK_BYTES = 8 * 1024 * 1024
 BATCH_BYTES = 2 << 20
+STEP_BYTES = 1 << 19
 ALWAYS = -1
 
 _COUNTS = arrow_schema(level=pa.int32(), slot=pa.int32(), n=pa.int64())
@@ -117,17 +118,41 @@ def plan_groups(counts: list[tuple[int, int, int]], window: int, most: int) -> t
     return table, max(group, 1)
 
 
+def _text_steps(texts: list[bytes], limit: int) -> Iterator[list[bytes]]:
+    """Runs of texts of at most `limit` bytes, or one text."""
+    start = held = 0
+    for i, text in enumerate(texts):
+        if held and held + len(text) > limit:
+            yield texts[start:i]
+            start, held = i, 0
+        held += len(text)
+    if texts:
+        yield texts[start:]
+
+
 def _windows(texts: list[bytes], hashes: WordHashes, table: np.ndarray, window: int):
-    """(words per text, window starts, group and path of each distinct window, its number for each start)."""
-    flat, counts = hashes.of(texts)
-    runs, starts = run_hashes(flat, window), window_starts(counts, window)
-    group = np.full(starts.size, -1, np.int32)
-    for i, level in enumerate(_levels(window)):
-        left = np.flatnonzero(group < 0)
-        if not left.size:
-            break
-        group[left] = table[i][_slots(runs, starts[left], level)]
-    path = runs[window][starts] if starts.size else np.empty(0, np.uint64)
+    """(words per text, window starts, group and path of each distinct window, its number for each start).
+
+    No window spans two texts, so words and the hashes of their runs are held for a few texts at a time.
+    """
+    counts, starts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    groups, paths, before = [np.empty(0, np.int32)], [np.empty(0, np.uint64)], 0
+    for some in _text_steps(texts, STEP_BYTES):
+        flat, words = hashes.of(some)
+        runs, at = run_hashes(flat, window), window_starts(words, window)
+        own = np.full(at.size, -1, np.int32)
+        for i, level in enumerate(_levels(window)):
+            left = np.flatnonzero(own < 0)
+            if not left.size:
+                break
+            own[left] = table[i][_slots(runs, at[left], level)]
+        counts.append(words)
+        starts.append(at + before)
+        groups.append(own)
+        if at.size:
+            paths.append(runs[window][at])
+        before += flat.size
+    group, path = np.concatenate(groups), np.concatenate(paths)
     order = np.argsort(path)
     order = order[np.argsort(group[order], kind="stable")]
     g, p = group[order], path[order]
@@ -135,7 +160,7 @@ def _windows(texts: list[bytes], hashes: WordHashes, table: np.ndarray, window:
     first[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1])
     number = np.empty(order.size, np.int64)
     number[order] = np.cumsum(first) - 1
-    return counts, starts, g[first], p[first], number
+    return np.concatenate(counts), np.concatenate(starts), g[first], p[first], number
 
 
 def _pack_paths(paths: np.ndarray, often: np.ndarray) -> bytes:
@@ -176,6 +201,7 @@ def _send_windows(folder: str, table: np.ndarray, window: int, block_bytes: int)
             file = CommittedFile(folder, block)
             file.write(zstandard.ZstdCompressor(level=3).compress(sink.getvalue()))
             file.commit()
+            del sink
             texts = _texts(parts)
             _, _, group, path, number = _windows(texts, hashes, table, window)
             often = np.bincount(number, minlength=group.size) > 1
@@ -223,8 +249,9 @@ def _find_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             leaves, deep = np.concatenate(paths), np.concatenate(often)
             paths.clear()
             order = np.argsort(leaves)
-            twin = leaves[order][1:] == leaves[order][:-1]
-            below = np.zeros(leaves.size, bool)
+            leaves = leaves[order]
+            twin = leaves[1:] == leaves[:-1]
+            below = np.zeros(deep.size, bool)
             below[1:] |= twin
             below[:-1] |= twin
             deep[order] |= below
@@ -234,6 +261,19 @@ def _find_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from as_batches(rows(), _PARTS, 200)
 
 
+def _gone(texts: list[bytes], hashes: WordHashes, table: np.ndarray, window: int, bits: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Words per text, and which of all words lie under a repeated window."""
+    counts, starts, group, _, number = _windows(texts, hashes, table, window)
+    deep = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
+    if deep.size != group.size:
+        raise ValueError(f"answers for {deep.size} of {group.size} windows")
+    hit = starts[deep[number]] if starts.size else starts
+    edges = np.zeros(int(counts.sum()) + 1, np.int64)
+    np.add.at(edges, hit, 1)
+    np.add.at(edges, hit + window, -1)
+    return counts, np.cumsum(edges)[:-1] > 0
+
+
 def _cut_texts(folder: str, table: np.ndarray, window: int, schema: pa.Schema):
     """Texts of a block without the words under repeated windows."""
 
@@ -241,25 +281,16 @@ def _cut_texts(folder: str, table: np.ndarray, window: int, schema: pa.Schema):
         fs, base = file_system(folder)
         hashes = WordHashes()
 
-        for block, answers in _runs(batches, "block"):
+        def cut(block: str, answers: Iterator[dict]) -> Iterator[pa.RecordBatch]:
             bits = [np.unpackbits(np.frombuffer(r["data"], np.uint8), count=r["n"]) for r in answers if r["group"] != ALWAYS]
             with fs.open_input_stream(f"{base}/{block}", compression=None) as stream:
                 data = zstandard.ZstdDecompressor().decompress(stream.read())
             parts = list(pa.ipc.open_stream(data))
-            texts = _texts(parts)
-            counts, starts, group, _, number = _windows(texts, hashes, table, window)
-            deep = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
-            if deep.size != group.size:
-                raise ValueError(f"answers for {deep.size} of {group.size} windows")
-            hit = starts[deep[number]] if starts.size else starts
-            edges = np.zeros(int(counts.sum()) + 1, np.int64)
-            np.add.at(edges, hit, 1)
-            np.add.at(edges, hit + window, -1)
-            gone = np.cumsum(edges)[:-1] > 0
+            counts, gone = _gone(_texts(parts), hashes, table, window, bits)
             at = doc = 0
             for rows in parts:
                 kept, removed = [], []
-                for text, n in zip(texts[doc : doc + rows.num_rows], counts[doc : doc + rows.num_rows].tolist()):
+                for text, n in zip(_texts([rows]), counts[doc : doc + rows.num_rows].tolist()):
                     own, at = gone[at : at + n], at + n
                     words = text.split()
                     if own.any():
@@ -270,6 +301,10 @@ def _cut_texts(folder: str, table: np.ndarray, window: int, schema: pa.Schema):
                 doc += rows.num_rows
                 yield pa.RecordBatch.from_arrays([*columns, *rows.columns[2:]], schema=schema)
 
+        # What a block needs goes before the next one is read.
+        for block, answers in _runs(batches, "block"):
+            yield from cut(block, answers)
+
     return run
 
 
@@ -283,7 +318,7 @@ def remove_repeats(
     repeated rows remove each other whatever their ids, null included. An empty table gives no rows. Other columns are
     ignored. `docs` must read the same rows again when a task is repeated, as stored tables do. Windows are told apart by 64-bit hashes inside groups that split by other hashes of their first words.
     """
-    spark = docs.sparkSession
+    spark = small_arrow_batches(docs.sparkSession)
     kept = [F.col(c).cast("string").alias(f"keep{i}") for i, c in enumerate(keep)]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *kept)
     counted = rows.select("text").mapInArrow(_count_prefixes(window), "level int, slot int, n long")

@@ -567,3 +567,30 @@ def test_the_sample_has_a_row_per_id(spark, monkeypatch):
     models = [toxicity.train(spark.createDataFrame([r[:2] for r in some], "doc_id long, text string"), labels) for some in (many, many[::-1])]
     assert seen == [sum(zlib.crc32(str(i).encode()) % 5 == 4 for i in range(300))] * 2
     assert all(np.array_equal(a, b) for a, b in zip(models[0][1:], models[1][1:]))
+
+
+def test_windows_of_a_block_are_made_in_steps(monkeypatch):
+    """All words of a block at once took more than 20 times the bytes of its texts, in every worker."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    texts = [b" ".join(b"w%d" % w for w in rng.integers(0, 5000, size=n)) for n in rng.integers(0, 1500, size=1000)]
+    texts += [b"", texts[0], b"a b"]
+    table, _ = substrings.plan_groups([(0, s, 1) for s in range(substrings.SLOTS)], 35, 500)
+
+    def peak_of():
+        hashes = substrings.WordHashes()
+        hashes.of([b" ".join(b"w%d" % w for w in range(5000))])
+        tracemalloc.start()
+        try:
+            return substrings._windows(texts, hashes, table, 35), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    in_steps, less = peak_of()
+    monkeypatch.setattr(substrings, "STEP_BYTES", 1 << 40)
+    at_once, more = peak_of()
+    for a, b in zip(in_steps, at_once):
+        assert a.dtype == b.dtype and np.array_equal(a, b)
+    size = sum(map(len, texts))
+    assert less < 20 * size < more
