@@ -50,6 +50,19 @@ def _runs(parts: Column, lengths: list[int]) -> Column:
     return F.concat(*[of_length(m) for m in lengths])
 
 
+def _cores(parts: Column, lengths: list[int]) -> Column:
+    """The distinct runs of words of `parts`, without their surroundings."""
+    first = F.when(parts[0].rlike("[a-z0-9]"), F.lit(1)).otherwise(F.lit(2))
+
+    def of_length(m: int) -> Column:
+        width = 2 * m - 1
+        last = F.size(parts) - width + 1
+        places = F.when(last >= first, F.sequence(first, last, F.lit(2))).otherwise(F.array().cast("array<int>"))
+        return F.transform(places, lambda p: F.concat(*[parts[p - 1 + i] for i in range(width)]))
+
+    return F.array_distinct(F.concat(*[of_length(m) for m in lengths]))
+
+
 def name_mentions(texts: DataFrame, names: DataFrame, id_col: str, text: str, name: str = "name") -> DataFrame:
     """(id_col, name): which names occur in which rows' texts, whatever their case; one row per id and name.
 
@@ -58,21 +71,32 @@ def name_mentions(texts: DataFrame, names: DataFrame, id_col: str, text: str, na
     `MAX_WORDS` words is an error.
     """
     known = _names(names, name)
-    # At most MAX_WORDS + 1 numbers.
-    lengths = sorted(r.n for r in known.select(F.least("n_words", F.lit(MAX_WORDS + 1)).alias("n")).distinct().collect())
-    if lengths and lengths[-1] > MAX_WORDS:
+    known = known.withColumn("signed", (F.col("prefix") != "") | (F.col("suffix") != ""))
+    # At most MAX_WORDS + 1 numbers, with and without signs.
+    found = known.select("signed", F.least("n_words", F.lit(MAX_WORDS + 1)).alias("n")).distinct().collect()
+    if any(r.n > MAX_WORDS for r in found):
         raise ValueError(f"a name has more than {MAX_WORDS} words")
-    if not lengths:
+    plain, signed = (sorted(r.n for r in found if r.signed == s) for s in (False, True))
+    if not found:
         return texts.select(id_col, F.lit("").alias("name")).limit(0)
     parts = F.regexp_extract_all(F.lower(text), F.lit(f"{WORD}|{OTHER}+"), 0)
-    cut = texts.select(F.col(id_col).alias("_id"), parts.alias("_parts")).filter(F.size("_parts") > 0)
-    runs = cut.select("_id", F.explode(_runs(F.col("_parts"), lengths)).alias("r")).select("_id", "r.*")
-    met = runs.join(known, "core")
-    # Signs of the name itself must be there, and before them no word may end (or after them begin) at once.
-    ahead = F.col("before").endswith(F.col("prefix")) & (F.col("begins") | (F.length("before") > F.length("prefix")))
-    behind = F.col("after").startswith(F.col("suffix")) & (F.col("ends") | (F.length("after") > F.length("suffix")))
-    whole = ((F.col("prefix") == "") | ahead) & ((F.col("suffix") == "") | behind)
-    return met.filter(whole).select(F.col("_id").alias(id_col), "name").distinct()
+    # Any text but an empty one has parts; asked of the parts themselves, they would be made twice.
+    cut = texts.filter(F.length(text) > 0).select(F.col(id_col).alias("_id"), parts.alias("_parts"))
+    met = []
+    if plain:
+        # A name without signs needs no surroundings, and what a text repeats is sent once.
+        cores = cut.select("_id", F.explode(_cores(F.col("_parts"), plain)).alias("core"))
+        met.append(cores.join(known.filter(~F.col("signed")).select("core", "name"), "core").select("_id", "name"))
+    if signed:
+        runs = cut.select("_id", F.explode(_runs(F.col("_parts"), signed)).alias("r")).select("_id", "r.*")
+        beside = runs.join(known.filter("signed"), "core")
+        # Signs of the name itself must be there, and before them no word may end (or after them begin) at once.
+        ahead = F.col("before").endswith(F.col("prefix")) & (F.col("begins") | (F.length("before") > F.length("prefix")))
+        behind = F.col("after").startswith(F.col("suffix")) & (F.col("ends") | (F.length("after") > F.length("suffix")))
+        whole = ((F.col("prefix") == "") | ahead) & ((F.col("suffix") == "") | behind)
+        met.append(beside.filter(whole).select("_id", "name"))
+    mentions = met[0].union(met[1]) if len(met) > 1 else met[0]
+    return mentions.select(F.col("_id").alias(id_col), "name").distinct()
 
 
 def name_match(df: DataFrame, names: DataFrame, text: str, rule_id: str, id_col: str, name: str = "name", **due) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from evidex.operators.dictionary import MAX_WORDS, name_match, name_mentions
+from evidex.operators.dictionary import MAX_WORDS, _cores, name_match, name_mentions
 from evidex.operators.validators import mentions_any
 
 
@@ -60,3 +60,16 @@ def test_work_does_not_grow_with_names_times_texts(spark):
     known = spark.range(2_000).select(F.concat(F.lit("name "), F.col("id").cast("string")).alias("name"))
     plan = name_mentions(texts, known, "id", "text")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and len(plan) < 40_000
+
+
+def test_what_a_text_repeats_is_sent_once(spark):
+    """Names without signs meet distinct runs without surroundings: before, 2,000 words gave 3,999 wide rows here."""
+    df = spark.createDataFrame([(1, "ab cd " * 1000), (2, ""), (3, None), (4, "--Ab,cd\n")], "id int, text string")
+    parts = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+|[^a-z0-9]+"), 0)
+    got = {r[0]: r[1] for r in df.filter("id in (1, 4)").select("id", _cores(parts, [1, 2])).collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {1: ["ab", "ab cd", "cd", "cd ab"], 4: ["ab", "ab,cd", "cd"]}
+    known = spark.createDataFrame([("ab cd",), ("cd",), ("ab,CD",), ("-ab",), ("x",)], "name string")
+    rows = sorted(tuple(r) for r in name_mentions(df, known, "id", "text").collect())
+    assert rows == [(1, "ab cd"), (1, "cd"), (4, "-ab"), (4, "ab,cd"), (4, "cd")]
+    plain = name_mentions(df, known.filter("name != '-ab'"), "id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "before" not in plain and "begins" not in plain
