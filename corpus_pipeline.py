@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evidex.llm import bpe, minhash, mixing, quality, substrings
+from evidex.llm.common import numbered_table
 from evidex.session import stored
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -52,7 +53,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, to the nearest whole number: none to three times."""
-    mixed = mixing.mix(docs, keep=("text", "lang", "n_chars")).filter("taken > 0").withColumnRenamed("row_id", "doc_id")
+    docs = numbered_table(docs, DOCUMENTS, "mixed")
+    mixed = mixing.mix(docs, keep=("text", "lang", "n_chars"), row="row").filter("taken > 0").withColumnRenamed("row_id", "doc_id")
     times = F.round(F.col("taken") / F.col("size")).cast("int")
     return mixed.withColumn("times", times).filter("times > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*DOCUMENTS)
 

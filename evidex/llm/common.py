@@ -12,7 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evidex.session import shared_folder
@@ -67,6 +68,24 @@ def stored_table(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered_table(df: DataFrame, columns: list[str], label: str, row: str = "row") -> DataFrame:
+    """Columns of a table of files with `row`: the number of the file and the place in it, however tasks cut the files.
+
+    What is more than files as they are, or no files at all, is stored first.
+    """
+    place = F.col("_metadata.row_index")
+    try:
+        files = df if df._jdf.queryExecution().analyzed().children().isEmpty() else stored_table(df.select(*columns), label)
+        files.select(place)
+    except AnalysisException:
+        files = stored_table(df.select(*columns), label)
+    # One row per file, of which the driver has a list anyway.
+    names = files.select(F.col("_metadata.file_path").alias("_file")).distinct()
+    numbers = names.select("_file", (F.row_number().over(Window.orderBy("_file")) - 1).cast("long").alias("_number"))
+    at = files.select(*columns, F.col("_metadata.file_path").alias("_file"), place.alias("_place"))
+    return at.join(F.broadcast(numbers), "_file").select(*columns, (F.shiftleft("_number", 33) + F.col("_place")).alias(row))
+
+
 class Scratch:
     """Stored tables that are only needed until a result is stored; `drop` removes their folders."""
 

@@ -20,6 +20,8 @@ BLOCK_WORDS = 64
 MAX_EPOCHS = 3
 ROWS_PER_BUCKET = 2_000
 SLOTS_PER_RANGE = 100_000
+# Rows alike are numbered in runs of 2^14 numbers of rows.
+ROW_BITS = 14
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -64,9 +66,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), max_
 def _copies(rows: DataFrame) -> DataFrame:
     """Rows with `copy`: 0, 1, ... among those of equal `same`, in any order, as they are alike.
 
-    Counts per task of the scan (the upper bits of `row`) come first, so rows alike never meet in one task.
+    Counts per run of row numbers come first, so rows alike never meet in one task.
     """
-    rows = rows.withColumn("part", F.shiftright("row", 33))
+    rows = rows.withColumn("part", F.shiftright("row", ROW_BITS))
     before = Window.partitionBy("same").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = rows.groupBy("same", "part").count().withColumn("before", F.sum("count").over(before))
     counts = counts.filter("before is not null").select("same", "part", "before")
@@ -135,6 +137,7 @@ def mix(
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),
     block_words: int = BLOCK_WORDS,
     keep: tuple[str, ...] = (),
+    row: str | None = None,
 ) -> DataFrame:
     """What the mix takes of each document: row_id, size, source, source_size, target, taken (words, repeats counted).
 
@@ -143,10 +146,14 @@ def mix(
     and the number of the row among equal ones. A source's words end within one block of its slots, and no row is
     taken more than three times. Columns in `keep` are handed on, others are ignored. The same rows give the same mix,
     in any order or partitioning; an empty table gives no rows.
+
+    `row` is a column that numbers the rows and reads the same again, as of `numbered_table`: columns in `keep` are then
+    read from `docs` once more. Without it rows are numbered here and stored with these columns.
     """
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
     sized = docs.select(
         F.col(row_id).alias("row_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
-        F.xxhash64(text).alias("text_key"), *keep, F.monotonically_increasing_id().alias("row"),
+        F.xxhash64(text).alias("text_key"), *(keep if row is None else ()), number.alias("row"),
     )
     # Stored, so that a row keeps its number whatever is read again.
     sized = stored_table(sized, "sizes")
@@ -160,4 +167,6 @@ def mix(
     taken = met.groupBy("row").agg(F.sum(F.col("piece") * F.col("passes")).alias("words"))
     share = shares.select(F.col("source").alias("t"), "source_size", "target")
     found = sized.join(taken, "row", "left").join(share, F.col("source").eqNullSafe(F.col("t")))
+    if row is not None and keep:
+        found = found.join(docs.select(F.col(row).alias("row"), *keep), "row")
     return found.select("row_id", "source", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), *keep)

@@ -594,3 +594,33 @@ def test_windows_of_a_block_are_made_in_steps(monkeypatch):
         assert a.dtype == b.dtype and np.array_equal(a, b)
     size = sum(map(len, texts))
     assert less < 20 * size < more
+
+
+def test_the_mix_does_not_store_the_texts_of_a_table_of_files(spark, docs, tmp_path, monkeypatch):
+    """Rows are numbered by file and place, so texts are read again instead of being stored."""
+    import corpus_pipeline
+    from evidex.llm import common
+
+    whole = docs.select("doc_id", "text", F.lit("en").alias("lang"), "source", F.length("text").cast("long").alias("n_chars"))
+    whole = whole.union(whole.filter("doc_id % 3 = 0"))
+    whole.repartition(3).write.parquet(f"{tmp_path}/docs")
+    files = spark.read.parquet(f"{tmp_path}/docs")
+    stored, real = [], common.stored_table
+    for module in (common, mixing):
+        monkeypatch.setattr(module, "stored_table", lambda df, label: stored.append(df.columns) or real(df, label))
+    numbered = common.numbered_table(files, corpus_pipeline.DOCUMENTS, "mixed")
+    rows = numbered.collect()
+    assert len({r.row for r in rows}) == len(rows) == whole.count()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    again = common.numbered_table(files, corpus_pipeline.DOCUMENTS, "mixed").repartition(5).collect()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(repr, again)) == sorted(map(repr, rows))
+    found = corpus_pipeline.mix_sources(spark, files, "").collect()
+    assert stored and not any("text" in columns for columns in stored)
+    # A table with a step on top of its files may give a row twice, so it is stored.
+    twice = corpus_pipeline.mix_sources(spark, files.withColumn("n", F.explode(F.array(F.lit(1)))), "").collect()
+    assert any("text" in columns for columns in stored)
+    keep = ("text", "lang", "n_chars")
+    wanted = [(r.row_id, r.text, r.source) for r in mixing.mix(files, keep=keep).collect() for _ in range(int(r.taken / r.size + 0.5) if r.size else 0)]
+    for got in (found, twice):
+        assert sorted(((r.doc_id, r.text, r.source) for r in got), key=repr) == sorted(wanted, key=repr)
