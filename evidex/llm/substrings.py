@@ -154,7 +154,9 @@ def _windows(texts: list[bytes], hashes: WordHashes, table: np.ndarray, window:
         before += flat.size
     group, path = np.concatenate(groups), np.concatenate(paths)
     order = np.argsort(path)
-    order = order[np.argsort(group[order], kind="stable")]
+    # Numbers of 16 bits are put in order by counting, not by comparing.
+    narrow = group.astype(np.int16) if table.max() < 1 << 15 else group
+    order = order[np.argsort(narrow[order], kind="stable")]
     g, p = group[order], path[order]
     first = np.ones(order.size, bool)
     first[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1])

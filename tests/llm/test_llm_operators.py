@@ -596,6 +596,31 @@ def test_windows_of_a_block_are_made_in_steps(monkeypatch):
     assert less < 20 * size < more
 
 
+def test_words_are_hashed_together_and_only_long_ones_alone(monkeypatch):
+    """Words have equal hashes exactly if they are equal, however texts are cut; short ones are not hashed one by one."""
+    from evidex.llm import common
+
+    rng = np.random.default_rng(3)
+    sizes = [1, 2, 7, 8, 9, 15, 16, 17, 24, 31, 32, 33, 40, 500]
+    words = [bytes(rng.integers(33, 256, n, dtype=np.uint8)) for n in sizes for _ in range(40)]
+    words += [b"a" * n for n in range(1, 70)] + [b"a" + b"\0" * n for n in range(40)] + [b"\0" * n for n in range(1, 40)]
+    words += [w[:-1] + b"!" for w in words] + words[:200]
+    rng.shuffle(words)
+    texts = [b"", b" \n\t\x0b\x0c\r ", *[b" \r\n".join(words[k : k + 60]) for k in range(0, len(words), 60)], b"\x1c\x85\xa0 end ", b""]
+    flat = [w for t in texts for w in t.split()]
+    alone, real = [], common.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(common.xxhash, "xxh3_64_intdigest", lambda w: alone.append(w) or real(w))
+    found, counts = common.WordHashes().of(texts)
+    assert (found.dtype, counts.dtype) == (np.uint64, np.int64) and counts.tolist() == [len(t.split()) for t in texts]
+    assert sorted(alone) == sorted(w for w in flat if len(w) > common.SHORT_WORD)
+    pairs = set(zip(flat, found.tolist()))
+    assert len(pairs) == len(set(flat)) == len(set(found.tolist()))
+    each = [common.WordHashes().of([t])[0] for t in texts]
+    assert np.array_equal(np.concatenate(each), found)
+    nothing = common.WordHashes().of([])
+    assert nothing[0].size == nothing[1].size == 0
+
+
 def test_the_mix_does_not_store_the_texts_of_a_table_of_files(spark, docs, tmp_path, monkeypatch):
     """Rows are numbered by file and place, so texts are read again instead of being stored."""
     import corpus_pipeline
