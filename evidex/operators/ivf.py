@@ -7,13 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidex.functions.scalars import SEED
+from evidex.operators import kmeans
 from evidex.operators.vectors import SEARCH_K, _unit_rows, drop_empty_vectors, search
 
 # Fixed values (defaults the results depend on).
@@ -41,26 +41,24 @@ def train_cells(
     `training_share` of the rows, picked by the hash of their vector, takes part in the training. As many cells as asked
     for (by default the root of the number of rows) are made, or it is an error.
     """
-    usable = drop_empty_vectors(base.select(F.col(vector).alias("vector")))
+    # What is picked to start from depends on the whole row, so that copies of a vector are rows of their own.
+    hashed = [c for c, kind in base.dtypes if "map<" not in kind and "variant" not in kind]
+    usable = drop_empty_vectors(base.select(F.xxhash64(*hashed, F.lit(seed)).alias("draw"), F.col(vector).alias("vector")))
     usable = usable.filter(F.exists("vector", lambda x: x != 0))
-    rows = usable.count()
+    rows, size = usable.select(F.count(F.lit(1)), F.max(F.size("vector"))).first()
     n_cells = n_cells or default_cells(rows)
     if n_cells > rows:
         raise ValueError(f"{n_cells} cells for {rows} vectors with a direction")
-    size = usable.select(F.max(F.size("vector"))).first()[0]
     if n_cells * size * 8 > CENTROID_BYTES:
         raise ValueError(f"{n_cells} centroids of {size} dimensions are more than {CENTROID_BYTES} bytes")
     kept = F.pmod(F.xxhash64("vector", F.lit(seed)), F.lit(1_000_000)) < int(round(training_share * 1_000_000))
     sample = usable if training_share >= 1.0 else usable.filter(kept)
-    # One order of rows, whatever the files: k-means depends on it.
-    sample = sample.repartitionByRange("vector").sortWithinPartitions("vector")
-    points = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
+    sample = sample.withColumn("vector", F.col("vector").cast("array<double>"))
     if n_cells == 1:
+        points = sample.select(array_to_vector("vector").alias("features"))
         center = np.asarray(points.select(Summarizer.mean(F.col("features"))).first()[0].toArray(), dtype=np.float64)
         return center[None, :] / (np.linalg.norm(center) or 1.0)
-    model = KMeans(k=n_cells, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
-    centers = np.asarray(model.clusterCenters(), dtype=np.float64)
-    return centers / np.linalg.norm(centers, axis=1, keepdims=True)
+    return kmeans.train(sample, n_cells, size, seed, max_iter)
 
 
 def nearest_cells(
