@@ -1,4 +1,4 @@
-"""Word tokens and their hash buckets."""
+"""Word tokens."""
 
 from __future__ import annotations
 
@@ -13,12 +13,3 @@ TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
 def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(as_column(text)), F.lit(TOKEN_PATTERN), F.lit(0))
-
-
-def token_bucket(token: Column, dim: int) -> Column:
-    """Bucket of one token from the first 32 bits of its MD5."""
-    return (F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % F.lit(dim)).cast("int")
-
-
-def token_buckets(text: Column | str, dim: int) -> Column:
-    return F.transform(tokens(text), lambda t: token_bucket(t, dim))

@@ -14,7 +14,16 @@ from pyspark.sql import functions as F
 
 from evidex.functions.scalars import SEED
 from evidex.operators import kmeans
-from evidex.operators.vectors import SEARCH_K, _unit_rows, drop_empty_vectors, search
+from evidex.operators.vectors import (
+    DISTANCE_DIGITS,
+    NUMBERS_PER_STEP,
+    SCORES_PER_STEP,
+    SEARCH_K,
+    _unit_rows,
+    drop_empty_vectors,
+    search,
+)
+from evidex.session import small_arrow_batches, stored
 
 # Fixed values (defaults the results depend on).
 GROWTH_THRESHOLD_PCT = 15.0
@@ -84,8 +93,40 @@ def nearest_cells(
     return slim.mapInArrow(assign, f"id {id_type}, cell int").withColumnRenamed("id", id_col)
 
 
+def nearest_rounded(vectors: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """The cell of the smallest rounded distance, of equal ones the first.
+
+    Products in single precision leave the cells within twice their largest possible error of the best one; only where
+    several are left are distances computed in double precision.
+    """
+    dim, out = centers.shape[1], np.empty(len(vectors), np.int32)
+    margin = 2.0 * ((dim + 4) * 2.0**-24 + 10.0**-DISTANCE_DIGITS)
+    short, step = centers.astype(np.float32).T, max(1, SCORES_PER_STEP // len(centers))
+    for start in range(0, len(vectors), step):
+        block = vectors[start : start + step]
+        rough = block.astype(np.float32) @ short
+        row, cell = np.nonzero(rough >= (rough.max(axis=1) - np.float32(margin))[:, None])
+        if row.size > rough.size // 16 and row.size > len(block):
+            out[start : start + step] = np.argmin(np.round(1.0 - block @ centers.T, DISTANCE_DIGITS), axis=1)
+            continue
+        starts = np.flatnonzero(np.diff(row, prepend=-1))
+        out[start : start + step] = cell[starts]
+        several = np.flatnonzero(np.bincount(row, minlength=len(block))[row] > 1)
+        if several.size == 0:
+            continue
+        row, cell, distance = row[several], cell[several], np.empty(several.size)
+        for at in range(0, several.size, max(1, NUMBERS_PER_STEP // dim)):
+            part = slice(at, at + max(1, NUMBERS_PER_STEP // dim))
+            distance[part] = np.round(1.0 - np.einsum("nd,nd->n", block[row[part]], centers[cell[part]]), DISTANCE_DIGITS)
+        order = np.lexsort((cell, distance, row))
+        first = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
+        out[start + row[first]] = cell[first]
+    return out
+
+
 def assign_cells(df: DataFrame, centers: np.ndarray, vector: str = "vector") -> DataFrame:
     """All columns plus the nearest cell; rows without a direction have no cell and drop out."""
+    small_arrow_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(centers)
     place = df.columns.index(vector)
 
@@ -94,7 +135,7 @@ def assign_cells(df: DataFrame, centers: np.ndarray, vector: str = "vector") ->
             rows, vectors = _unit_rows(batch.column(place))
             if rows.size == 0:
                 continue
-            cell = np.argmin(np.round(1.0 - vectors @ sent.value.T, 9), axis=1).astype(np.int32)
+            cell = nearest_rounded(vectors, sent.value)
             kept = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(cell)], names=[*kept.schema.names, "cell"])
 
@@ -106,8 +147,9 @@ def write_cells(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> Non
     """Store the base by cell, so that a search only opens the folders of the probed cells.
 
     A cell is written by as many tasks as it fills files; a large cell is no single task and a small one no
-    heap of tiny files.
+    heap of tiny files. The rows are read twice, so they are stored first: their cells are found once.
     """
+    df = stored(df, "cells")
     key = next(c for c in df.columns if c != "cell")
     files = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("bigint").alias("_files"))
     spread = df.join(F.broadcast(files), "cell").withColumn("_file", F.pmod(F.xxhash64(key), F.col("_files")))

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evidex.operators.chunks import pending
 from evidex.operators.groups import topk_per_group
@@ -16,6 +17,9 @@ from evidex.sources.tables import REWRITTEN, TABLES
 # Fixed value (default the results depend on).
 CACHE_TTL_MIN = 60
 
+# Repeated keys of one insert that are sent to all tasks; more of them meet their rows in a shuffle.
+BROADCAST_KEYS = 100_000
+
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; among several the choice depends only on their contents."""
@@ -29,6 +33,20 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return one_per_key(pending(source, target, *keys), keys).select(*source.columns)
 
 
+def without_repeats(rows: DataFrame, keys: Sequence[str], broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """Stored rows, one per key. Repeated keys are found on the keys alone: rows with texts and vectors are only dealt
+    out and sorted where a key really repeats."""
+    again = stored(rows.groupBy(*keys).count().filter("count > 1").drop("count"), "repeated")
+    repeated = again.count()
+    if repeated == 0:
+        return rows
+    if repeated <= broadcast_keys:
+        again = F.broadcast(again)
+    same = reduce(lambda x, y: x & y, [rows[k].eqNullSafe(again[k]) for k in keys])
+    once = rows.join(again, same, "left_anti")
+    return once.unionByName(one_per_key(rows.join(again, same, "left_semi"), keys).select(*rows.columns))
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The target with the missing source rows added; rows it has stay as they are."""
     return target.unionByName(new_rows(target, source, keys), allowMissingColumns=True)
@@ -80,6 +98,13 @@ class TableFolder:
     def _schema(self, name: str) -> str:
         return f"{TABLES[name].columns}, created_ts timestamp"
 
+    def _fields(self, name: str) -> list[T.StructField]:
+        return T.StructType.fromDDL(self._schema(name)).fields
+
+    def _empty(self, name: str) -> DataFrame:
+        """No rows, and the planner knows it: a join with them moves no row of the other side."""
+        return self.spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self._fields(name)])
+
     def _path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
@@ -104,16 +129,15 @@ class TableFolder:
         else:
             path = f"{self.root}/{name}" if self._committed(f"{self.root}/{name}") else None
         if path is None:
-            return self.spark.createDataFrame([], self._schema(name))
-        columns = self.spark.createDataFrame([], self._schema(name)).columns
+            return self._empty(name)
+        columns = [f.name for f in self._fields(name)]
         extra = ", created_day date" if TABLES[name].by_day else ""
         return self.spark.read.schema(self._schema(name) + extra).parquet(path).select(*columns)
 
     def _shaped(self, df: DataFrame, name: str) -> DataFrame:
         if "created_ts" not in df.columns:
             df = df.withColumn("created_ts", self.now)
-        fields = self.spark.createDataFrame([], self._schema(name)).schema.fields
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in self._fields(name)])
 
     def _rewrite(self, name: str, df: DataFrame) -> None:
         """Write the next version; the last one stays for readers that began with it, older ones go."""
@@ -129,12 +153,8 @@ class TableFolder:
         if name in REWRITTEN:
             self._rewrite(name, insert_if_absent(old, self._shaped(source, name), keys))
             return
-        # Stored as they come, so that the source (a model, perhaps) runs once. Repeated keys are then found on the
-        # keys alone: rows with texts and vectors are only sorted where a key really repeats.
-        rows = stored(pending(self._shaped(source, name), old.select(*keys), *keys), "insert")
-        again = rows.groupBy(*keys).count().filter("count > 1").drop("count")
-        same = reduce(lambda x, y: x & y, [rows[k].eqNullSafe(again[k]) for k in keys])
-        once = rows.join(again, same, "left_anti").unionByName(one_per_key(rows.join(again, same, "left_semi"), keys).select(*rows.columns))
+        # Stored as they come, so that the source (a model, perhaps) runs once.
+        once = without_repeats(stored(pending(self._shaped(source, name), old.select(*keys), *keys), "insert"), keys)
         if TABLES[name].by_day:
             once = once.withColumn("created_day", F.to_date("created_ts"))
             once.write.mode("append").partitionBy("created_day").parquet(f"{self.root}/{name}")

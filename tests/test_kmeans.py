@@ -59,3 +59,30 @@ def test_vectors_of_different_length_are_an_error(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [0.0, 1.0])], "item_id bigint, vector array<double>")
     with pytest.raises(Exception, match="different length"):
         ivf.train_cells(df, 2)
+
+
+@pytest.mark.parametrize("scores", [ivf.SCORES_PER_STEP, 40])
+def test_cells_in_single_precision_are_those_of_rounded_distances(monkeypatch, scores):
+    rng = np.random.default_rng(13)
+    monkeypatch.setattr(ivf, "SCORES_PER_STEP", scores)
+    centers = unit(np.abs(rng.standard_normal((30, 48))))
+    # Copies of a centre, centres a hair apart, and rows half-way between two: the first of equal distances is taken.
+    centers[7], centers[9] = centers[3], unit(centers[[4]] + 1e-8 * rng.standard_normal((1, 48)))[0]
+    vectors = unit(np.concatenate([np.abs(rng.standard_normal((500, 48))), centers, centers[:10] + centers[10:20]]))
+    wanted = np.argmin(np.round(1.0 - np.einsum("nd,kd->nk", vectors, centers), 9), axis=1)
+    assert (ivf.nearest_rounded(vectors, centers) == wanted).all()
+    assert (ivf.nearest_rounded(vectors, np.repeat(centers[:1], 30, axis=0)) == 0).all()
+
+
+def test_cells_are_found_once_when_they_are_written(spark, tmp_path):
+    asked = spark.sparkContext.accumulator(0)
+    centers = unit(np.random.default_rng(17).standard_normal((3, 6)))
+
+    def counting(batches):
+        for batch in batches:
+            asked.add(batch.num_rows)
+            yield batch
+
+    df = frame(spark, np.random.default_rng(19).standard_normal((50, 6)))
+    ivf.write_cells(ivf.assign_cells(df.mapInArrow(counting, df.schema), centers), f"{tmp_path}/cells")
+    assert asked.value == 50 and spark.read.parquet(f"{tmp_path}/cells").count() == 50

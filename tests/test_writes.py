@@ -148,3 +148,27 @@ def test_files_become_chunks_and_only_new_ones_are_opened(spark, tmp_path):
     assert sorted(r.text for r in chunks.collect()) == ["two", "Üben"]
     done = chunks.filter("text = 'two'").select("chunk_id")
     assert [r.text for r in extract_chunks(files, PDF_SUFFIX, extractor=read, done=done).collect()] == ["Üben"]
+
+
+def test_rows_whose_keys_do_not_repeat_are_not_moved(spark, tmp_path):
+    rows = [(i, None if i == 3 else f"k{i}", "text") for i in range(50)]
+    spark.createDataFrame(rows, "n int, k string, text string").write.parquet(f"{tmp_path}/once")
+    once = S.without_repeats(spark.read.parquet(f"{tmp_path}/once"), ["k"])
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString() and once.count() == 50
+    more = [*rows, (90, None, "a"), (91, "k5", "b"), (92, "k5", "c")]
+    spark.createDataFrame(more, "n int, k string, text string").write.parquet(f"{tmp_path}/more")
+    stored = spark.read.parquet(f"{tmp_path}/more")
+    few, many = S.without_repeats(stored, ["k"]), S.without_repeats(stored, ["k"], broadcast_keys=1)
+    assert pairs(few.fillna("-")) == pairs(many.fillna("-")) and few.count() == few.select("k").distinct().count() == 50
+
+
+def test_an_empty_table_costs_no_join(spark, tmp_path):
+    tables = S.TableFolder(spark, str(tmp_path))
+    for name in TABLES:
+        df = tables.read(name)
+        assert df.count() == 0 and df.columns[-1] == "created_ts"
+    done = tables.read("text_emb")
+    assert done.schema["vector"].dataType.simpleString() == "array<double>"
+    todo = spark.range(9).select(F.col("id").cast("string").alias("chunk_id")).join(done.select("chunk_id"), "chunk_id", "left_anti")
+    plan = todo._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan and todo.count() == 9
