@@ -23,7 +23,7 @@ from evidex.operators.vectors import (
     drop_empty_vectors,
     search,
 )
-from evidex.session import small_arrow_batches, stored
+from evidex.session import Intermediate, small_arrow_batches
 
 # Fixed values (defaults the results depend on).
 GROWTH_THRESHOLD_PCT = 15.0
@@ -149,11 +149,12 @@ def write_cells(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> Non
     A cell is written by as many tasks as it fills files; a large cell is no single task and a small one no
     heap of tiny files. The rows are read twice, so they are stored first: their cells are found once.
     """
-    df = stored(df, "cells")
-    key = next(c for c in df.columns if c != "cell")
-    files = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("bigint").alias("_files"))
-    spread = df.join(F.broadcast(files), "cell").withColumn("_file", F.pmod(F.xxhash64(key), F.col("_files")))
-    spread.repartition("cell", "_file").drop("_files", "_file").write.partitionBy("cell").parquet(path)
+    with Intermediate(df.sparkSession) as steps:
+        df = steps.stored(df, "cells")
+        key = next(c for c in df.columns if c != "cell")
+        files = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_file).cast("bigint").alias("_files"))
+        spread = df.join(F.broadcast(files), "cell").withColumn("_file", F.pmod(F.xxhash64(key), F.col("_files")))
+        spread.repartition("cell", "_file").drop("_files", "_file").write.partitionBy("cell").parquet(path)
 
 
 def ivf_topk(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evidex.operators.vectors import SCORES_PER_STEP, _steps, _unit_rows
-from evidex.session import fill_cores, small_arrow_batches, stored
+from evidex.session import Intermediate, fill_cores, small_arrow_batches
 
 # Fixed values (defaults the results depend on).
 GRID = 2.0**24
@@ -168,14 +168,15 @@ class Training:
 
     def picked(self, centers: np.ndarray, k: int, number: int) -> list[bytes]:
         """The vectors that a round picks: each row with a probability of 2k times its share of all costs."""
-        costs = stored(self.costs(centers), "costs")
-        total = costs.agg(F.sum("cost")).first()[0]
-        if not total:
-            return []
-        place = F.pmod(F.xxhash64("draw", F.lit(number)), F.lit(2**53)) / F.lit(float(2**53))
-        chosen = costs.filter(place * F.lit(total) < F.col("cost") * F.lit(float(PICKED_PER_ROUND * k))).select("draw").distinct()
-        # About 2k draws; copies of a vector are one.
-        own = self.rows.join(F.broadcast(chosen), "draw").select("cells").distinct().toArrow()
+        with Intermediate(self.spark) as steps:
+            costs = steps.stored(self.costs(centers), "costs")
+            total = costs.agg(F.sum("cost")).first()[0]
+            if not total:
+                return []
+            place = F.pmod(F.xxhash64("draw", F.lit(number)), F.lit(2**53)) / F.lit(float(2**53))
+            chosen = costs.filter(place * F.lit(total) < F.col("cost") * F.lit(float(PICKED_PER_ROUND * k))).select("draw").distinct()
+            # About 2k draws; copies of a vector are one.
+            own = self.rows.join(F.broadcast(chosen), "draw").select("cells").distinct().toArrow()
         return sorted(c.as_py() for c in own["cells"])
 
 
@@ -231,10 +232,11 @@ def weighted_kmeans(vectors: np.ndarray, weights: np.ndarray, k: int, seed: int)
 def train(df: DataFrame, k: int, dim: int, seed: int, max_iter: int) -> np.ndarray:
     """Unit centres of the rows (draw, vector), where `draw` is a hash that picks them; at most k, if so many differ."""
     small_arrow_batches(df.sparkSession)
-    training = Training(stored(packed(fill_cores(df, "draw"), dim), "units"), dim)
-    centers = start(training, k, seed)
-    for _ in range(max_iter):
-        before, centers = centers, training.means(centers)
-        if (1.0 - np.einsum("kd,kd->k", before, centers) <= TOLERANCE).all():
-            break
+    with Intermediate(df.sparkSession) as steps:
+        training = Training(steps.stored(packed(fill_cores(df, "draw"), dim), "units"), dim)
+        centers = start(training, k, seed)
+        for _ in range(max_iter):
+            before, centers = centers, training.means(centers)
+            if (1.0 - np.einsum("kd,kd->k", before, centers) <= TOLERANCE).all():
+                break
     return centers / np.linalg.norm(centers, axis=1, keepdims=True)

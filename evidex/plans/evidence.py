@@ -21,7 +21,7 @@ from evidex.operators.chunks import call_id, chunks_from_captions, pending, prom
 from evidex.operators.embed import HASHED_MODEL, IMAGE_DIM, TEXT_DIM, embed_missing, hashed_embedding
 from evidex.operators.facts import answered, ask_facts, fact_id, usable_facts
 from evidex.operators.vectors import vector_topk
-from evidex.session import stored
+from evidex.session import Intermediate, stored
 from evidex.sources.writes import CACHE_TTL_MIN, TableFolder, table_counts
 
 COLOR_WORDS = (
@@ -122,9 +122,10 @@ def refresh_facts(t: TableFolder, s: Settings) -> None:
     version = F.lit("facts_v1")
     chunks = t.read("text_chunks").withColumn("call_id", call_id("facts_v1", version, "chunk_id"))
     todo = pending(chunks, t.read("prompt_log"), "call_id")
-    made = answered(stored(ask_facts(todo.withColumn("fact_id", fact_id()), s.fact_model), "facts"))
-    t.insert("facts_generic", usable_facts(made))
-    t.insert("prompt_log", prompt_log(made, "facts_v1", version, "facts", "text", "chunk_id"))
+    with Intermediate(t.spark) as steps:
+        made = answered(steps.stored(ask_facts(todo.withColumn("fact_id", fact_id()), s.fact_model), "facts"))
+        t.insert("facts_generic", usable_facts(made))
+        t.insert("prompt_log", prompt_log(made, "facts_v1", version, "facts", "text", "chunk_id"))
 
 
 def refresh_holdout(t: TableFolder, s: Settings) -> None:

@@ -79,3 +79,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Intermediate:
+    """Tables that are stored for the length of a `with` block; at its end their folders are removed.
+
+    What is made of them must be written by then.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def __enter__(self) -> Intermediate:
+        return self
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = shared_folder(self.spark, label)
+        self.folders.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *error) -> None:
+        for path in self.folders:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

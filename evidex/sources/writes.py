@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from evidex.operators.chunks import pending
 from evidex.operators.groups import topk_per_group
-from evidex.session import stored
+from evidex.session import Intermediate, stored
 from evidex.sources.tables import REWRITTEN, TABLES
 
 # Fixed value (default the results depend on).
@@ -153,13 +153,15 @@ class TableFolder:
         if name in REWRITTEN:
             self._rewrite(name, insert_if_absent(old, self._shaped(source, name), keys))
             return
-        # Stored as they come, so that the source (a model, perhaps) runs once.
-        once = without_repeats(stored(pending(self._shaped(source, name), old.select(*keys), *keys), "insert"), keys)
-        if TABLES[name].by_day:
-            once = once.withColumn("created_day", F.to_date("created_ts"))
-            once.write.mode("append").partitionBy("created_day").parquet(f"{self.root}/{name}")
-        else:
-            once.write.mode("append").parquet(f"{self.root}/{name}")
+        with Intermediate(self.spark) as steps:
+            # Stored as they come, so that the source (a model, perhaps) runs once.
+            rows = steps.stored(pending(self._shaped(source, name), old.select(*keys), *keys), "insert")
+            once = without_repeats(rows, keys)
+            if TABLES[name].by_day:
+                once = once.withColumn("created_day", F.to_date("created_ts"))
+                once.write.mode("append").partitionBy("created_day").parquet(f"{self.root}/{name}")
+            else:
+                once.write.mode("append").parquet(f"{self.root}/{name}")
 
     def upsert(self, name: str, source: DataFrame) -> None:
         """Replace rows of the same key and add the others; an updated row keeps its first creation time."""

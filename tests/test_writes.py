@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from evidex import session
 from evidex.sources import writes as S
 from evidex.operators.chunks import PDF_SUFFIX, extract_chunks
 from evidex.sources.objects import list_objects, object_catalog, register_uris
@@ -172,3 +173,13 @@ def test_an_empty_table_costs_no_join(spark, tmp_path):
     todo = spark.range(9).select(F.col("id").cast("string").alias("chunk_id")).join(done.select("chunk_id"), "chunk_id", "left_anti")
     plan = todo._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan and todo.count() == 9
+
+
+def test_an_insert_leaves_no_copy_of_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda spark, label: f"{tmp_path}/shared/{label}-{len(made.append(label) or made)}")
+    made = []
+    tables = S.TableFolder(spark, f"{tmp_path}/tables")
+    rows = [("a", "q", [1.0]), ("b", "q", [1.0]), ("b", "q", [1.0])]
+    tables.insert("hot_queries", spark.createDataFrame(rows, "query_id string, query_text string, embedding array<double>"))
+    assert tables.read("hot_queries").count() == 2 and "insert" in made
+    assert not [p for p in (tmp_path / "shared").iterdir() if p.name.startswith("insert")]
