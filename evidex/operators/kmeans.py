@@ -4,7 +4,8 @@ Vectors are scaled to length 1, rounded to multiples of 2^-24 and stored once as
 multiplies a block of rows with all centres; a task hands on one row of sums per cell it has seen, whatever the size of the
 cell. Sums of such multiples are exact, so they do not depend on the order of the rows. The start is k-means||: two
 rounds that each pick about 2k rows by their cost, weights by the nearest of them, then weighted k-means++ on the driver.
-What is picked depends on a hash of the row, not on the files it stands in. At most some 4k vectors come back to the driver.
+What is picked depends on a hash of the row, not on the files it stands in; a row that lies between two centres within the
+error of single precision may go to either. At most some 4k vectors come back to the driver.
 """
 
 from __future__ import annotations
